@@ -84,3 +84,60 @@ def rank_models(preds: DataFrame, by=("cv_fold",)) -> DataFrame:
                                    F.stddev_pop("rmse").alias("rmse_sd"))
     w = Window.orderBy(F.round(F.col("rmse"), 9), F.col("model"))
     return agg.withColumn("rank", F.row_number().over(w))
+
+
+def knn_baseline_grid(train: DataFrame, test: DataFrame, sums: DataFrame, baselines, metrics, ks, min_ks,
+                      min_support: int = 1, shrinkage: float = 100.0, by=("cv_fold",)) -> DataFrame:
+    """(sim_name, k, min_k, rmse, rank): KNN-baseline grid, mean RMSE over the ``by`` folds.
+
+    No refit per setting: similarities of every metric are one table with a
+    ``sim_name`` column, neighbours are ranked once for the largest k, and
+    each (k, min_k) is a conditional aggregate over the neighbour rank.
+    """
+    from recspark.operators.similarity import attach_baseline, top_k_neighbors
+
+    by = list(by)
+    keys = by + ["sim_name"]
+    sims = reduce(lambda a, b: a.unionByName(b), [
+        similarity(sums, m, min_support, shrinkage, by=by).withColumn("sim_name", F.lit(m)) for m in metrics])
+    names = F.explode(F.array(*[F.lit(m) for m in metrics])).alias("sim_name")
+    diag_items = train.select(*by, "iid").distinct().select(*by, "iid", names)
+    sm = mirror(sims, diag_items, by=keys)
+    test_k = test.select("*", names)
+    train_k = train.select("*", names)
+    kmax = max(ks)
+    nb = top_k_neighbors(test_k, sm, train_k, kmax, by=keys)
+    mu, bu, bi = baselines
+    nb = attach_baseline(nb.withColumnRenamed("iid", "iid_t").withColumnRenamed("j", "iid"), mu, bu, bi, by=by) \
+        .withColumnRenamed("iid", "j").withColumnRenamed("iid_t", "iid")
+    w = F.col("sim") * (F.col("r_j") - F.col("b_ui"))
+    aggs = []
+    for k in ks:
+        inside = F.col("rank") <= k
+        aggs += [F.sum(F.when(inside, F.col("sim"))).alias(f"s_{k}"), F.sum(F.when(inside, w)).alias(f"w_{k}"),
+                 F.sum(F.when(inside, 1).otherwise(0)).alias(f"c_{k}")]
+    agg = nb.groupBy(*keys, "uid", "iid").agg(*aggs)
+    settings = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(m).alias("min_k"))
+                                   for k in ks for m in min_ks])).alias("st")
+    t = (test_k.select(*keys, "uid", "iid").distinct().join(agg, keys + ["uid", "iid"], "left")
+               .select("*", settings).select("*", "st.k", "st.min_k").drop("st"))
+
+    def pick(prefix):
+        e = None
+        for k in ks:
+            e = (F.when(F.col("k") == k, F.col(f"{prefix}_{k}")) if e is None
+                 else e.when(F.col("k") == k, F.col(f"{prefix}_{k}")))
+        return e
+
+    s, wsum, c = pick("s"), pick("w"), F.coalesce(pick("c"), F.lit(0))
+    t = attach_baseline(t, mu, bu, bi, by=by)
+    dev = F.when((c >= F.col("min_k")) & (s > 0), wsum / s).otherwise(F.lit(0.0))
+    preds = t.select(*keys, "uid", "iid", "k", "min_k",
+                     F.least(F.greatest(F.col("b_ui") + dev, F.lit(1.0)), F.lit(5.0)).alias("est"))
+    err = (test.join(preds, by + ["uid", "iid"], "inner")
+               .groupBy("sim_name", "k", "min_k", *by)
+               .agg(F.sqrt(F.avg(F.pow(F.col("stars").cast("double") - F.col("est"), 2))).alias("rmse")))
+    out = err.groupBy("sim_name", "k", "min_k").agg(F.avg("rmse").alias("rmse"))
+    # ranking one row per setting (the grid size, a fixed small table)
+    wr = Window.orderBy(F.round("rmse", 9), "sim_name", "k", "min_k")
+    return out.withColumn("rank", F.row_number().over(wr))

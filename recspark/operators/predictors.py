@@ -130,3 +130,43 @@ def slope_one_predict(train: DataFrame, test: DataFrame, sums: DataFrame, value:
         F.col("mean_u") + F.when(F.col("n_dev") > 0, F.col("sum_dev") / F.col("n_dev")).otherwise(F.lit(0.0)))
     preds = t.select(*by, "uid", "iid", clip(est, lo, hi).alias("est"))
     return test.join(preds, by + ["uid", "iid"], "inner")
+
+
+def knn_recommend_for_users(train: DataFrame, sims: DataFrame, baselines, k: int = 40, min_k: int = 1,
+                            n: int = 10, value: str = "stars") -> DataFrame:
+    """(uid, iid, est, actual_k, rank): top-n unrated items per user by KNN-baseline estimate.
+
+    Candidates are the items with a positive-similarity neighbour the user
+    rated: every rating (u, j, r) meets the neighbour list of j (an
+    item-keyed join), which yields, per candidate (u, i), exactly the
+    neighbour rows the estimate needs.  Rated items are removed by an
+    anti-join on (u, i); the top-k neighbours and the top-n items are
+    ``row_number`` limits (applied map-side before the shuffle).
+    ``sims`` holds pairs i < j.
+    """
+    from pyspark.sql import Window
+
+    pos = sims.where(F.col("sim") > 0)
+    s = pos.select("i", "j", "n", "sim").unionByName(
+        pos.select(F.col("j").alias("i"), F.col("i").alias("j"), "n", "sim"))
+    rated = train.select("uid", "iid").distinct()
+    cand = (train.select("uid", F.col("iid").alias("j"), F.col(value).cast("double").alias("r_j"),
+                         F.col("review_id").alias("rid_j"))
+                 .join(s, "j", "inner")
+                 .withColumnRenamed("i", "iid")
+                 .join(rated, ["uid", "iid"], "left_anti"))
+    w = Window.partitionBy("uid", "iid").orderBy(
+        F.round("sim", 9).desc(), F.col("n").desc(), F.col("j").asc(), F.col("rid_j").asc())
+    nb = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    mu, bu, bi = baselines
+    nb = attach_baseline(nb.withColumnRenamed("iid", "iid_t").withColumnRenamed("j", "iid"), mu, bu, bi) \
+        .withColumnRenamed("iid", "j").withColumnRenamed("iid_t", "iid")
+    agg = nb.groupBy("uid", "iid").agg(
+        F.sum("sim").alias("sum_sim"), F.sum(F.col("sim") * (F.col("r_j") - F.col("b_ui"))).alias("sum_w"),
+        F.count(F.lit(1)).alias("actual_k"))
+    t = attach_baseline(agg, mu, bu, bi)
+    dev = F.when((F.col("actual_k") >= min_k) & (F.col("sum_sim") > 0), F.col("sum_w") / F.col("sum_sim")) \
+           .otherwise(F.lit(0.0))
+    preds = t.select("uid", "iid", clip(F.col("b_ui") + dev, 1.0, 5.0).alias("est"), "actual_k")
+    wu = Window.partitionBy("uid").orderBy(F.round("est", 9).desc(), F.col("iid").asc())
+    return preds.withColumn("rank", F.row_number().over(wu)).where(F.col("rank") <= n)

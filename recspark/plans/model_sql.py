@@ -185,3 +185,76 @@ def normal_pred_ctes(seed: int, by=(), out="pred") -> list[str]:
     est = f"m.mu + m.sd_all * {std_normal_sql('x.review_id', seed)}"
     return [f"{out} AS (SELECT {_s(by, 'x')}x.review_id, x.uid, x.iid, x.stars, {clip_sql(est)} AS est FROM test x "
             f"JOIN gmu m ON true{_j(by, 'x', 'm')})"]
+
+
+def coclustering_ctes(n_u: int, n_i: int, epochs: int, by=(), out="pred") -> list[str]:
+    """Co-clustering with ``epochs`` rounds unrolled; needs train, test, gmu."""
+    s, g = _s(by), _s(by)
+    c = [f"cc_um AS (SELECT {s}uid, avg(CAST(stars AS DOUBLE)) AS mean_u FROM train GROUP BY {g}uid)",
+         f"cc_im AS (SELECT {s}iid, avg(CAST(stars AS DOUBLE)) AS mean_i FROM train GROUP BY {g}iid)",
+         f"cc_rm AS (SELECT {_s(by, 't')}t.uid, t.iid, CAST(t.stars AS DOUBLE) AS r, u.mean_u, i.mean_i FROM train t "
+         f"JOIN cc_um u ON u.uid = t.uid{_j(by, 't', 'u')} JOIN cc_im i ON i.iid = t.iid{_j(by, 't', 'i')})",
+         f"cc_cu0 AS (SELECT {s}uid, CAST(uid % {n_u} AS INT) AS cu FROM cc_um)",
+         f"cc_ci0 AS (SELECT {s}iid, CAST(iid % {n_i} AS INT) AS ci FROM cc_im)",
+         f"cc_grid AS (SELECT {_s(by, 'm')}m.mu, a.cu, b.ci FROM gmu m, (SELECT CAST(unnest(range({n_u})) AS INT) AS cu) a, "
+         f"(SELECT CAST(unnest(range({n_i})) AS INT) AS ci) b)"]
+
+    def x_cte(name, cu, ci):
+        return (f"{name} AS (SELECT {_s(by, 'rm')}rm.uid, rm.iid, rm.r, rm.mean_u, rm.mean_i, u.cu, i.ci FROM cc_rm rm "
+                f"JOIN {cu} u ON u.uid = rm.uid{_j(by, 'rm', 'u')} JOIN {ci} i ON i.iid = rm.iid{_j(by, 'rm', 'i')})")
+
+    def avg_cte(name, x):
+        gb = f"GROUP BY {_s(by)}"
+        return (f"{name} AS (SELECT {_s(by, 'g')}g.cu, g.ci, COALESCE(ac.ac, g.mu) AS ac, COALESCE(au.au, g.mu) AS au, "
+                f"COALESCE(ai.ai, g.mu) AS ai FROM cc_grid g "
+                f"LEFT JOIN (SELECT {_s(by)}cu, ci, avg(r) AS ac FROM {x} {gb}cu, ci) ac ON ac.cu = g.cu AND ac.ci = g.ci{_j(by, 'g', 'ac')} "
+                f"LEFT JOIN (SELECT {_s(by)}cu, avg(r) AS au FROM {x} {gb}cu) au ON au.cu = g.cu{_j(by, 'g', 'au')} "
+                f"LEFT JOIN (SELECT {_s(by)}ci, avg(r) AS ai FROM {x} {gb}ci) ai ON ai.ci = g.ci{_j(by, 'g', 'ai')})")
+
+    def reassign(name, x, avgs, side):
+        key, cl, other, n = ("uid", "cu", "ci", n_u) if side == "u" else ("iid", "ci", "cu", n_i)
+        pred = "(a.ac + x.mean_u - a.au + x.mean_i - a.ai)"
+        return [
+            f"{name}_e AS (SELECT {_s(by, 'x')}x.{key}, c.{cl}, sum(power(x.r - {pred}, 2)) AS e FROM {x} x "
+            f"CROSS JOIN (SELECT CAST(unnest(range({n})) AS INT) AS {cl}) c JOIN {avgs} a ON a.{cl} = c.{cl} "
+            f"AND a.{other} = x.{other}{_j(by, 'x', 'a')} GROUP BY {_s(by, 'x')}x.{key}, c.{cl})",
+            f"{name} AS (SELECT {_s(by)}{key}, {cl} FROM (SELECT *, row_number() OVER (PARTITION BY {_s(by)}{key} "
+            f"ORDER BY round(e, 9), {cl}) AS rn FROM {name}_e) WHERE rn = 1)"]
+
+    for e in range(1, epochs + 1):
+        c.append(x_cte(f"cc_x{e}", f"cc_cu{e - 1}", f"cc_ci{e - 1}"))
+        c.append(avg_cte(f"cc_a{e}", f"cc_x{e}"))
+        c += reassign(f"cc_cu{e}", f"cc_x{e}", f"cc_a{e}", "u")
+        c.append(x_cte(f"cc_y{e}", f"cc_cu{e}", f"cc_ci{e - 1}"))
+        c += reassign(f"cc_ci{e}", f"cc_y{e}", f"cc_a{e}", "i")
+    c.append(x_cte("cc_xf", f"cc_cu{epochs}", f"cc_ci{epochs}"))
+    c.append(avg_cte("cc_af", "cc_xf"))
+    est = ("CASE WHEN um.mean_u IS NOT NULL AND im.mean_i IS NOT NULL "
+           "THEN a.ac + um.mean_u - a.au + im.mean_i - a.ai ELSE m.mu END")
+    c.append(f"{out} AS (SELECT {_s(by, 'x')}x.review_id, x.uid, x.iid, x.stars, {clip_sql(est)} AS est FROM test x "
+             f"LEFT JOIN cc_um um ON um.uid = x.uid{_j(by, 'x', 'um')} LEFT JOIN cc_im im ON im.iid = x.iid{_j(by, 'x', 'im')} "
+             f"LEFT JOIN cc_cu{epochs} cu ON cu.uid = x.uid{_j(by, 'x', 'cu')} "
+             f"LEFT JOIN cc_ci{epochs} ci ON ci.iid = x.iid{_j(by, 'x', 'ci')} "
+             f"LEFT JOIN cc_af a ON a.cu = cu.cu AND a.ci = ci.ci{_j(by, 'x', 'a')} JOIN gmu m ON true{_j(by, 'x', 'm')})")
+    return c
+
+
+def known_user_recs_ctes(k: int, min_k: int, n: int, bu: str, bi: str, sims="tsims") -> list[str]:
+    """Top-n unrated items per user by KNN-baseline estimate; candidates = items with a
+    positive-similarity neighbour the user rated.  Needs train, gmu, bu/bi, sims (i<j)."""
+    return [
+        f"kr_s AS (SELECT i, j, n, sim FROM {sims} WHERE sim > 0 UNION ALL SELECT j AS i, i AS j, n, sim FROM {sims} WHERE sim > 0)",
+        "kr_c AS (SELECT tr.uid, s.i AS iid, s.j, s.n, s.sim, CAST(tr.stars AS DOUBLE) AS r_j, tr.review_id AS rid_j "
+        "FROM train tr JOIN kr_s s ON s.j = tr.iid "
+        "WHERE NOT EXISTS (SELECT 1 FROM train x WHERE x.uid = tr.uid AND x.iid = s.i))",
+        f"kr_nb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid, iid ORDER BY round(sim, 9) DESC, "
+        f"n DESC, j, rid_j) AS rank FROM kr_c) WHERE rank <= {k})",
+        f"kr_agg AS (SELECT nb.uid, nb.iid, sum(nb.sim) AS sum_sim, "
+        f"sum(nb.sim * (nb.r_j - (m.mu + COALESCE(u.bu, 0.0) + COALESCE(i.bi, 0.0)))) AS sum_w, count(*) AS actual_k "
+        f"FROM kr_nb nb JOIN gmu m ON true LEFT JOIN {bu} u ON u.uid = nb.uid LEFT JOIN {bi} i ON i.iid = nb.j "
+        f"GROUP BY nb.uid, nb.iid)",
+        f"kr_p AS (SELECT a.uid, a.iid, {clip_sql(f'm.mu + COALESCE(u.bu, 0.0) + COALESCE(i.bi, 0.0) + CASE WHEN a.actual_k >= {min_k} AND a.sum_sim > 0 THEN a.sum_w / a.sum_sim ELSE 0.0 END')} AS est, "
+        f"a.actual_k FROM kr_agg a JOIN gmu m ON true LEFT JOIN {bu} u ON u.uid = a.uid LEFT JOIN {bi} i ON i.iid = a.iid)",
+        f"recs AS (SELECT * FROM (SELECT uid, iid, est, actual_k, row_number() OVER (PARTITION BY uid ORDER BY round(est, 9) DESC, iid) AS rank "
+        f"FROM kr_p) WHERE rank <= {n})",
+    ]
