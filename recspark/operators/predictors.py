@@ -156,7 +156,7 @@ def knn_recommend_for_users(train: DataFrame, sims: DataFrame, baselines, k: int
                  .withColumnRenamed("i", "iid")
                  .join(rated, ["uid", "iid"], "left_anti"))
     w = Window.partitionBy("uid", "iid").orderBy(
-        F.round("sim", 9).desc(), F.col("n").desc(), F.col("j").asc(), F.col("rid_j").asc())
+        F.round("sim", 9).desc(), F.col("n").desc(), F.col("j").asc(), F.col("rid_j").asc(), F.col("r_j").asc())
     nb = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     mu, bu, bi = baselines
     nb = attach_baseline(nb.withColumnRenamed("iid", "iid_t").withColumnRenamed("j", "iid"), mu, bu, bi) \

@@ -287,7 +287,7 @@ def top_k_neighbors(targets: DataFrame, sims_mirrored: DataFrame, train: DataFra
     The join order avoids pairing a user's targets with all of the user's
     ratings: targets meet the neighbour list of their item first
     (item-keyed lookup), then an equi-join on the composite key (u, j)
-    keeps the neighbours u has rated.  Ties: sim desc, n desc, j, review_id.
+    keeps the neighbours u has rated.  Ties: sim desc, n desc, j, review_id, rating.
     """
     by = list(by)
     t = targets.select(*by, user, item).distinct()
@@ -296,5 +296,5 @@ def top_k_neighbors(targets: DataFrame, sims_mirrored: DataFrame, train: DataFra
                       F.col("review_id").alias("rid_j"), *extra_cols)
     cand = t.join(s, by + [item], "inner").join(tr, by + [user, "j"], "inner")
     w = Window.partitionBy(*by, user, item).orderBy(
-        rank_expr().desc(), F.col("n").desc(), F.col("j").asc(), F.col("rid_j").asc())
+        rank_expr().desc(), F.col("n").desc(), F.col("j").asc(), F.col("rid_j").asc(), F.col("r_j").asc())
     return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

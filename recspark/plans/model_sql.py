@@ -104,7 +104,7 @@ def knn_ctes(kind: str, k: int, min_k: int, by=(), sims="simsm", bu=None, bi=Non
              f"tr.review_id AS rid_j FROM {out}_t t JOIN {sims} s ON s.i = t.iid AND s.sim > 0{_j(by, 't', 's')} "
              f"JOIN train tr ON tr.uid = t.uid AND tr.iid = s.j{_j(by, 't', 'tr')})")
     c.append(f"{out}_nb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {_s(by)}uid, iid "
-             f"ORDER BY round(sim, 9) DESC, n DESC, j, rid_j) AS rank FROM {out}_cand) WHERE rank <= {k})")
+             f"ORDER BY round(sim, 9) DESC, n DESC, j, rid_j, r_j) AS rank FROM {out}_cand) WHERE rank <= {k})")
     if kind in ("means", "zscore"):
         c.append(f"{out}_is AS (SELECT {_s(by)}iid, avg(CAST(stars AS DOUBLE)) AS mean, "
                  f"stddev_pop(CAST(stars AS DOUBLE)) AS sd FROM train GROUP BY {_s(by)}iid)")
@@ -248,7 +248,7 @@ def known_user_recs_ctes(k: int, min_k: int, n: int, bu: str, bi: str, sims="tsi
         "FROM train tr JOIN kr_s s ON s.j = tr.iid "
         "WHERE NOT EXISTS (SELECT 1 FROM train x WHERE x.uid = tr.uid AND x.iid = s.i))",
         f"kr_nb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid, iid ORDER BY round(sim, 9) DESC, "
-        f"n DESC, j, rid_j) AS rank FROM kr_c) WHERE rank <= {k})",
+        f"n DESC, j, rid_j, r_j) AS rank FROM kr_c) WHERE rank <= {k})",
         f"kr_agg AS (SELECT nb.uid, nb.iid, sum(nb.sim) AS sum_sim, "
         f"sum(nb.sim * (nb.r_j - (m.mu + COALESCE(u.bu, 0.0) + COALESCE(i.bi, 0.0)))) AS sum_w, count(*) AS actual_k "
         f"FROM kr_nb nb JOIN gmu m ON true LEFT JOIN {bu} u ON u.uid = nb.uid LEFT JOIN {bi} i ON i.iid = nb.j "

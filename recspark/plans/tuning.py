@@ -92,7 +92,7 @@ def _grid_sql():
         "tr.review_id AS rid_j FROM gt t JOIN gsm s ON s.i = t.iid AND s.sim > 0 AND s.cv_fold = t.cv_fold "
         "AND s.sim_name = t.sim_name JOIN train tr ON tr.uid = t.uid AND tr.iid = s.j AND tr.cv_fold = t.cv_fold)",
         f"gnb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cv_fold, sim_name, uid, iid "
-        f"ORDER BY round(sim, 9) DESC, n DESC, j, rid_j) AS rank FROM gcand) WHERE rank <= {max(GRID_K)})",
+        f"ORDER BY round(sim, 9) DESC, n DESC, j, rid_j, r_j) AS rank FROM gcand) WHERE rank <= {max(GRID_K)})",
         f"gagg AS (SELECT nb.cv_fold, nb.sim_name, nb.uid, nb.iid, s.k, sum(nb.sim) AS sum_sim, "
         f"sum(nb.sim * (nb.r_j - {b_uj})) AS sum_w, count(*) AS actual_k FROM gnb nb "
         f"JOIN (SELECT DISTINCT k FROM gset) s ON nb.rank <= s.k JOIN gmu m ON m.cv_fold = nb.cv_fold "
