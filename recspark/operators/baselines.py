@@ -3,9 +3,10 @@
 Iterations are DataFrame rounds: each half step is a join of the rating
 rows with the other side's bias table and a grouped sum (partial
 aggregation map-side).  Bias tables (one row per user / item) are cut
-from their lineage with a reliable ``checkpoint()`` every few epochs;
-the rating rows are checkpointed once up front, so no epoch re-runs the
-upstream trimming plan and a lost executor costs one epoch at most.
+from their lineage every few epochs by writing them into the shared
+checkpoint folder (``session.materialize``); the rating rows are written
+once up front, so no epoch re-runs the upstream trimming plan, the plan
+size stays constant, and a lost executor costs a few epochs at most.
 
 ``by`` columns (e.g. a cross-validation fold) fit independent models in
 the same job.
@@ -16,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recspark.session import materialize
+
 from recspark.functions.exprs import clip, std_normal
 from recspark.operators.similarity import attach_mean
 
@@ -41,8 +44,8 @@ def baseline_als(ratings: DataFrame, reg_i: float = 10.0, reg_u: float = 15.0, n
     by = list(by)
     r, mu = _prep(ratings, value, by)
     if checkpoint_input:
-        r = r.checkpoint(eager=True)
-        mu = mu.checkpoint(eager=True)
+        r = materialize(r)
+        mu = materialize(mu)
     rm = attach_mean(r, mu, by)
     bu = bi = None
     for epoch in range(1, n_epochs + 1):
@@ -55,8 +58,8 @@ def baseline_als(ratings: DataFrame, reg_i: float = 10.0, reg_u: float = 15.0, n
             (F.sum(F.col("r") - F.col("mu") - F.coalesce(F.col("bi"), F.lit(0.0)))
              / (F.lit(float(reg_u)) + F.count(F.lit(1)))).alias("bu"))
         if checkpoint_every and (epoch % checkpoint_every == 0 or epoch == n_epochs):
-            bi = bi.checkpoint(eager=True)
-            bu = bu.checkpoint(eager=True)
+            bi = materialize(bi)
+            bu = materialize(bu)
     if bu is None:  # zero epochs: all biases 0
         bu = r.select(*by, "uid").distinct().withColumn("bu", F.lit(0.0))
         bi = r.select(*by, "iid").distinct().withColumn("bi", F.lit(0.0))
@@ -74,8 +77,8 @@ def baseline_gd(ratings: DataFrame, lr: float = 0.005, reg: float = 0.02, n_epoc
     by = list(by)
     r, mu = _prep(ratings, value, by)
     if checkpoint_input:
-        r = r.checkpoint(eager=True)
-        mu = mu.checkpoint(eager=True)
+        r = materialize(r)
+        mu = materialize(mu)
     rm = attach_mean(r, mu, by)
     bu = r.select(*by, "uid").distinct().withColumn("bu", F.lit(0.0))
     bi = r.select(*by, "iid").distinct().withColumn("bi", F.lit(0.0))
@@ -91,8 +94,8 @@ def baseline_gd(ratings: DataFrame, lr: float = 0.005, reg: float = 0.02, n_epoc
         bi = gi.select(*by, "iid", (F.col("b") + F.lit(lr) * (F.col("g") - F.lit(reg) * F.col("n") * F.col("b")))
                        .alias("bi"))
         if checkpoint_every and (epoch % checkpoint_every == 0 or epoch == n_epochs):
-            bu = bu.checkpoint(eager=True)
-            bi = bi.checkpoint(eager=True)
+            bu = materialize(bu)
+            bi = materialize(bi)
     return mu, bu, bi
 
 

@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from recspark.session import materialize
+
 from recspark.operators import baselines as bl
 from recspark.operators.predictors import knn_predict, slope_one_predict
 from recspark.operators.similarity import mirror, pair_sums, similarity
@@ -45,9 +47,9 @@ def compare_models_predictions(train: DataFrame, test: DataFrame, models, by=("c
     all neighbourhood models; the KNN baseline's biases are shared too.
     """
     by = list(by)
-    train = train.checkpoint(eager=True)  # one materialisation, reused by every model
+    train = materialize(train)  # one materialisation, reused by every model
     need_sums = any(m.startswith("knn") or m == "slope_one" for m in models)
-    sums = pair_sums(train, by=by).checkpoint(eager=True) if need_sums else None
+    sums = materialize(pair_sums(train, by=by)) if need_sums else None
     sims = None
     if any(m.startswith("knn") for m in models):
         sims = mirror(similarity(sums, metric, min_support, by=by), train, by=by)

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recspark.session import materialize as write_stage
+
 from recspark.functions.exprs import year_start
 
 USER, ITEM = "uid", "iid"
@@ -53,7 +55,8 @@ def trim(ratings: DataFrame, steps=(("user", 4), ("item", 40), ("user", 4)),
          materialize: str | None = None) -> DataFrame:
     """Apply trimming steps in order; order matters (a user cut changes item counts).
 
-    ``materialize='checkpoint'`` writes each stage to the checkpoint folder,
+    ``materialize='checkpoint'`` writes each stage as a table into the shared
+    checkpoint folder and reads it back,
     ``'persist'`` caches it; ``None`` leaves one lazy plan (Spark reuses the
     repeated exchanges of the shared sub-plans).
     """
@@ -66,7 +69,7 @@ def trim(ratings: DataFrame, steps=(("user", 4), ("item", 40), ("user", 4)),
         else:
             raise ValueError(f"unknown trim step {kind!r}")
         if materialize == "checkpoint":
-            out = out.checkpoint(eager=True)
+            out = write_stage(out, f"trim-{kind}-{t}")
         elif materialize == "persist":
             out = out.persist()
     return out

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from recspark.session import materialize
+
 from recspark.functions.exprs import r6
 from recspark.operators import baselines as bl
 from recspark.operators import evaluate as ev
@@ -117,9 +119,9 @@ GRID_SQL = _grid_sql()
 def _grid(spark, d):
     from recspark.operators.indexing import test_sets_by_fold, train_sets_by_fold
     r = fx.fx_ratings(spark, d).select(*ROWS.split(", "))
-    train = train_sets_by_fold(r, GRID_FOLDS).checkpoint(eager=True)
+    train = materialize(train_sets_by_fold(r, GRID_FOLDS))
     test = test_sets_by_fold(r, GRID_FOLDS)
-    sums = pair_sums(train, by=BY).checkpoint(eager=True)
+    sums = materialize(pair_sums(train, by=BY))
     model = bl.baseline_als(train, BSL_REG_I, BSL_REG_U, BSL_EPOCHS, by=BY)
     return ev.knn_baseline_grid(train, test, sums, model, GRID_METRICS, GRID_K, GRID_MIN_K, fx.MIN_SUPPORT,
                                 fx.SHRINKAGE, by=BY)

@@ -69,7 +69,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss), never localCheckpoint."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage: write ``df`` as a table into the shared checkpoint folder and read it back.
+
+    Survives executor loss (the files are on shared storage) and, unlike a
+    Dataset checkpoint, carries no statistics or constraints of the origin
+    plan, so iterative loops keep a constant plan size.  Never localCheckpoint.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
