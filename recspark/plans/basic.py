@@ -32,7 +32,12 @@ def q_src_json_lines(spark, d):
                                      F.min("date").alias("first"), F.max("date").alias("last"))
 
 
-@register("sink_json_roundtrip", with_ctes(T, f"SELECT {ROWS} FROM ratings"), ops="S6 S5")
+@register("src_json_array", with_ctes(T, f"SELECT {ROWS} FROM ratings"), ops="S5 S2")
+def q_src_json_array(spark, d):
+    return write_table_roundtrip(fx.fx_ratings(spark, d).select(*ROWS.split(", ")), "ratings-array", fmt="json_records")
+
+
+@register("sink_json_roundtrip", with_ctes(T, f"SELECT {ROWS} FROM ratings"), ops="S6")
 def q_sink_json_roundtrip(spark, d):
     return write_table_roundtrip(fx.fx_ratings(spark, d).select(*ROWS.split(", ")), "ratings", fmt="json")
 
