@@ -57,9 +57,11 @@ def baseline_als(ratings: DataFrame, reg_i: float = 10.0, reg_u: float = 15.0, n
         bu = y.groupBy(*by, "uid").agg(
             (F.sum(F.col("r") - F.col("mu") - F.coalesce(F.col("bi"), F.lit(0.0)))
              / (F.lit(float(reg_u)) + F.count(F.lit(1)))).alias("bu"))
-        if checkpoint_every and (epoch % checkpoint_every == 0 or epoch == n_epochs):
+        if epoch == n_epochs:
             bi = materialize(bi)
             bu = materialize(bu)
+        elif checkpoint_every and epoch % checkpoint_every == 0:
+            bu = materialize(bu)  # the next epoch needs only b_u; b_i is recomputed from it
     if bu is None:  # zero epochs: all biases 0
         bu = r.select(*by, "uid").distinct().withColumn("bu", F.lit(0.0))
         bi = r.select(*by, "iid").distinct().withColumn("bi", F.lit(0.0))
