@@ -14,18 +14,20 @@ user with a third of all rows would make one task emit a third squared).
 Instead the rating matrix is multiplied by blocks, the way a distributed
 block matrix product works:
 
-1. pre-aggregate ratings to cells (user, item) -> (c, sum, sum of squares);
-2. hash users into ``U`` user blocks and items into ``B`` item blocks;
-   every cell is sent to the ``B`` item-block pairs (lo, hi) it takes part
-   in (``explode`` of a sequence, no join);
-3. each group (user block, lo, hi) is reduced inside its task with numpy:
-   the products are accumulated per item pair and only the per-pair partial
-   sums leave the task (never the per-user pairs);
-4. a ``groupBy(i, j)`` adds the partial sums of the user blocks.
-
-A hot user is split over the item blocks (at most one cell per item per
-group), a hot item over the user blocks.  Group size is bounded by the
-choice of ``U`` from the input row count.
+1. pre-aggregate ratings to cells (user, item) -> (c, sum, sum of squares)
+   and count the cells of every user;
+2. light users (<= h cells) are hashed into ``U`` user blocks and go whole
+   into their block's group; a heavy user's items are hashed into
+   ceil(cells / h) blocks of its own and every cell is sent to the block
+   pairs (lo, hi) it takes part in (``explode`` of a sequence, no join);
+3. each group is reduced inside its task with numpy: the products are
+   accumulated per item pair and only the per-pair partial sums leave the
+   task (never the per-user pairs);
+4. a ``groupBy(i, j)`` adds the partial sums of all groups.
+
+A hot user is split over its own item blocks (pair work per group <= h^2),
+a hot item over the user blocks; light users are never replicated.
+Group size is bounded by the choice of ``U`` from the input row count.
 
 Similarities
 ------------
@@ -151,26 +153,28 @@ def _make_kernel(by: list[str], max_pairs: int):
     return kernel
 
 
-def plan_blocks(ratings: DataFrame, item: str, items_per_block: int = 4096,
-                rows_per_group: int = 400_000) -> tuple[int, int]:
-    """(user blocks, item blocks) from one small aggregate over the input."""
-    st = ratings.agg(F.count(F.lit(1)).alias("rows"),
-                     F.approx_count_distinct(item).alias("items")).first()
-    rows, nitems = int(st["rows"] or 0), int(st["items"] or 0)
-    n_item_blocks = max(1, math.ceil(nitems / items_per_block))
-    block_pairs = n_item_blocks * (n_item_blocks + 1) // 2
+def plan_user_blocks(ratings: DataFrame, rows_per_group: int = 400_000) -> int:
+    """Number of light-user blocks, from one small aggregate (row count) over the input."""
+    rows = int(ratings.agg(F.count(F.lit(1)).alias("rows")).first()["rows"] or 0)
     par = ratings.sparkSession.sparkContext.defaultParallelism
-    by_size = math.ceil(2 * rows / max(1, n_item_blocks * rows_per_group))
-    by_par = math.ceil(2 * par / block_pairs)
-    return max(1, by_size, by_par), n_item_blocks
+    return max(1, math.ceil(rows / rows_per_group), 2 * par)
 
 
 def pair_sums(ratings: DataFrame, user: str = "uid", item: str = "iid", value: str = "stars",
-              by=(), n_user_blocks: int | None = None, n_item_blocks: int | None = None,
-              items_per_block: int = 4096, rows_per_group: int = 400_000,
-              max_pairs_per_chunk: int = 2_000_000, integer_sums: bool = True) -> DataFrame:
+              by=(), n_user_blocks: int | None = None, heavy_cells: int = 2048,
+              rows_per_group: int = 400_000, max_pairs_per_chunk: int = 2_000_000,
+              integer_sums: bool = True) -> DataFrame:
     """(by..., i, j, n, sx, sy, sxx, syy, sxy) for item pairs i < j rated by a common user.
 
+    Cells (user, item) are grouped for the in-task block product:
+
+    * a light user (at most ``heavy_cells`` distinct items) goes whole into
+      one of ``n_user_blocks`` hashed user blocks -- no replication;
+    * a heavy user's items are hashed into ceil(cells / heavy_cells) blocks
+      of its own, and each cell is sent to every (lo, hi) block pair it
+      takes part in -- replication is paid by heavy users only, and every
+      group holds at most about 2 * heavy_cells cells of one heavy user.
+
     ``by`` columns (e.g. a cross-validation fold) are carried as extra keys:
     sums are computed independently per ``by`` value in the same job.
     Swap ``user`` and ``item`` for user-user sums.
@@ -180,23 +184,26 @@ def pair_sums(ratings: DataFrame, user: str = "uid", item: str = "iid", value: s
     cells = (ratings.where(F.col(user).isNotNull() & F.col(item).isNotNull() & F.col(value).isNotNull())
              .groupBy(*by, user, item)
              .agg(F.count(F.lit(1)).alias("c"), F.sum(v).alias("s"), F.sum(v * v).alias("q")))
-    if n_user_blocks is None or n_item_blocks is None:
-        u_auto, b_auto = plan_blocks(ratings, item, items_per_block, rows_per_group)
-        n_user_blocks = n_user_blocks or u_auto
-        n_item_blocks = n_item_blocks or b_auto
-    nb = int(n_item_blocks)
-    blk = F.pmod(F.xxhash64(F.col(item)), F.lit(nb)).cast("int")
-    ub = F.pmod(F.xxhash64(F.col(user)), F.lit(int(n_user_blocks))).cast("int")
-    x = (cells.select(*by, F.col(user).cast("long").alias("u"), F.col(item).cast("long").alias("it"),
-                      "c", "s", "q", blk.alias("blk"), ub.alias("ub"))
-         .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
+    n_user_blocks = int(n_user_blocks or plan_user_blocks(ratings, rows_per_group))
+    deg = cells.groupBy(*by, user).agg(F.count(F.lit(1)).alias("deg"))
+    heavy = F.col("deg") > heavy_cells
+    nblk = F.when(heavy, F.ceil(F.col("deg") / F.lit(heavy_cells))).otherwise(F.lit(1)).cast("int")
+    x = (cells.join(deg, by + [user], "inner")
+         .select(*by, F.col(user).cast("long").alias("u"), F.col(item).cast("long").alias("it"), "c", "s", "q",
+                 heavy.alias("g_heavy"),
+                 F.when(heavy, F.col(user).cast("long"))
+                  .otherwise(F.pmod(F.xxhash64(F.col(user)), F.lit(n_user_blocks))).alias("g_id"),
+                 F.pmod(F.xxhash64(F.col(item)), nblk).cast("int").alias("blk"),
+                 nblk.alias("nblk"))
+         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nblk") - 1)))
          .withColumn("lo", F.least("blk", "other"))
          .withColumn("hi", F.greatest("blk", "other"))
-         .drop("other"))
+         .drop("other", "nblk"))
     by_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cells.schema.fields if f.name in by)
     schema = (by_schema + ", " if by_schema else "") + \
         "i long, j long, n double, sx double, sy double, sxx double, syy double, sxy double"
-    partial = x.groupBy(*by, "ub", "lo", "hi").applyInPandas(_make_kernel(by, max_pairs_per_chunk), schema)
+    partial = (x.groupBy(*by, "g_heavy", "g_id", "lo", "hi")
+                .applyInPandas(_make_kernel(by, max_pairs_per_chunk), schema))
     cast = "bigint" if integer_sums else "double"
     aggs = [F.sum("n").cast("bigint").alias("n")] + [F.sum(c).cast(cast).alias(c) for c in SUM_COLS]
     return partial.groupBy(*by, "i", "j").agg(*aggs)

@@ -46,13 +46,15 @@ def test_pair_sums_by_hand(grid):
     assert _sums(grid) == SUMS
 
 
-@pytest.mark.parametrize("users,blocks", [(1, 1), (3, 2), (5, 4)])
-def test_pair_sums_independent_of_blocking(grid, users, blocks):
-    assert _sums(grid, n_user_blocks=users, n_item_blocks=blocks) == SUMS
+@pytest.mark.parametrize("users,heavy", [(1, 2048), (3, 2048), (2, 2), (5, 1)])
+def test_pair_sums_independent_of_blocking(grid, users, heavy):
+    # heavy=1 or 2: every user is "heavy" and split into per-user item blocks
+    assert _sums(grid, n_user_blocks=users, heavy_cells=heavy) == SUMS
 
 
 def test_pair_sums_small_chunks(grid):
-    assert _sums(grid, n_user_blocks=1, n_item_blocks=1, max_pairs_per_chunk=1) == SUMS
+    assert _sums(grid, n_user_blocks=1, max_pairs_per_chunk=1) == SUMS
+    assert _sums(grid, n_user_blocks=1, heavy_cells=2, max_pairs_per_chunk=1) == SUMS
 
 
 def _sim(grid, metric, min_support=1):
