@@ -238,10 +238,10 @@ def similarity(sums: DataFrame, metric: str = "cosine", min_support: int = 1,
 
 def residuals(ratings: DataFrame, baselines: DataFrame, value: str = "stars",
               user: str = "uid", item: str = "iid", by=()) -> DataFrame:
-    """ratings with ``res = r - b_ui`` from a baseline table (by..., uid, iid-free form).
+    """ratings with ``res = r - b_ui``.
 
-    ``baselines`` is the output of :func:`recspark.operators.baselines.baseline_als`:
-    (mu, user biases, item biases) given as three DataFrames in a tuple.
+    ``baselines`` is the (mu, bu, bi) tuple returned by
+    :func:`recspark.operators.baselines.baseline_als`.
     """
     mu, bu, bi = baselines
     r = attach_baseline(ratings, mu, bu, bi, user, item, list(by))

@@ -113,12 +113,11 @@ def q_item_map(spark, d):
        ON CASE WHEN p.match THEN regexp_matches(i.name, '^(?:' || p.pattern || ')')
                ELSE regexp_matches(i.name, p.pattern) END"""), ops="J5")
 def q_join_pattern_items(spark, d):
-    from pyspark.sql import functions as F2
     items = fx.fx_items(spark, d).select("iid", "name")
-    pats = fx.fx_patterns(spark)
-    anchored = F2.concat(F2.lit("^(?:"), F2.col("pattern"), F2.lit(")"))
-    cond = F2.when(F2.col("match"), F2.regexp_like("name", anchored)).otherwise(F2.regexp_like("name", F2.col("pattern")))
-    return items.join(F2.broadcast(pats), cond, "inner").select("pattern", "match", "iid", "name")
+    pats = fx.fx_patterns(spark)  # small argument table: broadcast, items stream past it
+    anchored = F.concat(F.lit("^(?:"), F.col("pattern"), F.lit(")"))
+    cond = F.when(F.col("match"), F.regexp_like("name", anchored)).otherwise(F.regexp_like("name", F.col("pattern")))
+    return items.join(F.broadcast(pats), cond, "inner").select("pattern", "match", "iid", "name")
 
 
 # ------------------------------------------------------------ recommendation
@@ -220,5 +219,3 @@ def flagship(spark, d):
     """Minimum slice: trimmed ratings -> cosine (n>=2) -> item map -> top 3 open items."""
     return q_rec_top_n(spark, d)
 
-
-_ = F  # keep the functions import for callers extending this module

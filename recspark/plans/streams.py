@@ -10,7 +10,7 @@ from recspark.sources.tables import events as events_table
 from recspark.streaming.events import EVENT_SCHEMA, fetch_since, ingest, next_sequence, read_sink
 from recspark.streaming.incremental import current_sums, start_state, stream_pair_updates
 from recspark.plans import fixture as fx
-from recspark.plans.core import q_join_corated_pairs
+from recspark.plans import core  # noqa: F401  (registers join_corated_pairs, whose SQL T3 reuses)
 from recspark.plans.registry import REGISTRY, register, with_ctes
 
 EV_COLS = "event_id, ts, user_id, event_type, value, props"
@@ -57,5 +57,3 @@ def q_incremental_pairs(spark, d):
                         max_files_per_trigger=3)
     return current_sums(spark, state).select("i", "j", "n", "sx", "sy", "sxx", "syy", "sxy")
 
-
-_ = q_join_corated_pairs
