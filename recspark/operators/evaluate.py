@@ -40,7 +40,8 @@ def fold_scores(preds: DataFrame, by=("cv_fold",), truth: str = "stars") -> Data
 
 def compare_models_predictions(train: DataFrame, test: DataFrame, models, by=("cv_fold",), k: int = 40,
                                min_k: int = 1, metric: str = "cosine", min_support: int = 1,
-                               seed: int = 0, knn_bsl=(5.0, 10.0, 10), als=(10.0, 15.0, 10)) -> DataFrame:
+                               seed: int = 0, knn_bsl=(5.0, 10.0, 10), als=(10.0, 15.0, 10),
+                               cocl=(3, 3, 20)) -> DataFrame:
     """(model, by.., stars, est) for every model over the same folds.
 
     Pair sums and similarities are computed once per fold and shared by
@@ -69,6 +70,9 @@ def compare_models_predictions(train: DataFrame, test: DataFrame, models, by=("c
             p = knn_predict(train, test, sims, kind, k, min_k, baselines=knn_model, by=by)
         elif m == "slope_one":
             p = slope_one_predict(train, test, sums, by=by)
+        elif m == "coclustering":
+            from recspark.operators.coclustering import fit_coclustering, predict_coclustering
+            p = predict_coclustering(test, fit_coclustering(train, *cocl, by=by), by=by)
         else:
             raise ValueError(f"unknown model {m!r}")
         parts.append(p.select(F.lit(m).alias("model"), *by, "stars", "est"))

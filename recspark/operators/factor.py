@@ -14,7 +14,7 @@ factor lineage into the session's checkpoint folder.
 
 from __future__ import annotations
 
-from pyspark.ml.recommendation import ALS
+from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,3 +72,13 @@ def recommend_for_users_als(model, n: int = 10) -> DataFrame:
     return (recs.select("uid", F.posexplode("recommendations").alias("pos", "rec"))
                 .select("uid", (F.col("pos") + 1).alias("rank"), F.col("rec.iid").cast("long").alias("iid"),
                         F.col("rec.rating").cast("double").alias("score")))
+
+
+def save_model(model, path: str) -> str:
+    """Persist a fitted ALS model (factor tables as parquet) to shared storage."""
+    model.write().overwrite().save(path)
+    return path
+
+
+def load_model(path: str) -> ALSModel:
+    return ALSModel.load(path)

@@ -42,12 +42,28 @@ def _known(test_t: DataFrame, train: DataFrame, by: list[str]) -> DataFrame:
                   .drop("u_known", "i_known"))
 
 
+def _swap_roles(df: DataFrame) -> DataFrame:
+    return df.withColumnRenamed("uid", "_u").withColumnRenamed("iid", "uid").withColumnRenamed("_u", "iid")
+
+
 def knn_predict(train: DataFrame, test: DataFrame, sims_mirrored: DataFrame, kind: str = "basic",
                 k: int = 40, min_k: int = 1, baselines=None, value: str = "stars", by=(),
-                lo: float = 1.0, hi: float = 5.0) -> DataFrame:
-    """test rows + ``est`` (and ``actual_k``)."""
+                lo: float = 1.0, hi: float = 5.0, user_based: bool = False) -> DataFrame:
+    """test rows + ``est`` (and ``actual_k``).
+
+    ``user_based=True``: neighbours are users (``sims_mirrored`` must then be
+    user-user similarities); the same plan runs with the roles swapped.
+    """
     if kind not in KINDS:
         raise ValueError(f"unknown KNN kind {kind!r}")
+    if user_based:
+        swapped = None
+        if baselines is not None:
+            mu, bu, bi = baselines
+            swapped = (mu, _swap_roles(bi).withColumnRenamed("bi", "bu"), _swap_roles(bu).withColumnRenamed("bu", "bi"))
+        out = knn_predict(_swap_roles(train), _swap_roles(test), sims_mirrored, kind, k, min_k, swapped, value,
+                          by, lo, hi, user_based=False)
+        return _swap_roles(out)
     by = list(by)
     nb = top_k_neighbors(test, sims_mirrored, train, k, value=value, by=by)
     stats = None

@@ -23,10 +23,12 @@ def _g(by, a=None):
     return ", ".join(f"{a + '.' if a else ''}{b}" for b in by)
 
 
-def split_ctes(src="ratings", pct=fx.HOLDOUT_PERCENT) -> list[str]:
+def split_ctes(src="ratings", pct=fx.HOLDOUT_PERCENT, swap: bool = False) -> list[str]:
+    """train/test hold-out; ``swap`` exchanges the user and item columns (user-based models)."""
+    cols = "review_id, iid AS uid, uid AS iid, stars, date" if swap else "review_id, uid, iid, stars, date"
     return [f"split AS (SELECT *, (review_id + 3*iid + 7*uid) % 100 < {pct} AS is_test FROM {src})",
-            "train AS (SELECT review_id, uid, iid, stars, date FROM split WHERE NOT is_test)",
-            "test AS (SELECT review_id, uid, iid, stars, date FROM split WHERE is_test)"]
+            f"train AS (SELECT {cols} FROM split WHERE NOT is_test)",
+            f"test AS (SELECT {cols} FROM split WHERE is_test)"]
 
 
 def fold_ctes(k: int, src="ratings") -> list[str]:

@@ -134,6 +134,20 @@ for _kind, _op in (("basic", "B4"), ("means", "B5"), ("zscore", "B6"), ("baselin
         ops=_op)(_knn_query(_kind))
 
 
+SPLIT_SWAP = T + ms.split_ctes(swap=True) + [ms.mean_cte()]
+
+
+@register("predict_knn_basic_users", with_ctes(
+    SPLIT_SWAP + TRAIN_SIMS + ms.knn_ctes("basic", K, MIN_K),
+    "SELECT review_id, iid AS uid, uid AS iid, stars, round(est, 6) AS est, actual_k FROM pred"), ops="B4 M5 Q1")
+def q_knn_basic_users(spark, d):
+    train, test = _split(spark, d)
+    user_sims = mirror(similarity(pair_sums(train, user="iid", item="uid"), "cosine", fx.MIN_SUPPORT),
+                       train.select(F.col("uid").alias("iid")))
+    p = knn_predict(train, test, user_sims, "basic", K, MIN_K, user_based=True)
+    return _pred_out(p, with_k=True)
+
+
 @register("predict_slope_one", with_ctes(
     SPLIT + fx.pair_sum_ctes(src="train", out="tps") + ms.slope_one_ctes(), PRED_SEL), ops="B8")
 def q_slope_one(spark, d):
@@ -212,7 +226,9 @@ def q_cross_validate(spark, d):
     return s.select("cv_fold", "n", r6("rmse").alias("rmse"), r6("mae").alias("mae"))
 
 
-COMPARE_MODELS = ("normal", "baseline_als", "knn_basic", "knn_means", "knn_zscore", "knn_baseline", "slope_one")
+COMPARE_MODELS = ("normal", "baseline_als", "knn_basic", "knn_means", "knn_zscore", "knn_baseline", "slope_one",
+                  "coclustering")
+CC_CLUSTERS, CC_EPOCHS = 3, 2
 
 
 def _compare_sql():
@@ -224,6 +240,7 @@ def _compare_sql():
     for kind in ("basic", "means", "zscore", "baseline"):
         ctes += ms.knn_ctes(kind, K, MIN_K, by=BY, bu=_CVB_BU, bi=_CVB_BI, out=f"p_knn_{kind}")
     ctes += ms.slope_one_ctes(by=BY, sums="tps", out="p_slope_one")
+    ctes += ms.coclustering_ctes(CC_CLUSTERS, CC_CLUSTERS, CC_EPOCHS, by=BY, out="p_coclustering")
     parts = [f"SELECT '{m}' AS model, cv_fold, stars, est FROM p_{m}" for m in COMPARE_MODELS]
     ctes.append("allp AS (" + " UNION ALL ".join(parts) + ")")
     ctes.append("""per AS (SELECT model, cv_fold, sqrt(avg(power(stars - est, 2))) AS rmse, avg(abs(stars - est)) AS mae
@@ -239,7 +256,8 @@ def q_compare_models(spark, d):
     preds = ev.compare_models_predictions(train, test, COMPARE_MODELS, by=BY, k=K, min_k=MIN_K,
                                           min_support=fx.MIN_SUPPORT, seed=SEED,
                                           knn_bsl=(BSL_REG_I, BSL_REG_U, BSL_EPOCHS),
-                                          als=(ALS_REG_I, ALS_REG_U, 10))
+                                          als=(ALS_REG_I, ALS_REG_U, 10),
+                                          cocl=(CC_CLUSTERS, CC_CLUSTERS, CC_EPOCHS))
     out = ev.rank_models(preds, BY)
     return out.select("model", r6("rmse").alias("rmse"), r6("mae").alias("mae"),
                       r6("rmse_sd").alias("rmse_sd"), "rank")

@@ -10,7 +10,10 @@ from recspark.functions.exprs import r6
 from recspark.operators import baselines as bl
 from recspark.operators import evaluate as ev
 from recspark.operators.coclustering import fit_coclustering, predict_coclustering
-from recspark.operators.factor import fit_nmf_als, fit_svd_als, predict_nmf_als, predict_svd_als
+from recspark.operators.factor import (
+    fit_nmf_als, fit_svd_als, load_model, predict_nmf_als, predict_svd_als, save_model,
+)
+from recspark.session import scratch_path
 from recspark.operators.predictors import knn_recommend_for_users
 from recspark.operators.similarity import pair_sums, similarity
 from recspark.plans import fixture as fx
@@ -21,7 +24,7 @@ from recspark.plans.models import (
 )
 from recspark.plans.registry import register, with_ctes
 
-CC_CLUSTERS, CC_EPOCHS = 3, 2
+from recspark.plans.models import CC_CLUSTERS, CC_EPOCHS  # noqa: E402
 REC_N = 5
 GRID_FOLDS = 4
 GRID_METRICS = ("cosine", "msd")
@@ -42,6 +45,7 @@ def q_svd_als(spark, d):
     train, test = _split(spark, d)
     base = bl.baseline_als(train, ALS_REG_I, ALS_REG_U, 10)
     model = fit_svd_als(train, base, rank=10, max_iter=10, reg=0.1, seed=SEED)
+    model = load_model(save_model(model, scratch_path(spark, "svd-als-model")))  # artifact round trip
     return _pred_out(predict_svd_als(test, model, base))
 
 
