@@ -89,7 +89,7 @@ def rank_models(preds: DataFrame, by=("cv_fold",)) -> DataFrame:
     agg = per.groupBy("model").agg(F.avg("rmse").alias("rmse"), F.avg("mae").alias("mae"),
                                    F.stddev_pop("rmse").alias("rmse_sd"))
     w = Window.orderBy(F.round(F.col("rmse"), 9), F.col("model"))
-    return agg.withColumn("rank", F.row_number().over(w))
+    return agg.withColumn("rank", F.row_number().over(w).cast("long"))
 
 
 def knn_baseline_grid(train: DataFrame, test: DataFrame, sums: DataFrame, baselines, metrics, ks, min_ks,
@@ -146,4 +146,4 @@ def knn_baseline_grid(train: DataFrame, test: DataFrame, sums: DataFrame, baseli
     out = err.groupBy("sim_name", "k", "min_k").agg(F.avg("rmse").alias("rmse"))
     # ranking one row per setting (the grid size, a fixed small table)
     wr = Window.orderBy(F.round("rmse", 9), "sim_name", "k", "min_k")
-    return out.withColumn("rank", F.row_number().over(wr))
+    return out.withColumn("rank", F.row_number().over(wr).cast("long"))

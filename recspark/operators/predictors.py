@@ -185,4 +185,5 @@ def knn_recommend_for_users(train: DataFrame, sims: DataFrame, baselines, k: int
            .otherwise(F.lit(0.0))
     preds = t.select("uid", "iid", clip(F.col("b_ui") + dev, 1.0, 5.0).alias("est"), "actual_k")
     wu = Window.partitionBy("uid").orderBy(F.round("est", 9).desc(), F.col("iid").asc())
-    return preds.withColumn("rank", F.row_number().over(wu)).where(F.col("rank") <= n)
+    return (preds.withColumn("rank", F.row_number().over(wu)).where(F.col("rank") <= n)
+                 .withColumn("rank", F.col("rank").cast("long")))

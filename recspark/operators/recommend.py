@@ -68,7 +68,7 @@ def recommend(scores: DataFrame, items: DataFrame, requests: DataFrame, n: int =
         out = top.join(picked_names, ["request_id", "name"], "left_anti").where(F.col("is_open") == 1)
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    return out.select("request_id", "rank", "iid", "name", "score")
+    return out.select("request_id", F.col("rank").cast("long").alias("rank"), "iid", "name", "score")
 
 
 def latest_names_requests(reviews: DataFrame, items: DataFrame, per_user: int = 4) -> DataFrame:

@@ -304,7 +304,8 @@ def top_k_neighbors(targets: DataFrame, sims_mirrored: DataFrame, train: DataFra
     cand = t.join(s, by + [item], "inner").join(tr, by + [user, "j"], "inner")
     w = Window.partitionBy(*by, user, item).orderBy(
         rank_expr().desc(), F.col("n").desc(), F.col("j").asc(), F.col("rid_j").asc(), F.col("r_j").asc())
-    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+                .withColumn("rank", F.col("rank").cast("long")))
 
 
 from recspark.functions.shipping import ship_by_value  # noqa: E402

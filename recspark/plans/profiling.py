@@ -180,7 +180,7 @@ def q_density_by_region(spark, d):
     # ranking a handful of groups (one row per state): a single-partition window is fine here
     w = Window.orderBy(F.col("density").desc(), F.col("state").asc())
     return g.select("state", "n_items", "n_reviews", r6("density").alias("density"),
-                    F.row_number().over(w).alias("rank"))
+                    F.row_number().over(w).cast("long").alias("rank"))
 
 
 @register("density_best_region", with_ctes(REGION, """
