@@ -31,13 +31,16 @@ def duck(sf_dir):
     return con
 
 
+EXACT = False
+
+
 def norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 5)
+        return v if EXACT else round(v, 5)
     if hasattr(v, "item"):
         return norm(v.item())
     return v
@@ -75,8 +78,13 @@ def compare(spark, con, sf_dir, name):
 
 
 def main():
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or list(REGISTRY)
+    global EXACT
+    args = sys.argv[1:]
+    if "--exact" in args:  # floats must agree exactly (they are rounded to 6 places by the queries)
+        EXACT = True
+        args.remove("--exact")
+    sf_dir = args[0] if args else "/root/testdata/sf0.01"
+    names = args[1:] or list(REGISTRY)
     spark = build_session()
     con = duck(sf_dir)
     bad = 0
