@@ -11,7 +11,7 @@ from recspark.streaming.events import EVENT_SCHEMA, fetch_since, ingest, next_se
 from recspark.streaming.incremental import current_sums, start_state, stream_pair_updates
 from recspark.plans import fixture as fx
 from recspark.plans import core  # noqa: F401  (registers join_corated_pairs, whose SQL T3 reuses)
-from recspark.plans.registry import REGISTRY, register, with_ctes
+from recspark.plans.registry import REGISTRY, register
 
 EV_COLS = "event_id, ts, user_id, event_type, value, props"
 MID = "(SELECT (min(event_id) + max(event_id)) // 2 FROM events)"
