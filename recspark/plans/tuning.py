@@ -11,7 +11,7 @@ from recspark.operators import baselines as bl
 from recspark.operators import evaluate as ev
 from recspark.operators.coclustering import fit_coclustering, predict_coclustering
 from recspark.operators.factor import (
-    fit_nmf_als, fit_svd_als, load_model, predict_nmf_als, predict_svd_als, save_model,
+    fit_nmf_als, fit_svd_als, load_model, predict_nmf_als, predict_svd_als, recommend_for_users_als, save_model,
 )
 from recspark.session import scratch_path
 from recspark.operators.predictors import knn_recommend_for_users
@@ -56,6 +56,14 @@ def q_nmf_als(spark, d):
     return _pred_out(predict_nmf_als(test, model, bl.global_mean(train)))
 
 
+@register("rec_als_users_top_n", None, ops="R5 B11")
+def q_als_users(spark, d):
+    """Top-n items per user from non-negative factors (ALS's blocked recommendForAllUsers)."""
+    train, _ = _split(spark, d)
+    model = fit_nmf_als(train, rank=10, max_iter=10, reg=0.1, seed=SEED)
+    return recommend_for_users_als(model, REC_N).select("uid", "rank", "iid", r6("score").alias("score"))
+
+
 _KR_BASE, _KR_BU, _KR_BI = ms.baseline_als_ctes(BSL_REG_I, BSL_REG_U, BSL_EPOCHS, prefix="kr")
 
 

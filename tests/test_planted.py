@@ -54,3 +54,14 @@ def test_models_beat_normal(planted):
     for name, v in (("knn_baseline", knn), ("knn_means", means), ("slope_one", slope), ("svd_als", svd),
                     ("nmf_als", nmf), ("coclustering", cocl)):
         assert v < 0.6 * naive, (name, v, naive)
+
+
+def test_als_recommendations_follow_taste_groups(planted):
+    from recspark.operators.factor import recommend_for_users_als
+    train, _ = planted
+    model = fit_nmf_als(train, rank=5, max_iter=15, reg=0.05, seed=1)
+    recs = recommend_for_users_als(model, 3)
+    rows = recs.collect()
+    assert {r.rank for r in rows} == {1, 2, 3}
+    in_group = sum((r.uid % 3) == (r.iid % 3) for r in rows) / len(rows)
+    assert in_group > 0.9, in_group
