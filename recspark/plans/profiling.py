@@ -60,6 +60,12 @@ def q_profile_reviews(spark, d):
     return pr.distinct_profile(fx.fx_reviews(spark, d))
 
 
+@register("profile_distinct_reviews_approx", None, ops="A2")
+def q_profile_reviews_approx(spark, d):
+    """HyperLogLog++ distinct counts of every column (approx=True): one pass, no Expand of the rows."""
+    return pr.distinct_profile(fx.fx_reviews(spark, d), approx=True, rsd=0.02)
+
+
 @register("agg_users_per_item", with_ctes([R, UPI], "SELECT iid, n_users FROM upi"), ops="A3")
 def q_users_per_item(spark, d):
     return pr.users_per_item(fx.fx_reviews(spark, d))

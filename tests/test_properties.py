@@ -66,3 +66,13 @@ def test_folds_partition_rows(ratings):
     assert f.where((F.col("fold") < 0) | (F.col("fold") >= k)).count() == 0
     assert f.count() == ratings.count()
     assert train_sets_by_fold(ratings, k).count() == (k - 1) * ratings.count()
+
+
+def test_approx_profile_close_to_exact(spark):
+    from recspark.operators.profile import distinct_profile
+    rv = fx.fx_reviews(spark, SMOKE)
+    a = distinct_profile(rv, approx=True, rsd=0.02).first().asDict()
+    e = distinct_profile(rv).first().asDict()
+    assert a.keys() == e.keys()
+    for k in e:
+        assert abs(a[k] - e[k]) <= 0.06 * e[k] + 1, (k, a[k], e[k])
