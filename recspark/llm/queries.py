@@ -3,7 +3,9 @@ production parameters, to its whole table."""
 
 from __future__ import annotations
 
-from recspark.llm import exact_dedup
+import public_tokenizers
+
+from recspark.llm import exact_dedup, packing
 from recspark.llm.common import documents
 
 QUERIES = {}
@@ -22,3 +24,8 @@ def _query(name: str, sql: str | None = None):
 @_query("op10_exact_dedup", exact_dedup.SQL)
 def op10(spark, sf_dir):
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
+
+
+@_query("op8_packing")
+def op8(spark, sf_dir):
+    return packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
