@@ -40,6 +40,6 @@ def salted_left_join(left: DataFrame, right: DataFrame, keys: list[str], spread:
     return dealt.join(copies, [*keys, salt], "left").drop(salt)
 
 
-def input_slices(spark: SparkSession, rows_bytes: int, slice_bytes: int, least: int = 1, most: int = 1 << 16) -> int:
+def input_slices(rows_bytes: int, slice_bytes: int, least: int = 1, most: int = 1 << 16) -> int:
     """How many range slices an ordered job cuts its input into: by bytes, at most ``most``."""
     return int(max(least, min(most, -(-rows_bytes // slice_bytes))))

@@ -141,6 +141,6 @@ def pack_documents(docs: DataFrame, tokenizer: str, style: str = "kept", end_id:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     rows = docs.select(col(id_col).cast("long").alias("doc_id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0  # one number
-    slices = input_slices(docs.sparkSession, size, slice_bytes)
+    slices = input_slices(size, slice_bytes)
     ordered = rows.repartitionByRange(slices, "doc_id").sortWithinPartitions("doc_id", "text")
     return ordered.mapInPandas(_packer(tokenizer, style, end_id, window, run_tokens, sentence_cost, hard_cost, window_cost), PIECES)

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from recspark.llm import exact_dedup, packing
+from recspark.llm import exact_dedup, packing, token_files
 from recspark.llm.common import documents
 
 QUERIES = {}
@@ -29,3 +29,8 @@ def op10(spark, sf_dir):
 @_query("op8_packing")
 def op8(spark, sf_dir):
     return packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_query("op6_token_file")
+def op6(spark, sf_dir):
+    return token_files.token_file_round_trip(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), "dropped")
