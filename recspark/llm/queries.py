@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from recspark.llm import exact_dedup, packing, token_files
+from recspark.llm import exact_dedup, line_dedup, packing, secret_scan, token_files
 from recspark.llm.common import documents
 
 QUERIES = {}
@@ -34,3 +34,13 @@ def op8(spark, sf_dir):
 @_query("op6_token_file")
 def op6(spark, sf_dir):
     return token_files.token_file_round_trip(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), "dropped")
+
+
+@_query("op9_secret_scan")
+def op9(spark, sf_dir):
+    return secret_scan.scan_secrets(documents(spark, sf_dir))
+
+
+@_query("op4_line_dedup", line_dedup.SQL)
+def op4(spark, sf_dir):
+    return line_dedup.repeated_units(documents(spark, sf_dir))
