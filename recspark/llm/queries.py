@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from recspark.llm import exact_dedup, line_dedup, packing, secret_scan, token_files
+from recspark.llm import exact_dedup, line_dedup, packing, secret_scan, token_files, warc
 from recspark.llm.common import documents
 
 QUERIES = {}
@@ -44,3 +44,8 @@ def op9(spark, sf_dir):
 @_query("op4_line_dedup", line_dedup.SQL)
 def op4(spark, sf_dir):
     return line_dedup.repeated_units(documents(spark, sf_dir))
+
+
+@_query("op2_warc_segments")
+def op2(spark, sf_dir):
+    return warc.archive_round_trip(spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet"))
