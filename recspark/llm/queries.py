@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from recspark.llm import exact_dedup, line_dedup, packing, secret_scan, token_files, warc
+from recspark.llm import exact_dedup, langid, line_dedup, packing, secret_scan, token_files, warc
 from recspark.llm.common import documents
 
 QUERIES = {}
@@ -49,3 +49,8 @@ def op4(spark, sf_dir):
 @_query("op2_warc_segments")
 def op2(spark, sf_dir):
     return warc.archive_round_trip(spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet"))
+
+
+@_query("op7_language_id")
+def op7(spark, sf_dir):
+    return langid.split_fit_predict(documents(spark, sf_dir))
