@@ -43,3 +43,9 @@ def salted_left_join(left: DataFrame, right: DataFrame, keys: list[str], spread:
 def input_slices(rows_bytes: int, slice_bytes: int, least: int = 1, most: int = 1 << 16) -> int:
     """How many range slices an ordered job cuts its input into: by bytes, at most ``most``."""
     return int(max(least, min(most, -(-rows_bytes // slice_bytes))))
+
+
+def semi_join_by_size(rows: DataFrame, keys: DataFrame, key: str, most_bytes: int = 32 << 20) -> DataFrame:
+    """``rows`` whose ``key`` (a long) is in ``keys``: with a broadcast when the counted keys take at most ``most_bytes``, else by exchange."""
+    small = keys.count() * 16 <= most_bytes
+    return rows.join(F.broadcast(keys) if small else keys, key, "left_semi")

@@ -39,35 +39,49 @@ ship_by_value(__name__)
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
-def best_cuts(at: list[int], cost: list[int], window: int, window_cost: int) -> list[int]:
+def best_cuts(at: np.ndarray, cost: np.ndarray, window: int, window_cost: int) -> np.ndarray:
     """Positions where windows end: the cheapest segmentation of (0, at[-1]] with cuts among ``at``.
 
     ``at`` ascends, neighbours (and the first and 0) are at most ``window`` apart; cost[j] is paid for a cut at at[j].
     """
-    powers = [1 << k for k in range(window.bit_length()) if 1 << k <= window]
-    f = {0: 0}
-    came = {}
-    queue = deque([(0, 0)])  # (f(i) + x_i, x_i), both ascending
-    for x, c in zip(at, cost):
-        while queue[0][1] < x - window:
+    x = np.concatenate([[0], at])
+    # windows without padding, as (end, begin) pairs of boundaries: those of a power of two
+    ends, begins = [], []
+    for p in (1 << k for k in range(window.bit_length()) if 1 << k <= window):
+        k = np.minimum(np.searchsorted(x, x - p), len(x) - 1)
+        j = np.flatnonzero(x[k] == x - p)
+        ends.append(j)
+        begins.append(k[j])
+    ends, begins = np.concatenate(ends), np.concatenate(begins)
+    order = np.argsort(ends, kind="stable")
+    end, begin = ends[order].tolist(), begins[order].tolist()
+    end.append(len(x))
+    f, came = [0] * len(x), [0] * len(x)
+    pos, paid = x.tolist(), [0, *(cost + window_cost).tolist()]
+    queue, m = deque([0]), 0  # boundaries i whose f(i) + x_i ascends; the front is the best one in reach
+    key = [0] * len(x)
+    for j in range(1, len(pos)):
+        here = pos[j]
+        while pos[queue[0]] < here - window:
             queue.popleft()
-        best, back = queue[0]
-        best += window - x
-        for p in powers:
-            y = f.get(x - p)
-            if y is not None and y < best:
-                best, back = y, x - p
-        best += c + window_cost
-        f[x], came[x] = best, back
-        key = best + x
-        while queue and queue[-1][0] >= key:
+        back = queue[0]
+        best = key[back] + window - here
+        while end[m] == j:
+            y = f[begin[m]]
+            if y < best:
+                best, back = y, begin[m]
+            m += 1
+        f[j] = best = best + paid[j]
+        came[j] = back
+        key[j] = mine = best + here
+        while queue and key[queue[-1]] >= mine:
             queue.pop()
-        queue.append((key, x))
-    out, x = [], at[-1]
-    while x:
-        out.append(x)
-        x = came[x]
-    return out[::-1]
+        queue.append(j)
+    out, j = [], len(pos) - 1
+    while j:
+        out.append(pos[j])
+        j = came[j]
+    return np.array(out[::-1], np.int64)
 
 
 def boundaries(lengths: np.ndarray, sentence: np.ndarray, window: int, sentence_cost: int, hard_cost: int):
@@ -81,13 +95,13 @@ def boundaries(lengths: np.ndarray, sentence: np.ndarray, window: int, sentence_
     cost = np.full(len(at), hard_cost, np.int64)
     cost[np.isin(at, np.flatnonzero(sentence) + 1)] = sentence_cost
     cost[np.isin(at, docs)] = 0
-    return at.tolist(), cost.tolist()
+    return at, cost
 
 
 def pack_run(doc_ids: list, lengths: np.ndarray, ids: np.ndarray, sentence: np.ndarray, first_sequence: int, window: int,
              sentence_cost: int, hard_cost: int, window_cost: int):
     """Pieces (columns of PIECES) of one run, and the number of its windows."""
-    cuts = np.array(best_cuts(*boundaries(lengths, sentence, window, sentence_cost, hard_cost), window, window_cost), np.int64)
+    cuts = best_cuts(*boundaries(lengths, sentence, window, sentence_cost, hard_cost), window, window_cost)
     ends = np.cumsum(lengths)
     stops = np.union1d(cuts, ends)  # a piece ends where its window or its document ends
     begins = np.concatenate([[0], stops[:-1]])

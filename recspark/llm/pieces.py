@@ -13,8 +13,10 @@ run is a token of its own) or ``"dropped"``.
 from __future__ import annotations
 
 import os
+import re
 import sys
 import types
+import unicodedata
 from itertools import chain
 
 import numpy as np
@@ -26,12 +28,20 @@ from recspark.functions.shipping import ship_by_value
 ship_by_value(__name__)
 
 MARK = "\x01"
+PLAIN = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 CUTS = ((" ", MARK + " "), ("\n", "\n" + MARK), (".", MARK + "."), (",", MARK + ","))
 MAX_PIECES, MAX_IDS = 1_200_000, 8_000_000  # of a worker's cache; beyond either it starts anew
 #: what a piece's ends look like
 ENDS_WS, STARTS_WS, SPACE_WORD, ENDS_RUN, SENTENCE, STARTS_STOP, ENDS_WORD = 1, 2, 4, 8, 16, 32, 64
 
 
+def byte_alphabet() -> dict[int, int]:
+    """The character that stands for each byte in byte-level vocabularies: printable Latin-1 stands for itself, others follow from 256."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: b for b in plain} | {b: 256 + k for k, b in enumerate(rest)}
+
+
 class _Codes(dict):
     """piece -> code; a piece that is looked up for the first time gets the next code and is noted as new."""
 
@@ -55,6 +65,7 @@ class PieceEncoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
         self.style = style
+        self.alphabet = byte_alphabet()
         self._reset()
 
     def _reset(self):
@@ -65,15 +76,32 @@ class PieceEncoder:
         self.flags = np.zeros(0, np.uint8)
 
     def _learn(self) -> None:
-        """Encode the pieces that were met for the first time."""
+        """Encode the pieces that were met for the first time.
+
+        A plain Latin word is one word for the vocabulary's split, so its merges are asked for directly; all other pieces
+        go through the whole of the library's pipeline.
+        """
         new, self.codes.new = self.codes.new, []
         if not new:
             return
-        got = [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(new, add_special_tokens=False)]
-        self.pool = np.concatenate([self.pool, *got])
-        self.lens = np.concatenate([self.lens, np.array([len(g) for g in got], np.int64)])
+        got, flags = [None] * len(new), np.full(len(new), ENDS_WORD, np.uint8)
+        other = []
+        merge, to_bytes, kept = self.tok.model.tokenize, self.alphabet, self.style == "kept"
+        for k, p in enumerate(new):
+            if PLAIN.fullmatch(p):
+                if p[0] == " ":
+                    flags[k] |= STARTS_WS | SPACE_WORD
+                word = p if kept else p.lstrip(" ").lower()
+                got[k] = [x.id for x in merge(word.encode().decode("latin-1").translate(to_bytes))]
+            else:
+                other.append(k)
+        for k, e in zip(other, self.tok.encode_batch_fast([new[k] for k in other], add_special_tokens=False)):
+            got[k], flags[k] = e.ids, _flags(new[k] if kept else unicodedata.normalize("NFC", new[k]).lower())
+        lens = np.fromiter(map(len, got), np.int64, len(got))
+        self.pool = np.concatenate([self.pool, np.fromiter(chain.from_iterable(got), np.uint32, int(lens.sum()))])
+        self.lens = np.concatenate([self.lens, lens])
         self.starts = np.cumsum(self.lens) - self.lens
-        self.flags = np.concatenate([self.flags, np.array([_flags(p) for p in new], np.uint8)])
+        self.flags = np.concatenate([self.flags, flags])
 
     def _pieces(self, text: str) -> list[str]:
         if MARK in text:
@@ -167,6 +195,7 @@ def _joined(pieces: list[str], undo: set[int]) -> list[str]:
 
 
 def _flags(p: str) -> int:
+    """Of a piece as the word split sees it, so after a vocabulary's normalisation."""
     a, b = p[0], p[-1]
     out = ENDS_WS * b.isspace() | STARTS_WS * a.isspace() | SPACE_WORD * (a == " " and len(p) > 1 and not p[1].isspace())
     out |= ENDS_RUN * (len(p) > 1 and b.isspace() and p[-2].isspace())

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from recspark.llm import exact_dedup, langid, line_dedup, packing, secret_scan, token_files, warc
+from recspark.llm import exact_dedup, langid, line_dedup, near_dedup, packing, secret_scan, token_files, warc
 from recspark.llm.common import documents
 
 QUERIES = {}
@@ -54,3 +54,8 @@ def op2(spark, sf_dir):
 @_query("op7_language_id")
 def op7(spark, sf_dir):
     return langid.split_fit_predict(documents(spark, sf_dir))
+
+
+@_query("op3_minhash_bayes")
+def op3(spark, sf_dir):
+    return near_dedup.near_duplicates(documents(spark, sf_dir))
