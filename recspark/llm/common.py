@@ -45,7 +45,7 @@ def input_slices(rows_bytes: int, slice_bytes: int, least: int = 1, most: int =
     return int(max(least, min(most, -(-rows_bytes // slice_bytes))))
 
 
-def semi_join_by_size(rows: DataFrame, keys: DataFrame, key: str, most_bytes: int = 32 << 20) -> DataFrame:
-    """``rows`` whose ``key`` (a long) is in ``keys``: with a broadcast when the counted keys take at most ``most_bytes``, else by exchange."""
-    small = keys.count() * 16 <= most_bytes
-    return rows.join(F.broadcast(keys) if small else keys, key, "left_semi")
+def join_by_size(rows: DataFrame, keys: DataFrame, key: str, how: str, row_bytes: int = 16, most_bytes: int = 32 << 20) -> DataFrame:
+    """Semi or anti join of ``rows`` with a table of keys: by broadcast when the counted keys take at most ``most_bytes``, else by exchange."""
+    small = keys.count() * row_bytes <= most_bytes
+    return rows.join(F.broadcast(keys) if small else keys, key, how)

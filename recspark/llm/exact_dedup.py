@@ -25,7 +25,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recspark.llm.common import col, fresh, salted_left_join
+from recspark.llm.common import col, fresh, join_by_size, salted_left_join
 from recspark.session import materialize
 
 
@@ -92,15 +92,17 @@ def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Rows are matched by id and text digest; of repeated rows with equal id and text one stays.
     """
     key = fresh("copy_key", docs.columns)
-    kept = (exact_dedup(docs, id_col, text_col, **options).where("kept")
-            .select(_copy_key(F.col("doc_id"), F.col("text_sha256")).alias(key)).distinct())
+    found = materialize(exact_dedup(docs, id_col, text_col, **options)
+                        .select(_copy_key(F.col("doc_id"), F.col("text_sha256")).alias(key), "kept", "group_size"), "copies")
     sha = F.sha2(F.coalesce(col(text_col), F.lit("")).cast("binary"), 256)
-    return (docs.withColumn(key, _copy_key(col(id_col), sha))
-            .join(kept, [key], "left_semi").dropDuplicates([key]).drop(key))
+    tagged = docs.withColumn(key, _copy_key(col(id_col), sha))
+    left = join_by_size(tagged, found.where("NOT kept").select(key).distinct(), key, "left_anti", row_bytes=128)
+    repeated = found.where("kept AND group_size > 1").groupBy(key).count().where("count > 1")
+    return (left if repeated.isEmpty() else left.dropDuplicates([key])).drop(key)
 
 
 def _copy_key(doc_id, sha):
-    """One non-null string for id and text: the join and the removal of repeated rows share its exchange."""
+    """One non-null string for id and text."""
     return F.concat_ws(":", sha, F.coalesce(doc_id.cast("string"), F.lit("-")))
 
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recspark.functions.shipping import ship_by_value
-from recspark.llm.common import col, fresh, salted_left_join, semi_join_by_size
+from recspark.llm.common import col, fresh, salted_left_join, join_by_size
 from recspark.llm.components import components
 from recspark.llm.pieces import text_batches
 from recspark.llm.shingles import Shingler, Signer, band_keys, set_digest
@@ -162,7 +162,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, floors, perce
 
 def confirmed(likely: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int, spread: int) -> DataFrame:
     ends = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-    sets = (semi_join_by_size(texts.select(F.col("doc_id").alias("node"), "text"), ends, "node")
+    sets = (join_by_size(texts.select(F.col("doc_id").alias("node"), "text"), ends, "node", "left_semi")
             .mapInPandas(_set_rows, "node long, n long, data binary, digest binary")
             .join(nodes.select("node", "digest"), ["node", "digest"], "left_semi").dropDuplicates(["node"]).select("node", "n", "data"))
     return materialize(_with_hubs(likely, materialize(sets, "sets"), _judge_sets(percent), spread), "links")
@@ -258,6 +258,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one document of each group (the smallest id)."""
-    out = fresh("gone", docs.columns)
-    gone = near_duplicates(docs, id_col, text_col, **options).where("NOT kept").select(F.col("doc_id").alias(out)).distinct()
-    return docs.where(col(id_col).isNotNull()).join(gone, col(id_col).cast("long") == F.col(out), "left_anti")
+    key = fresh("near_id", docs.columns)
+    gone = materialize(near_duplicates(docs, id_col, text_col, **options).where("NOT kept").select(F.col("doc_id").alias(key)).distinct(), "gone")
+    tagged = docs.where(col(id_col).isNotNull()).withColumn(key, col(id_col).cast("long"))
+    return join_by_size(tagged, gone, key, "left_anti").drop(key)

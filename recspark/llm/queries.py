@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from recspark.llm import exact_dedup, langid, line_dedup, near_dedup, packing, secret_scan, token_files, warc
+from recspark.llm import exact_dedup, hamming, langid, line_dedup, mixing, near_dedup, packing, secret_scan, token_files, warc
 from recspark.llm.common import documents
 
 QUERIES = {}
@@ -59,3 +59,13 @@ def op7(spark, sf_dir):
 @_query("op3_minhash_bayes")
 def op3(spark, sf_dir):
     return near_dedup.near_duplicates(documents(spark, sf_dir))
+
+
+@_query("op1_hamming_topk", hamming.SQL)
+def op1(spark, sf_dir):
+    return hamming.nearest_embeddings(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
+
+
+@_query("op5_temperature_mixing", mixing.SQL)
+def op5(spark, sf_dir):
+    return mixing.mix_sources(documents(spark, sf_dir))
