@@ -155,5 +155,5 @@ SQL = """
     partly AS (SELECT d.*, before + sum(d.tokens) OVER (PARTITION BY d.source, d.block ORDER BY ('0x' || md5('1/' || epochs || '/' || doc_id)[1:8])::BIGINT, doc_id
                                                         ROWS UNBOUNDED PRECEDING) AS until
                FROM dealt d JOIN ahead a ON d.source IS NOT DISTINCT FROM a.source AND d.block = a.block)
-    SELECT doc_id, source, tokens, unnest(range(epochs)) AS epoch, block, weight FROM dealt
-    UNION ALL SELECT doc_id, source, tokens, epochs AS epoch, block, weight FROM partly WHERE until <= rest"""
+    SELECT doc_id, source, tokens, unnest(range(epochs)) AS epoch, block, round(weight, 9) AS weight FROM dealt
+    UNION ALL SELECT doc_id, source, tokens, epochs AS epoch, block, round(weight, 9) AS weight FROM partly WHERE until <= rest"""
