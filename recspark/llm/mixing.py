@@ -104,7 +104,7 @@ def mix_sources(docs: DataFrame, most_epochs: float | None = 1.25, entropy: floa
     sources = totals.withColumn("p", F.col("tokens") / F.lit(total or 1))
     share = None if budget == "cover" else 1.0 if budget is None or not total else budget / total
     exponent = bisect_exponent(sources, most_epochs, entropy, share) if total else 1.0
-    plan = materialize(mixing_weights(sources, exponent, budget).select("key", "weight", "epochs", "rest", F.ceil(F.col("tokens") / block_tokens).cast("int").alias("blocks")), "mix-plan")
+    plan = materialize(mixing_weights(sources, exponent, budget).select("key", F.round("weight", 9).alias("weight"), "epochs", "rest", F.ceil(F.col("tokens") / block_tokens).cast("int").alias("blocks")), "mix-plan")
     dealt = materialize(salted_left_join(base, plan, ["key"], F.col("doc_id")).where("weight IS NOT NULL")
                         .withColumn("block", F.pmod(order_key(F.lit("block"), F.lit(seed), "doc_id"), F.col("blocks")).cast("int")), "mix-dealt")
     out = ["doc_id", "source", "tokens", "epoch", "block", "weight"]
