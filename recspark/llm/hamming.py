@@ -78,7 +78,8 @@ def top_k_hamming(codes: DataFrame, queries: DataFrame, k: int, width: int, id_c
     nearest = Window.partitionBy("query_id").orderBy("distance", "id")
     m = len(cuts)
     for radius in range(max(n for _, n in cuts) + 1):
-        found = _probes(active, cuts, radius).join(index, ["seg", "value"])
+        # both sides pack well, so their shuffled size says little of what a broadcast would hold: always by exchange
+        found = _probes(active, cuts, radius).join(index.hint("merge"), ["seg", "value"])
         per = F.array(*[_distance("q", "c", j) for j in range(m)])
         first = F.forall(F.transform("per", lambda d, j: F.when(j < F.col("seg"), d > radius).otherwise(d >= radius)), lambda ok: ok)
         verified = (found.withColumn("per", per).where(first)

@@ -118,15 +118,15 @@ def _judge_signatures(floors, percent: int):
     return judge
 
 
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _judge_sets(percent: int):
     def judge(rows, hubs):
-        keep = []
-        for k, (x, y) in enumerate(zip(rows["data"], hubs["data"])):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-            if 100 * both >= percent * (len(x) + len(y) - both):
-                keep.append(k)
-        return np.array(keep, np.int64)
+        as_set = lambda x: np.frombuffer(x, np.uint64)
+        return np.array([k for k, (x, y) in enumerate(zip(rows["data"], hubs["data"])) if _linked(as_set(x), as_set(y), percent)], np.int64)
 
     return judge
 
@@ -153,57 +153,92 @@ def _set_rows(batches):
             yield pd.DataFrame({"node": ids[lo:hi], "n": [len(s) for s in sets], "data": [s.tobytes() for s in sets], "digest": [set_digest(s) for s in sets]})
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, floors, percent: int, spread: int) -> DataFrame:
-    """The pairs that the signatures leave and the full sets confirm."""
+def node_sets(ends: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, n, data): the full shingle sets of the given nodes, made from their texts again."""
+    sets = (join_by_size(texts.select(F.col("doc_id").alias("node"), "text"), ends, "node", "left_semi")
+            .mapInPandas(_set_rows, "node long, n long, data binary, digest binary")
+            .join(nodes.select("node", "digest"), ["node", "digest"], "left_semi").dropDuplicates(["node"]).select("node", "n", "data"))
+    return materialize(sets, "sets")
+
+
+def hub_links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, floors, percent: int, spread: int) -> DataFrame:
+    """The pairs (hub a, member b) that the signatures leave and the full sets confirm."""
     likely = materialize(_with_hubs(pairs, nodes.select("node", F.col("n_shingles").alias("n"), F.col("sig").alias("data")),
                                     _judge_signatures(floors, percent), spread), "likely")
-    return confirmed(likely, nodes, texts, percent, spread)
+    ends = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+    return materialize(_with_hubs(likely, node_sets(ends, nodes, texts), _judge_sets(percent), spread), "links")
 
 
-def confirmed(likely: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int, spread: int) -> DataFrame:
-    ends = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-    sets = (join_by_size(texts.select(F.col("doc_id").alias("node"), "text"), ends, "node", "left_semi")
-            .mapInPandas(_set_rows, "node long, n long, data binary, digest binary")
-            .join(nodes.select("node", "digest"), ["node", "digest"], "left_semi").dropDuplicates(["node"]).select("node", "n", "data"))
-    return materialize(_with_hubs(likely, materialize(sets, "sets"), _judge_sets(percent), spread), "links")
-
-
-def _tile_kernel(floors, percent: int):
-    """Rows sorted by tile: survivors among the pairs of a tile whose members are of different components (and sides)."""
-    def compare(tile: pd.DataFrame):
-        sig = np.frombuffer(b"".join(tile["sig"]), np.uint32).reshape(len(tile), -1)
-        node, comp, n, lead = (tile[c].to_numpy() for c in ("node", "comp", "n_shingles", "lead"))
-        first, second = [], []
-        for k in np.flatnonzero(~lead).tolist():
-            other = np.flatnonzero((comp != comp[k]) & _size_fits(n, n[k], percent) & (lead | (np.arange(len(tile)) > k)))
-            other = other[sequential_survivors(np.broadcast_to(sig[k], (len(other), sig.shape[1])), sig[other], floors, BATCH)]
-            first.append(np.full(len(other), node[k]))
-            second.append(node[other])
-        x, y = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (first, second))
-        return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+TILE = ["key", "kind", "i", "j"]
+LIVE = "key long, kind int, i int, j int, node long, comp long, lead boolean, n_shingles long, sig binary"
+
 
+def _likely_pairs(tile: pd.DataFrame, floors, percent: int):
+    """For each row outside the leading component, the rows it may be linked with (of another component, each pair once), best first."""
+    sig = np.frombuffer(b"".join(tile["sig"]), np.uint32).reshape(len(tile), -1)
+    comp, n, lead = (tile[c].to_numpy() for c in ("comp", "n_shingles", "lead"))
+    for k in np.flatnonzero(~lead).tolist():
+        other = np.flatnonzero((comp != comp[k]) & _size_fits(n, n[k], percent) & (lead | (np.arange(len(tile)) > k)))
+        other = other[sequential_survivors(np.broadcast_to(sig[k], (len(other), sig.shape[1])), sig[other], floors, BATCH)]
+        if len(other):
+            yield k, other[np.argsort(-(sig[other] == sig[k]).sum(axis=1), kind="stable")]
+
+
+def _live_rows(floors, percent: int):
+    def live(tile: pd.DataFrame):
+        rows = [np.append(other, k) for k, other in _likely_pairs(tile, floors, percent)]
+        return tile.iloc[np.unique(np.concatenate(rows))] if rows else tile.iloc[:0]
+
+    return live
+
+
+def _tile_links(floors, percent: int):
+    """Verified links of a tile that join components; a pair whose components already met is not compared."""
+    def links(tile: pd.DataFrame):
+        sets = [np.frombuffer(x, np.uint64) for x in tile["data"]]
+        node, comp = tile["node"].tolist(), tile["comp"].tolist()
+        parent = {c: c for c in comp}
+
+        def root(c):
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
+        out = []
+        for k, other in _likely_pairs(tile, floors, percent):
+            for o in other.tolist():
+                x, y = root(comp[k]), root(comp[o])
+                if x != y and _linked(sets[k], sets[o], percent):
+                    parent[max(x, y)] = min(x, y)
+                    out.append((min(node[k], node[o]), max(node[k], node[o])))
+        return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+
+    return links
+
+
+def _per_tile(work):
+    """Rows sorted by tile: ``work`` gets the frame of one tile at a time."""
     def run(batches):
         held = []
-        keys = ["key", "kind", "i", "j"]
         for batch in batches:
-            change = (batch[keys] != batch[keys].shift()).any(axis=1).to_numpy()
-            cuts = np.flatnonzero(change).tolist()
-            if held and cuts and cuts[0] == 0 and (batch[keys].iloc[0] == held[0][keys].iloc[0]).all():
+            new = (batch[TILE] != batch[TILE].shift()).any(axis=1).to_numpy()
+            cuts = np.flatnonzero(new).tolist()
+            if held and cuts and (batch[TILE].iloc[0] == held[0][TILE].iloc[0]).all():
                 cuts = cuts[1:]
             for lo, hi in zip([0, *cuts], [*cuts, len(batch)]):
                 if lo in cuts and held:
-                    yield compare(pd.concat(held))
+                    yield work(pd.concat(held, ignore_index=True))
                     held = []
                 if hi > lo:
                     held.append(batch.iloc[lo:hi])
         if held:
-            yield compare(pd.concat(held))
+            yield work(pd.concat(held, ignore_index=True))
 
     return run
 
 
-def remaining_pairs(members: DataFrame, nodes: DataFrame, comps: DataFrame, floors, percent: int, tile: int) -> DataFrame:
-    """Likely pairs of non-hub members (key, node) of one bucket that are of different components."""
+def remaining_tiles(members: DataFrame, nodes: DataFrame, comps: DataFrame, floors, percent: int, tile: int) -> DataFrame:
+    """Rows (LIVE) of tiles of one bucket that still have likely pairs of different components; ``members`` is (key, node)."""
     comp = F.coalesce("component", "node")
     rows = members.join(comps, "node", "left").select("key", "node", comp.alias("comp"))
     sizes = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
@@ -219,14 +254,18 @@ def remaining_pairs(members: DataFrame, nodes: DataFrame, comps: DataFrame, floo
     tiles = F.when(F.col("lead"), to("rest_tiles", lambda j: cell(0, F.col("c"), j))).otherwise(F.concat(
         to("lead_tiles", lambda i: cell(0, i, F.col("c"))), to("rest_tiles", lambda j: cell(1, F.least(F.col("c"), j), F.greatest(F.col("c"), j)))))
     placed = dealt.select("key", "node", "comp", "lead", F.explode(tiles).alias("t")).select("key", "t.*", "node", "comp", "lead")
-    rows = placed.join(nodes.select("node", "n_shingles", "sig"), "node")
-    pairs = (rows.repartition("key", "kind", "i", "j").sortWithinPartitions("key", "kind", "i", "j")
-             .mapInPandas(_tile_kernel(floors, percent), "a long, b long"))
-    return pairs.distinct()
+    rows = placed.join(nodes.select("node", "n_shingles", "sig"), "node").select(*[x.split()[0] for x in LIVE.split(", ")])
+    return rows.repartition(*TILE).sortWithinPartitions(*TILE).mapInPandas(_per_tile(_live_rows(floors, percent)), LIVE)
+
+
+def remaining_links(tiles: DataFrame, nodes: DataFrame, texts: DataFrame, floors, percent: int) -> DataFrame:
+    """Verified links between components inside the tiles; at most one row per row of a tile."""
+    rows = tiles.join(node_sets(tiles.select("node").distinct(), nodes, texts).select("node", "data"), "node")
+    return rows.repartition(*TILE).sortWithinPartitions(*TILE).mapInPandas(_per_tile(_tile_links(floors, percent)), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS,
-                    miss: float = 1e-9, spread: int = 64, tile: int = 256) -> DataFrame:
+                    miss: float = 1e-6, spread: int = 64, tile: int = 256) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept."""
     texts = docs.select(col(id_col).cast("long").alias("doc_id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
     signed = materialize(texts.mapInPandas(_sign(bands, rows), SIGNED), "signed")
@@ -241,11 +280,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hubs = placed.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1")
     members = materialize(salted_left_join(placed, hubs, ["key"], F.col("node"), 4).where("hub IS NOT NULL AND hub <> node")
                           .select("key", "node", "hub", "size"), "members")
-    links = verified(members.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), nodes, texts, floors, percent, spread)
+    links = hub_links(members.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), nodes, texts, floors, percent, spread)
     comps = components(links)
-    more = materialize(remaining_pairs(members.where("size > 2").select("key", "node"), nodes, comps, floors, percent, tile), "more")
-    if not more.isEmpty():
-        comps = components(links.union(confirmed(more, nodes, texts, percent, spread)))
+    tiles = materialize(remaining_tiles(members.where("size > 2").select("key", "node"), nodes, comps, floors, percent, tile), "tiles")
+    if not tiles.isEmpty():
+        comps = components(links.union(remaining_links(tiles, nodes, texts, floors, percent)))
 
     # classes with a component of their own or with copies; all others are their own component
     placed = classes.join(comps, "node", "left").select("digest", F.coalesce("component", "node").alias("component"), "node", "copies")

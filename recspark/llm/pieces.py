@@ -30,7 +30,7 @@ ship_by_value(__name__)
 MARK = "\x01"
 PLAIN = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 CUTS = ((" ", MARK + " "), ("\n", "\n" + MARK), (".", MARK + "."), (",", MARK + ","))
-MAX_PIECES, MAX_IDS = 1_200_000, 8_000_000  # of a worker's cache; beyond either it starts anew
+MAX_PIECES, MAX_IDS = 500_000, 4_000_000  # of a worker's cache; beyond either it starts anew
 #: what a piece's ends look like
 ENDS_WS, STARTS_WS, SPACE_WORD, ENDS_RUN, SENTENCE, STARTS_STOP, ENDS_WORD = 1, 2, 4, 8, 16, 32, 64
 
@@ -212,7 +212,7 @@ def worker_encoder(path: str, style: str) -> PieceEncoder:
     return known[path, style]
 
 
-def text_batches(texts: list[str], chars: int = 6_000_000):
+def text_batches(texts: list[str], chars: int = 3_000_000):
     """Slices of a batch with about ``chars`` characters each (a longer text is a slice of its own)."""
     lo = size = 0
     for k, t in enumerate(texts):
