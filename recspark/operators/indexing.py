@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recspark.functions.exprs import fold_of, mix_key
+from recspark.session import materialize
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition index in the upper 31 bits
 
@@ -18,18 +19,25 @@ def factorize(df: DataFrame, col: str, order_by=("date", "review_id"), out: str
     to the smaller value.  The distinct values are range-partitioned and
     sorted (a distributed sort), numbered inside each partition, and
     shifted by the row counts of the earlier partitions (one row per
-    partition, so a small broadcast).  No single-partition window.
+    partition, so a small broadcast).  The only window without a partition
+    runs over these partition rows.
     """
     out = out or f"{col}_code"
     first = (df.where(F.col(col).isNotNull())
                .groupBy(col)
                .agg(F.min(F.struct(*[F.col(c) for c in order_by])).alias("_first")))
     keys = [F.col("_first")[c] for c in order_by] + [F.col(col)]
-    ordered = first.repartitionByRange(num_partitions or df.sparkSession.sparkContext.defaultParallelism, *keys) \
+    spark = df.sparkSession
+    num_partitions = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                                           spark.sparkContext.defaultParallelism)
+    ordered = first.repartitionByRange(num_partitions, *keys) \
                    .sortWithinPartitions(*keys)
     tagged = ordered.withColumn("_mid", F.monotonically_increasing_id()) \
                     .withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS)) \
-                    .withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid"), _LOCAL_BITS))
+                    .withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid"), _LOCAL_BITS)) \
+                    .select(col, "_pid", "_local")
+    # range bounds are sampled per exchange, so offsets and codes must come from one written table
+    tagged = materialize(tagged, "factorize")
     sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = sizes.select("_pid", (F.sum("_cnt").over(Window.orderBy("_pid")) - F.col("_cnt")).alias("_off"))
     return (tagged.join(F.broadcast(offsets), "_pid")

@@ -20,14 +20,14 @@ block matrix product works:
    into their block's group; a heavy user's items are hashed into
    ceil(cells / h) blocks of its own and every cell is sent to the block
    pairs (lo, hi) it takes part in (``explode`` of a sequence, no join);
-3. each group is reduced inside its task with numpy: the products are
-   accumulated per item pair and only the per-pair partial sums leave the
-   task (never the per-user pairs);
+3. each group is reduced inside its task with numpy, chunk by chunk: the
+   products of a chunk are summed per item pair and these partial sums leave
+   the task as a stream, so a worker holds one chunk, whatever the group yields;
 4. a ``groupBy(i, j)`` adds the partial sums of all groups.
 
 A hot user is split over its own item blocks (pair work per group <= h^2),
 a hot item over the user blocks; light users are never replicated.
-Group size is bounded by the choice of ``U`` from the input row count.
+Group size and pair work are bounded by the choice of ``U`` from the users' degrees.
 
 Similarities
 ------------
@@ -43,24 +43,29 @@ From the sums, with ``n >= min_support`` (absent pair == similarity 0):
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from recspark.session import materialize
+
 SUM_COLS = ("sx", "sy", "sxx", "syy", "sxy")
 METRICS = ("cosine", "msd", "pearson", "pearson_baseline")
 
 
 # ---------------------------------------------------------------- pair sums
 
-def _block_pair_sums(a: pd.DataFrame, b: pd.DataFrame, same: bool, max_pairs: int) -> dict:
-    """Per-item-pair sums of one group.  ``a``/``b`` hold cells (u, it, c, s, q)."""
-    empty = {"i": np.empty(0, np.int64), "j": np.empty(0, np.int64), "n": np.empty(0, np.float64),
-             **{k: np.empty(0, np.float64) for k in SUM_COLS}}
+def _block_pair_sums(a: pd.DataFrame, b: pd.DataFrame, same: bool, max_pairs: int):
+    """Per-item-pair sums of one group, a frame per chunk of at most about ``max_pairs`` products.
+
+    ``a``/``b`` hold cells (u, it, c, s, q).  Nothing is kept between chunks: an item pair may come in
+    several frames, the aggregate over all groups adds them.
+    """
     if len(a) == 0 or len(b) == 0:
-        return empty
+        return
     a = a.sort_values("u", kind="stable")
     b = b.sort_values("u", kind="stable")
     ua = a["u"].to_numpy(np.int64)
@@ -70,7 +75,7 @@ def _block_pair_sums(a: pd.DataFrame, b: pd.DataFrame, same: bool, max_pairs: in
     pos_c = np.minimum(pos, len(b_users) - 1)
     hit = b_users[pos_c] == ua
     if not hit.any():
-        return empty
+        return
     a_item_all, a_loc_all = np.unique(a["it"].to_numpy(np.int64), return_inverse=True)
     b_items, b_loc = np.unique(b["it"].to_numpy(np.int64), return_inverse=True)
     nb = len(b_items)
@@ -88,7 +93,6 @@ def _block_pair_sums(a: pd.DataFrame, b: pd.DataFrame, same: bool, max_pairs: in
 
     cs = np.cumsum(cnt)
     m = len(cnt)
-    codes, parts = [], []
     lo = 0
     while lo < m:
         base = cs[lo - 1] if lo > 0 else 0
@@ -114,30 +118,19 @@ def _block_pair_sums(a: pd.DataFrame, b: pd.DataFrame, same: bool, max_pairs: in
                 "syy": ac[rep] * bq[bidx],
                 "sxy": as_[rep] * bs[bidx],
             }
-            codes.append(uniq)
-            parts.append({key: np.bincount(inv, weights=val, minlength=k) for key, val in w.items()})
+            sums = {key: np.bincount(inv, weights=val, minlength=k) for key, val in w.items()}
+            i, j = a_item_all[uniq // nb], b_items[uniq % nb]
+            swap = i > j
+            yield {"i": np.where(swap, j, i), "j": np.where(swap, i, j), "n": sums["n"],
+                   "sx": np.where(swap, sums["sy"], sums["sx"]), "sy": np.where(swap, sums["sx"], sums["sy"]),
+                   "sxx": np.where(swap, sums["syy"], sums["sxx"]), "syy": np.where(swap, sums["sxx"], sums["syy"]),
+                   "sxy": sums["sxy"]}
         lo = hi
-    if not codes:
-        return empty
-    if len(codes) == 1:
-        code, sums = codes[0], parts[0]
-    else:
-        allc = np.concatenate(codes)
-        code, inv = np.unique(allc, return_inverse=True)
-        sums = {key: np.bincount(inv, weights=np.concatenate([p[key] for p in parts]), minlength=len(code))
-                for key in parts[0]}
-    i = a_item_all[code // nb]
-    j = b_items[code % nb]
-    swap = i > j
-    out = {"i": np.where(swap, j, i), "j": np.where(swap, i, j), "n": sums["n"],
-           "sx": np.where(swap, sums["sy"], sums["sx"]), "sy": np.where(swap, sums["sx"], sums["sy"]),
-           "sxx": np.where(swap, sums["syy"], sums["sxx"]), "syy": np.where(swap, sums["sxx"], sums["syy"]),
-           "sxy": sums["sxy"]}
-    return out
 
 
 def _make_kernel(by: list[str], max_pairs: int):
-    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
+    def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(batches), ignore_index=True)  # the cells of a group, bounded by the planning
         lo = int(pdf["lo"].iat[0])
         hi = int(pdf["hi"].iat[0])
         if lo == hi:
@@ -145,25 +138,45 @@ def _make_kernel(by: list[str], max_pairs: int):
         else:
             blk = pdf["blk"].to_numpy()
             a, b = pdf[blk == lo], pdf[blk == hi]
-        res = _block_pair_sums(a, b, lo == hi, max_pairs)
-        out = pd.DataFrame(res)
-        for k in reversed(by):
-            out.insert(0, k, pdf[k].iat[0])
-        return out
+        for res in _block_pair_sums(a, b, lo == hi, max_pairs):
+            out = pd.DataFrame(res)
+            for k in reversed(by):
+                out.insert(0, k, pdf[k].iat[0])
+            yield out
+
+    # the types themselves, not their names: they select the streaming form of applyInPandas
+    kernel.__annotations__ = {"batches": Iterator[pd.DataFrame], "return": Iterator[pd.DataFrame]}
     return kernel
 
 
-def plan_user_blocks(ratings: DataFrame, rows_per_group: int = 400_000) -> int:
-    """Number of light-user blocks, from one small aggregate (row count) over the input."""
-    rows = int(ratings.agg(F.count(F.lit(1)).alias("rows")).first()["rows"] or 0)
-    par = ratings.sparkSession.sparkContext.defaultParallelism
-    return max(1, math.ceil(rows / rows_per_group), 2 * par)
+def plan_user_blocks(degrees: DataFrame, rows_per_group: int = 400_000, pairs_per_group: int = 50_000_000,
+                     heavy_cells: int = 2048) -> int:
+    """Number of light-user blocks, from one aggregate row over the users' cell counts (column ``deg``).
+
+    A group's work is the sum of deg^2 over its users, its memory the sum of deg: both are bounded on average.
+    """
+    d = F.col("deg").cast("double")
+    seen = degrees.where(F.col("deg") <= heavy_cells).agg(F.sum(d).alias("cells"), F.sum(d * d).alias("pairs")).first()
+    par = degrees.sparkSession.sparkContext.defaultParallelism
+    return max(1, 2 * par, math.ceil((seen["cells"] or 0) / rows_per_group), math.ceil((seen["pairs"] or 0) / pairs_per_group))
+
+
+def prune_rare_items(cells: DataFrame, min_support: int, by: list[str], user: str, item: str) -> DataFrame:
+    """Cells without the items that cannot be in a pair with n >= ``min_support`` (lossless).
+
+    n of a pair is the sum over users of c_i * c_j, so it is at most the sum over i's users of
+    c_i * (the user's largest c); items below that bound drop out before any pairing.
+    """
+    most = cells.groupBy(*by, user).agg(F.max("c").alias("_most"))
+    keep = (cells.join(most, by + [user]).groupBy(*by, item).agg(F.sum(F.col("c") * F.col("_most")).alias("_bound"))
+            .where(F.col("_bound") >= min_support).drop("_bound"))
+    return cells.join(keep, by + [item], "left_semi")
 
 
 def pair_sums(ratings: DataFrame, user: str = "uid", item: str = "iid", value: str = "stars",
               by=(), n_user_blocks: int | None = None, heavy_cells: int = 2048,
-              rows_per_group: int = 400_000, max_pairs_per_chunk: int = 2_000_000,
-              integer_sums: bool = True) -> DataFrame:
+              rows_per_group: int = 400_000, max_pairs_per_chunk: int = 500_000,
+              integer_sums: bool = True, min_support: int = 1) -> DataFrame:
     """(by..., i, j, n, sx, sy, sxx, syy, sxy) for item pairs i < j rated by a common user.
 
     Cells (user, item) are grouped for the in-task block product:
@@ -175,6 +188,9 @@ def pair_sums(ratings: DataFrame, user: str = "uid", item: str = "iid", value: s
       takes part in -- replication is paid by heavy users only, and every
       group holds at most about 2 * heavy_cells cells of one heavy user.
 
+    With ``min_support`` above 1, items that cannot reach it are dropped before pairing (pairs
+    with n >= min_support are unchanged, rarer ones may be missing).
+
     ``by`` columns (e.g. a cross-validation fold) are carried as extra keys:
     sums are computed independently per ``by`` value in the same job.
     Swap ``user`` and ``item`` for user-user sums.
@@ -184,8 +200,12 @@ def pair_sums(ratings: DataFrame, user: str = "uid", item: str = "iid", value: s
     cells = (ratings.where(F.col(user).isNotNull() & F.col(item).isNotNull() & F.col(value).isNotNull())
              .groupBy(*by, user, item)
              .agg(F.count(F.lit(1)).alias("c"), F.sum(v).alias("s"), F.sum(v * v).alias("q")))
-    n_user_blocks = int(n_user_blocks or plan_user_blocks(ratings, rows_per_group))
+    if min_support > 1:
+        cells = prune_rare_items(cells, min_support, by, user, item)
+    if n_user_blocks is None:  # planning reads the users' degrees: write the cells once instead of making them twice
+        cells = materialize(cells, "rating-cells")
     deg = cells.groupBy(*by, user).agg(F.count(F.lit(1)).alias("deg"))
+    n_user_blocks = int(n_user_blocks or plan_user_blocks(deg, rows_per_group, heavy_cells=heavy_cells))
     heavy = F.col("deg") > heavy_cells
     nblk = F.when(heavy, F.ceil(F.col("deg") / F.lit(heavy_cells))).otherwise(F.lit(1)).cast("int")
     x = (cells.join(deg, by + [user], "inner")

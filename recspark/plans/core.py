@@ -53,6 +53,17 @@ def q_join_corated_pairs(spark, d):
     return fx.fx_sums(spark, d)
 
 
+@register("join_corated_pairs_full", with_ctes(
+    [fx.REVIEWS] + fx.pair_sum_ctes(src="reviews"),
+    "SELECT i, count(*) AS pairs, CAST(sum(n) AS BIGINT) AS n, CAST(sum(sx) AS BIGINT) AS sx, CAST(sum(sy) AS BIGINT) AS sy, "
+    "CAST(sum(sxy) AS BIGINT) AS sxy, max(j) AS last_j FROM pairsums GROUP BY i"), ops="J6")
+def q_join_corated_pairs_full(spark, d):
+    """All reviews, untrimmed: every co-rated pair is made, then totalled per first item."""
+    pairs = pair_sums(fx.fx_reviews(spark, d))
+    return pairs.groupBy("i").agg(F.count(F.lit(1)).alias("pairs"), *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxy")],
+                                  F.max("j").alias("last_j"))
+
+
 def _sim_query(metric):
     def build(spark, d):
         s = fx.fx_sims(spark, d, metric)
@@ -71,7 +82,7 @@ for _m, _ops in (("cosine", "M1"), ("msd", "M2"), ("pearson", "M3")):
     + fx.sims_ctes("cosine", src="upairs", out="usims"),
     "SELECT i, j, n, round(sim, 6) AS sim FROM usims"), ops="M5 Q1")
 def q_sim_cosine_users(spark, d):
-    sums = pair_sums(fx.fx_ratings(spark, d), user="iid", item="uid")
+    sums = pair_sums(fx.fx_ratings(spark, d), user="iid", item="uid", min_support=fx.MIN_SUPPORT)
     s = similarity(sums, "cosine", fx.MIN_SUPPORT)
     return s.select("i", "j", "n", r6("sim").alias("sim"))
 
@@ -81,7 +92,7 @@ def q_sim_cosine_users(spark, d):
     "SELECT i, j, n, round(sim, 6) AS sim FROM simsm"), ops="M6")
 def q_sim_matrix_long(spark, d):
     ratings = fx.fx_ratings(spark, d)
-    s = mirror(similarity(pair_sums(ratings), "cosine", fx.MIN_SUPPORT), ratings)
+    s = mirror(similarity(pair_sums(ratings, min_support=fx.MIN_SUPPORT), "cosine", fx.MIN_SUPPORT), ratings)
     return s.select("i", "j", "n", r6("sim").alias("sim"))
 
 
@@ -135,7 +146,7 @@ REC_SQL = fx.RATINGS + fx.pair_sum_ctes() + fx.sims_ctes() + fx.mirrored_ctes()
 def _demo_scores(spark, d):
     ratings = fx.fx_ratings(spark, d)
     items = fx.fx_items(spark, d)
-    sims = mirror(similarity(pair_sums(ratings), "cosine", fx.MIN_SUPPORT), ratings)
+    sims = mirror(similarity(pair_sums(ratings, min_support=fx.MIN_SUPPORT), "cosine", fx.MIN_SUPPORT), ratings)
     imap = item_map(ratings, items, fx.fx_patterns(spark))
     reqs = fx.fx_requests(spark)
     return mean_similarity(sims, resolve_picks(reqs, imap)), items, reqs
@@ -208,7 +219,7 @@ BATCH_SQL = fx.RATINGS + fx.pair_sum_ctes() + fx.sims_ctes() + fx.mirrored_ctes(
 def q_rec_batch_requests(spark, d):
     ratings = fx.fx_ratings(spark, d)
     items = fx.fx_items(spark, d)
-    sims = mirror(similarity(pair_sums(ratings), "cosine", fx.MIN_SUPPORT), ratings)
+    sims = mirror(similarity(pair_sums(ratings, min_support=fx.MIN_SUPPORT), "cosine", fx.MIN_SUPPORT), ratings)
     reqs = latest_names_requests(ratings, items, 4)
     picks = resolve_picks(reqs, item_map_by_name(ratings, items))
     out = recommend(mean_similarity(sims, picks), items, reqs, fx.TOP_N, "filter_then_pick")

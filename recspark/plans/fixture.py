@@ -52,7 +52,7 @@ def fx_sums(spark: SparkSession, d: str) -> DataFrame:
 
 
 def fx_sims(spark: SparkSession, d: str, metric: str = "cosine", min_support: int = MIN_SUPPORT) -> DataFrame:
-    return similarity(fx_sums(spark, d), metric, min_support, SHRINKAGE)
+    return similarity(pair_sums(fx_ratings(spark, d), min_support=min_support), metric, min_support, SHRINKAGE)
 
 
 def fx_requests(spark: SparkSession) -> DataFrame:

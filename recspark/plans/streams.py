@@ -57,3 +57,15 @@ def q_incremental_pairs(spark, d):
                         max_files_per_trigger=3)
     return current_sums(spark, state).select("i", "j", "n", "sx", "sy", "sxx", "syy", "sxy")
 
+
+
+@register("stream_ingest_redelivered", f"SELECT {EV_COLS} FROM events", ops="T2")
+def q_ingest_redelivered(spark, d):
+    """The same events staged twice, read from two checkpoints: every event is stored once."""
+    source, sink = scratch_path(spark, "events-staged"), scratch_path(spark, "events-sink")
+    ev = events_table(spark, d).select(*EV_COLS.split(", "))
+    ev.write.parquet(source)
+    ev.where(F.col("event_id") >= _mid(ev)).write.mode("append").parquet(source)   # delivered again
+    ingest(spark, source, sink, scratch_path(spark, "events-ckpt"), EVENT_SCHEMA, max_files_per_trigger=1)
+    ingest(spark, source, sink, scratch_path(spark, "events-ckpt"), EVENT_SCHEMA)
+    return read_sink(spark, sink).select(*EV_COLS.split(", "))

@@ -6,13 +6,18 @@ next number to ask for); ``ingest`` is the streaming form: a file
 source read with Structured Streaming, written by ``foreachBatch``.
 
 Exactly-once effect: every micro-batch overwrites its own folder
-``batch=<id>``.  A batch replayed after a crash between the sink write
-and the offset commit gets the same id and the same files, so it
-rewrites the same rows instead of appending them twice.
+``run=<query id>/batch=<id>``.  The query id lives in the checkpoint, so a
+batch replayed after a crash between the sink write and the offset commit
+rewrites the same rows, while a new checkpoint writes to a folder of its
+own and can never replace what another run has stored.  Sequence numbers
+that the sink already holds (re-delivered files, a second run over the
+same source) are dropped, and so are repeats inside a batch.
 """
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,8 +50,12 @@ def next_sequence(events: DataFrame, n, seq: str = "event_id") -> DataFrame:
 
 def ingest(spark: SparkSession, source: str, sink: str, checkpoint_location: str,
            schema: T.StructType = EVENT_SCHEMA, fmt: str = "parquet", trigger: str = "availableNow",
-           interval: str = "30 seconds", max_files_per_trigger: int | None = None, wait: bool = True):
-    """Stream files under ``source`` into ``sink`` (parquet), one folder per micro-batch.
+           interval: str = "30 seconds", max_files_per_trigger: int | None = None, wait: bool = True,
+           seq: str | None = "event_id"):
+    """Stream files under ``source`` into ``sink`` (parquet), one folder per run and micro-batch.
+
+    ``seq`` is the sequence number by which events are told apart (rows without one are kept once per
+    batch); None stores every row as it comes.
 
     trigger='availableNow' drains what is there and stops (tests, backfill);
     trigger='processingTime' polls every ``interval``.
@@ -56,17 +65,50 @@ def ingest(spark: SparkSession, source: str, sink: str, checkpoint_location: str
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(source)
 
+    root, started, query_id = sink.rstrip("/"), threading.Event(), []
+
     def write_batch(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch={batch_id}")
+        if not started.wait(300):
+            raise RuntimeError("the query did not report its id")
+        mine = f"{root}/run={query_id[0]}/batch={batch_id}"
+        new = _unseen(df.dropDuplicates([seq]) if seq else df, root, query_id[0], batch_id, seq)
+        new.write.mode("overwrite").parquet(mine)
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if trigger == "availableNow" else w.trigger(processingTime=interval)
     q = w.start()
+    query_id.append(q.id)
+    started.set()
     if wait:
         q.awaitTermination()
     return q
 
 
+def _unseen(batch: DataFrame, sink: str, run: str, batch_id: int, seq: str | None) -> DataFrame:
+    """Rows of a batch whose sequence number no other batch in the sink has.
+
+    Only the range of numbers that the batch spans is read, and only that column.
+    """
+    spark = batch.sparkSession
+    if seq is None or not _exists(spark, sink):
+        return batch
+    span = batch.agg(F.min(seq).alias("lo"), F.max(seq).alias("hi")).first()  # one row
+    if span["lo"] is None:
+        return batch
+    schema = T.StructType([batch.schema[seq], T.StructField("run", T.StringType()), T.StructField("batch", T.LongType())])
+    stored = (spark.read.schema(schema).parquet(sink)
+              .where(F.col(seq).between(span["lo"], span["hi"]))
+              .where((F.col("run") != run) | (F.col("batch") != batch_id)))
+    return batch.join(stored.select(seq), seq, "left_anti")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, asked through the file system that Spark would read it with."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_sink(spark: SparkSession, sink: str, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
-    """All ingested rows (the ``batch`` partition column is dropped)."""
-    return spark.read.schema(schema).parquet(sink)
+    """All ingested rows (the partition columns ``run`` and ``batch`` are dropped)."""
+    return spark.read.schema(schema).parquet(sink).select(*schema.fieldNames())

@@ -76,3 +76,17 @@ def test_approx_profile_close_to_exact(spark):
     assert a.keys() == e.keys()
     for k in e:
         assert abs(a[k] - e[k]) <= 0.06 * e[k] + 1, (k, a[k], e[k])
+
+
+def test_factorize_without_exchange_reuse(spark):
+    """Codes stay dense and unique when Spark plans every exchange on its own (bounds are sampled per exchange)."""
+    from recspark.operators.indexing import factorize
+
+    rows = spark.range(60_000).selectExpr("id AS review_id", "CAST(pmod(xxhash64(id), 9000) AS LONG) AS uid",
+                                          "CAST(timestamp_seconds(pmod(xxhash64(id, 1), 100000)) AS TIMESTAMP_NTZ) AS date")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        codes = [r[0] for r in factorize(rows, "uid").select("uid_code").collect()]
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert sorted(codes) == list(range(len(codes))) and len(codes) == rows.select("uid").distinct().count()

@@ -1,5 +1,6 @@
 """A hot key holding a third of all rows: exact results, work split across groups."""
 
+import os
 import random
 
 import pandas as pd
@@ -45,3 +46,40 @@ def test_hot_user_trim_keeps_all_rows(spark):
     kept = trim_users(df, 3)
     assert kept.count() == 6000
     assert kept.where(F.col("uid") == 0).count() == 3000
+
+
+def test_pair_kernel_streams_in_bounded_memory():
+    """20 users of 2,048 items (41 thousand cells, 42 million pairs) in one group: the worker holds a chunk, not the sums."""
+    import subprocess
+    import sys
+
+    script = """
+import resource, sys
+sys.path.insert(0, {root!r})
+import numpy as np, pandas as pd
+from recspark.operators.similarity import _make_kernel
+users, items = 20, 2048
+rng = np.random.default_rng(0)
+cells = pd.DataFrame({{"lo": 0, "hi": 0, "blk": 0, "u": np.repeat(np.arange(users), items),
+                      "it": np.concatenate([rng.choice(20_000, items, replace=False) for _ in range(users)]),
+                      "c": 1, "s": 3.0, "q": 9.0}})
+n = sum(f["n"].sum() for f in _make_kernel([], 500_000)(iter([cells])))
+print(int(n), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", script.format(root=root)], capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0, out.stderr[-2000:]
+    pairs, mb = map(int, out.stdout.split())
+    assert pairs == 20 * 2048 * 2047 // 2 and mb < 1500
+
+
+def test_rare_items_are_pruned_without_loss(spark):
+    import random
+    rng = random.Random(4)
+    rows = [(k, rng.randrange(12), rng.randrange(40), rng.randint(1, 5)) for k in range(220)]
+    rows += [(900 + k, 3, 77, 4) for k in range(3)] + [(950, 3, 78, 2)]  # one user, repeated ratings: n = 3 from a single rater
+    df = spark.createDataFrame(rows, "review_id long, uid long, iid long, stars int")
+    for least in (2, 3):
+        full = {tuple(r) for r in pair_sums(df).where(F.col("n") >= least).collect()}
+        pruned = {tuple(r) for r in pair_sums(df, min_support=least).where(F.col("n") >= least).collect()}
+        assert full == pruned and any(r[0] == 77 for r in full)

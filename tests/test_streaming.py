@@ -24,11 +24,31 @@ def test_ingest_twice_from_one_checkpoint(spark):
 
 
 def test_replayed_batch_is_idempotent(spark):
+    """A crash between the sink write and the offset commit: the batch runs again from the same checkpoint."""
+    import glob
+    import os
+
+    ev = spark.read.parquet(f"{SMOKE}/events.parquet")
+    src, sink, ckpt = (scratch_path(spark, x) for x in ("ev-src", "ev-sink", "ev-ckpt"))
+    ev.write.parquet(src)
+    ingest(spark, src, sink, ckpt, EVENT_SCHEMA)
+    commits = glob.glob(ckpt.replace("file:", "") + "/commits/*") + glob.glob(ckpt.replace("file:", "") + "/commits/.*.crc")
+    assert commits
+    for c in commits:
+        os.remove(c)
+    ingest(spark, src, sink, ckpt, EVENT_SCHEMA)
+    assert read_sink(spark, sink).count() == ev.count() == read_sink(spark, sink).select("event_id").distinct().count()
+
+
+def test_new_checkpoint_keeps_what_is_stored(spark):
     ev = spark.read.parquet(f"{SMOKE}/events.parquet")
     sink = scratch_path(spark, "ev-sink")
-    for _ in range(2):  # the same batch id written twice (crash before the offset commit)
-        ev.write.mode("overwrite").parquet(f"{sink}/batch=0")
-    assert read_sink(spark, sink).count() == ev.count()
+    for cond in (F.col("event_id") < 300, F.col("event_id") >= 200):
+        src = scratch_path(spark, "ev-src")
+        ev.where(cond).write.parquet(src)
+        ingest(spark, src, sink, scratch_path(spark, "ev-ckpt"), EVENT_SCHEMA)
+    out = read_sink(spark, sink)
+    assert out.count() == ev.count() and out.exceptAll(ev.select(*out.columns)).count() == 0
 
 
 def test_fetch_since_and_next(spark):
