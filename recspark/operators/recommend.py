@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from recspark.session import materialize
+
 
 def resolve_picks(requests: DataFrame, item_map: DataFrame) -> DataFrame:
     """(request_id, iid): picked names -> items via the item map.
@@ -55,22 +57,56 @@ def recommend(scores: DataFrame, items: DataFrame, requests: DataFrame, n: int =
     then drop picked names and closed items; may return fewer than ``n``
     rows (``rank`` is the position before filtering).
 
+    All of ``items`` are ranked: one without a row in ``scores`` has score 0.
+    The score table stays sparse; :func:`_zero_candidates` adds, per request
+    that needs them, just enough of these items for an exact result.
+
     Top-n per request is ``row_number() <= n``; Spark applies the limit on
     the map side (window group limit) before the shuffle.
     """
-    named = scores.join(items.select("iid", "name", "is_open"), "iid", "inner")
+    names = items.select("iid", "name", "is_open")
+    named = scores.join(names, "iid", "inner")
     picked_names = requests.select("request_id", "name").where(F.col("name").isNotNull()).distinct()
     if mode == "filter_then_pick":
         cand = named.join(picked_names, ["request_id", "name"], "left_anti").where(F.col("is_open") == 1)
-        out = cand.withColumn("rank", F.row_number().over(_rank_window())).where(F.col("rank") <= n)
+        fill = _zero_candidates(named, cand, names.where(F.col("is_open") == 1), n, picked_names)
+        fill = fill.join(picked_names, ["request_id", "name"], "left_anti")
+        out = (cand.unionByName(fill).withColumn("rank", F.row_number().over(_rank_window()))
+               .where(F.col("rank") <= n))
     elif mode == "pick_then_filter":
-        top = named.withColumn("rank", F.row_number().over(_rank_window())).where(F.col("rank") <= n + 2)
+        fill = _zero_candidates(named, named, names, n + 2, None)
+        top = (named.unionByName(fill).withColumn("rank", F.row_number().over(_rank_window()))
+               .where(F.col("rank") <= n + 2))
         out = top.join(picked_names, ["request_id", "name"], "left_anti").where(F.col("is_open") == 1)
     else:
         raise ValueError(f"unknown mode {mode!r}")
     return out.select("request_id", F.col("rank").cast("long").alias("rank"), "iid", "name", "score")
 
 
+def _zero_candidates(named: DataFrame, ranked: DataFrame, items: DataFrame, n: int, picked_names) -> DataFrame:
+    """Score-0 rows (columns of ``named``) for the requests with fewer than ``n`` positive scores in ``ranked``.
+
+    Such items tie and are ordered by iid.  Of the first n + (scored items) + (items of picked names) items
+    in that order, at least n are neither scored nor excluded, so these positions are enough.  Only the
+    longest of these prefixes is ordered globally.
+    """
+    positive = F.sum(F.when(F.round("score", 9) > 0, 1).otherwise(0))
+    have = ranked.groupBy("request_id").agg(positive.alias("good"))
+    need = (named.groupBy("request_id").agg(F.count(F.lit(1)).alias("scored")).join(have, "request_id", "left")
+            .where(F.coalesce("good", F.lit(0)) < n))
+    if picked_names is not None:
+        same_name = items.groupBy("name").agg(F.count(F.lit(1)).alias("same"))
+        barred = picked_names.join(same_name, "name").groupBy("request_id").agg(F.sum("same").alias("barred"))
+        need = need.join(barred, "request_id", "left").withColumn("scored", F.col("scored") + F.coalesce("barred", F.lit(0)))
+    need = materialize(need.select("request_id", (F.col("scored") + n).alias("first")), "short-requests")
+    longest = need.agg(F.max("first")).first()[0] or 0  # one number
+    first = items.orderBy("iid").limit(longest)
+    place = first.withColumn("place", F.row_number().over(Window.orderBy("iid")).cast("long"))  # ``longest`` rows
+    asked = need.withColumn("place", F.explode(F.sequence(F.lit(1).cast("long"), F.col("first").cast("long"))))
+    rows = asked.join(place, "place").join(named.select("request_id", "iid"), ["request_id", "iid"], "left_anti")
+    return rows.select(*[F.lit(0.0).alias("score") if c == "score" else c for c in named.columns])
+
+
 def latest_names_requests(reviews: DataFrame, items: DataFrame, per_user: int = 4) -> DataFrame:
     """(request_id, name): a user's ``per_user`` most recently reviewed distinct names.
 

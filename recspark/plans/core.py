@@ -11,6 +11,7 @@ from recspark.operators.similarity import mirror, pair_sums, similarity
 from recspark.operators.trim import since_year, trim, trim_items, trim_users
 from recspark.plans import fixture as fx
 from recspark.plans.registry import register, with_ctes
+from recspark.session import materialize
 
 ROW_COLS = "review_id, uid, iid, stars, date"
 
@@ -143,13 +144,18 @@ REC_SQL = fx.RATINGS + fx.pair_sum_ctes() + fx.sims_ctes() + fx.mirrored_ctes()
 ]
 
 
+def _rated_items(items, ratings):
+    """The items of the rating matrix: all of them are ranked for a request."""
+    return items.join(ratings.select("iid").distinct(), "iid", "left_semi")
+
+
 def _demo_scores(spark, d):
     ratings = fx.fx_ratings(spark, d)
-    items = fx.fx_items(spark, d)
+    items = _rated_items(fx.fx_items(spark, d), ratings)
     sims = mirror(similarity(pair_sums(ratings, min_support=fx.MIN_SUPPORT), "cosine", fx.MIN_SUPPORT), ratings)
     imap = item_map(ratings, items, fx.fx_patterns(spark))
     reqs = fx.fx_requests(spark)
-    return mean_similarity(sims, resolve_picks(reqs, imap)), items, reqs
+    return materialize(mean_similarity(sims, resolve_picks(reqs, imap)), "scores"), items, reqs
 
 
 @register("rec_mean_similarity", with_ctes(
@@ -160,7 +166,9 @@ def q_rec_mean_similarity(spark, d):
 
 
 REC_TOP_SQL = REC_SQL + [
-    """named AS (SELECT s.request_id, s.iid, i.name, i.is_open, s.score FROM scores s JOIN items i ON s.iid = i.iid)""",
+    """named AS (SELECT p.request_id, i.iid, i.name, i.is_open, COALESCE(s.score, 0.0) AS score
+       FROM npicks p CROSS JOIN (SELECT * FROM items WHERE iid IN (SELECT iid FROM ratings)) i
+       LEFT JOIN scores s ON s.request_id = p.request_id AND s.iid = i.iid)""",
 ]
 
 
@@ -206,7 +214,9 @@ BATCH_SQL = fx.RATINGS + fx.pair_sum_ctes() + fx.sims_ctes() + fx.mirrored_ctes(
     """bscores AS (SELECT p.request_id, s.i AS iid, sum(s.sim) / max(np.m) AS score
        FROM bpicks p JOIN simsm s ON s.j = p.iid JOIN bnp np ON np.request_id = p.request_id
        GROUP BY p.request_id, s.i)""",
-    """bnamed AS (SELECT s.request_id, s.iid, i.name, i.is_open, s.score FROM bscores s JOIN items i ON s.iid = i.iid)""",
+    """bnamed AS (SELECT p.request_id, i.iid, i.name, i.is_open, COALESCE(s.score, 0.0) AS score
+       FROM bnp p CROSS JOIN (SELECT * FROM items WHERE iid IN (SELECT iid FROM ratings)) i
+       LEFT JOIN bscores s ON s.request_id = p.request_id AND s.iid = i.iid)""",
 ]
 
 
@@ -218,11 +228,14 @@ BATCH_SQL = fx.RATINGS + fx.pair_sum_ctes() + fx.sims_ctes() + fx.mirrored_ctes(
     WHERE rank <= {fx.TOP_N}"""), ops="R6 R1 R3")
 def q_rec_batch_requests(spark, d):
     ratings = fx.fx_ratings(spark, d)
-    items = fx.fx_items(spark, d)
+    items = materialize(_rated_items(fx.fx_items(spark, d), ratings), "rated-items")
     sims = mirror(similarity(pair_sums(ratings, min_support=fx.MIN_SUPPORT), "cosine", fx.MIN_SUPPORT), ratings)
-    reqs = latest_names_requests(ratings, items, 4)
-    picks = resolve_picks(reqs, item_map_by_name(ratings, items))
-    out = recommend(mean_similarity(sims, picks), items, reqs, fx.TOP_N, "filter_then_pick")
+    reqs = materialize(latest_names_requests(ratings, items, 4), "requests")
+    picks = materialize(resolve_picks(reqs, item_map_by_name(ratings, items)), "picks")
+    # only the lists of picked items take part; they are few, so the join below can go by their measured size
+    picked = sims.join(picks.select(F.col("iid").alias("j")).distinct(), "j", "left_semi")
+    scores = materialize(mean_similarity(picked, picks), "scores")
+    out = recommend(scores, items, reqs, fx.TOP_N, "filter_then_pick")
     return out.withColumn("score", r6("score"))
 
 

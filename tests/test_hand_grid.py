@@ -116,4 +116,23 @@ def test_mean_similarity_and_recommend(grid, spark):
                                   "iid long, name string, is_open int")
     reqs = spark.createDataFrame([(1, "a")], "request_id long, name string")
     top = recommend(mean_similarity(sims, picks), items, reqs, n=3).orderBy("rank").collect()
-    assert [r.iid for r in top] == [2]               # picked name and closed item left out
+    # picked name and closed item left out; item 4 has no stored pair and fills up with score 0
+    assert [(r.iid, r.score > 0) for r in top] == [(2, True), (4, False)]
+    served = recommend(mean_similarity(sims, picks), items, reqs, n=3, mode="pick_then_filter").orderBy("rank").collect()
+    assert [r.iid for r in served] == [2, 4]
+
+
+def test_recommend_fills_with_unscored_items(spark):
+    """Fewer positive scores than n, negative scores below the unscored items, several items of one picked name."""
+    items = spark.createDataFrame([(k, f"n{k % 7}", int(k % 5 != 0)) for k in range(30)], "iid long, name string, is_open int")
+    scores = spark.createDataFrame([(1, 3, 0.5), (1, 4, -0.2), (1, 6, 0.0), (2, 29, 0.9), (2, 28, 0.8), (2, 27, 0.7)],
+                                   "request_id long, iid long, score double")
+    reqs = spark.createDataFrame([(1, "n1"), (1, "n2"), (2, "n0")], "request_id long, name string")
+    have = {(r.request_id, r.iid): r.score for r in scores.collect()}
+    for n in (3, 8, 40):
+        got = {}
+        for r in recommend(scores, items, reqs, n).orderBy("request_id", "rank").collect():
+            got.setdefault(r.request_id, []).append((r.iid, r.score))
+        for q, barred in ((1, ("n1", "n2")), (2, ("n0",))):
+            ranked = sorted((-have.get((q, k), 0.0), k) for k in range(30) if k % 5 and f"n{k % 7}" not in barred)[:n]
+            assert got[q] == [(k, -s) for s, k in ranked]
