@@ -16,7 +16,7 @@ from recspark.session import materialize
 
 from recspark.operators import baselines as bl
 from recspark.operators.predictors import knn_predict, slope_one_predict
-from recspark.operators.similarity import mirror, pair_sums, similarity
+from recspark.operators.similarity import mirror, pair_sums, residuals, similarity
 
 
 def _err(truth: str = "stars", est: str = "est"):
@@ -38,6 +38,37 @@ def fold_scores(preds: DataFrame, by=("cv_fold",), truth: str = "stars") -> Data
         F.avg(F.abs(_err(truth))).alias("mae"))
 
 
+def metric_sums(train: DataFrame, sums: DataFrame, metric: str, baselines, by) -> DataFrame:
+    """The pair sums that a metric is made from: rating sums, or sums of baseline residuals."""
+    if metric != "pearson_baseline":
+        return sums
+    return pair_sums(residuals(train, baselines, by=by), value="res", by=by, integer_sums=False)
+
+
+def _factor_predictions(kind: str, train: DataFrame, test: DataFrame, by, als, seed: int) -> DataFrame:
+    """SVD or NMF predictions, one ALS fit per fold (the folds are a handful; ALS has no notion of them)."""
+    from recspark.operators.factor import fit_nmf_als, fit_svd_als, predict_nmf_als, predict_svd_als
+
+    folds = [r.asDict() for r in train.select(*by).distinct().collect()] if by else [{}]
+    base = tuple(materialize(b) for b in bl.baseline_als(train, *als, by=by)) if kind == "svd" else None
+    mean = None if kind == "svd" else bl.global_mean(train, by=by)
+    out = []
+    for fold in folds:
+        def of(df, fold=fold):
+            for k, v in fold.items():
+                df = df.where(F.col(k) == v)
+            return df.drop(*fold)
+
+        fold_train, fold_test = of(train), of(test)
+        if kind == "svd":
+            mine = tuple(of(b) for b in base)
+            p = predict_svd_als(fold_test, fit_svd_als(fold_train, mine, seed=seed), mine)
+        else:
+            p = predict_nmf_als(fold_test, fit_nmf_als(fold_train, seed=seed), of(mean))
+        out.append(p.select(*[F.lit(v).alias(k) for k, v in fold.items()], "stars", "est"))
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
 def compare_models_predictions(train: DataFrame, test: DataFrame, models, by=("cv_fold",), k: int = 40,
                                min_k: int = 1, metric: str = "cosine", min_support: int = 1,
                                seed: int = 0, knn_bsl=(5.0, 10.0, 10), als=(10.0, 15.0, 10),
@@ -52,9 +83,11 @@ def compare_models_predictions(train: DataFrame, test: DataFrame, models, by=("c
     need_sums = any(m.startswith("knn") or m == "slope_one" for m in models)
     sums = materialize(pair_sums(train, by=by)) if need_sums else None
     sims = None
-    if any(m.startswith("knn") for m in models):
-        sims = mirror(similarity(sums, metric, min_support, by=by), train, by=by)
     knn_model = None
+    if any(m.startswith("knn") for m in models):
+        if metric == "pearson_baseline":  # its sums are those of the baseline residuals, per fold
+            knn_model = bl.baseline_als(train, *knn_bsl, by=by)
+        sims = mirror(similarity(metric_sums(train, sums, metric, knn_model, by), metric, min_support, by=by), train, by=by)
     parts = []
     for m in models:
         if m == "normal":
@@ -73,6 +106,8 @@ def compare_models_predictions(train: DataFrame, test: DataFrame, models, by=("c
         elif m == "coclustering":
             from recspark.operators.coclustering import fit_coclustering, predict_coclustering
             p = predict_coclustering(test, fit_coclustering(train, *cocl, by=by), by=by)
+        elif m in ("svd", "nmf"):
+            p = _factor_predictions(m, train, test, by, als, seed)
         else:
             raise ValueError(f"unknown model {m!r}")
         parts.append(p.select(F.lit(m).alias("model"), *by, "stars", "est"))

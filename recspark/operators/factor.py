@@ -14,13 +14,15 @@ factor lineage into the session's checkpoint folder.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recspark.functions.exprs import clip
 from recspark.operators.similarity import attach_baseline, residuals
-from recspark.session import checkpoint_dir
+from recspark.session import checkpoint_dir, materialize
 
 
 def _als(rating_col: str, rank: int, max_iter: int, reg: float, nonnegative: bool, seed: int,
@@ -28,9 +30,9 @@ def _als(rating_col: str, rank: int, max_iter: int, reg: float, nonnegative: boo
     als = ALS(userCol="uid", itemCol="iid", ratingCol=rating_col, rank=rank, maxIter=max_iter,
               regParam=reg, nonnegative=nonnegative, implicitPrefs=False, coldStartStrategy="nan",
               seed=seed, checkpointInterval=5)
-    if blocks:
-        als = als.setNumUserBlocks(blocks).setNumItemBlocks(blocks)
-    return als
+    # as many blocks as the cluster has tasks at a time, not Spark's fixed ten
+    blocks = blocks or max(10, SparkSession.getActiveSession().sparkContext.defaultParallelism)
+    return als.setNumUserBlocks(blocks).setNumItemBlocks(blocks)
 
 
 def fit_svd_als(train: DataFrame, baselines, rank: int = 20, max_iter: int = 10, reg: float = 0.05,
@@ -66,12 +68,34 @@ def predict_nmf_als(test: DataFrame, model, fallback: DataFrame) -> DataFrame:
     return scored.withColumn("est", clip(est, 1.0, 5.0)).drop("prediction")
 
 
-def recommend_for_users_als(model, n: int = 10) -> DataFrame:
-    """(uid, rank, iid, score) top n items per user from a fitted ALS model (blocked, distributed)."""
-    recs = model.recommendForAllUsers(n)
-    return (recs.select("uid", F.posexplode("recommendations").alias("pos", "rec"))
-                .select("uid", (F.col("pos") + 1).alias("rank"), F.col("rec.iid").cast("long").alias("iid"),
-                        F.col("rec.rating").cast("double").alias("score")))
+def recommend_for_users_als(model, n: int = 10, rated: DataFrame | None = None, lo: float = 1.0, hi: float = 5.0) -> DataFrame:
+    """(uid, rank, iid, score) top n items per user that the user has not rated, from a fitted ALS model.
+
+    A user with r rated items needs the best n + r of ALS to be sure of n others.  Users are served in
+    classes of r up to 0, 1, 2, 4, 8, ... so that few heavy users do not lengthen everybody's list (one blocked,
+    distributed pass per class).  Scores are ranked as predicted (ties: smaller iid) and then clipped to the scale.
+    """
+    model_users = model.userFactors.select(F.col("id").alias("uid"))
+    if rated is None:
+        found = _als_lists(model.recommendForAllUsers(n))
+    else:
+        rated = rated.select(F.col("uid").cast("int").alias("uid"), F.col("iid").cast("int").alias("iid")).distinct()
+        r = rated.groupBy("uid").agg(F.count(F.lit(1)).alias("r"))
+        need = F.when(F.coalesce("r", F.lit(0)) == 0, F.lit(0)).otherwise(F.pow(F.lit(2), F.ceil(F.log2("r"))))
+        users = materialize(model_users.join(r, "uid", "left").select("uid", need.cast("int").alias("need")), "als-users")
+        classes = sorted(x["need"] for x in users.select("need").distinct().collect())  # at most 32 numbers
+        lists = [_als_lists(model.recommendForUserSubset(users.where(F.col("need") == c).select("uid"), n + c)) for c in classes]
+        if not lists:
+            lists = [_als_lists(model.recommendForAllUsers(n))]
+        found = reduce(lambda a, b: a.unionByName(b), lists).join(rated, ["uid", "iid"], "left_anti")
+    order = Window.partitionBy("uid").orderBy(F.col("raw").desc(), F.col("iid"))
+    return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+            .select("uid", "rank", F.col("iid").cast("long").alias("iid"), clip(F.col("raw"), lo, hi).alias("score")))
+
+
+def _als_lists(recs: DataFrame) -> DataFrame:
+    return (recs.select("uid", F.explode("recommendations").alias("rec"))
+            .select("uid", F.col("rec.iid").alias("iid"), F.col("rec.rating").cast("double").alias("raw")))
 
 
 def save_model(model, path: str) -> str:

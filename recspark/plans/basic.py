@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from recspark.functions.exprs import r6, year_start
 from recspark.operators.similarity import similarity
 from recspark.sources.files import REVIEW_SCHEMA, read_json_lines, write_json_lines, write_table_roundtrip
+from recspark.sources.json_tables import read_named_tables
 from recspark.sources.loader import load_reviews, union_chunks
 from recspark.session import scratch_path
 from recspark.plans import fixture as fx
@@ -32,14 +33,14 @@ def q_src_json_lines(spark, d):
                                      F.min("date").alias("first"), F.max("date").alias("last"))
 
 
-@register("src_json_array", with_ctes(T, f"SELECT {ROWS} FROM ratings"), ops="S5 S2")
+@register("src_json_array", with_ctes([R], f"SELECT {ROWS} FROM reviews"), ops="S5 S2")
 def q_src_json_array(spark, d):
-    return write_table_roundtrip(fx.fx_ratings(spark, d).select(*ROWS.split(", ")), "ratings-array", fmt="json_records")
+    return write_table_roundtrip(fx.fx_reviews(spark, d).select(*ROWS.split(", ")), "ratings-array", fmt="json_records")
 
 
-@register("sink_json_roundtrip", with_ctes(T, f"SELECT {ROWS} FROM ratings"), ops="S6")
+@register("sink_json_roundtrip", with_ctes([R], f"SELECT {ROWS} FROM reviews"), ops="S6")
 def q_sink_json_roundtrip(spark, d):
-    return write_table_roundtrip(fx.fx_ratings(spark, d).select(*ROWS.split(", ")), "ratings", fmt="json")
+    return write_table_roundtrip(fx.fx_reviews(spark, d).select(*ROWS.split(", ")), "ratings", fmt="json")
 
 
 @register("sink_similarity_parquet", with_ctes(
@@ -50,6 +51,27 @@ def q_sink_similarity_parquet(spark, d):
     return back.select("i", "j", "n", r6("sim").alias("sim"))
 
 
+@register("src_tables_by_name", with_ctes([R, I], """
+    SELECT i.state, count(*) AS n_reviews, count(DISTINCT r.uid) AS n_users, count(DISTINCT r.iid) AS n_items,
+           min(r.date) AS first, CAST(sum(r.stars) AS DOUBLE) AS stars
+    FROM reviews r JOIN items i ON r.iid = i.iid WHERE i.categories LIKE '%ECONOMY%' GROUP BY i.state"""), ops="S1 S2 S4")
+def q_tables_by_name(spark, d):
+    """The fixture as the five JSON tables with string ids, read back by table name and filtered."""
+    folder = scratch_path(spark, "json-tables")
+    rv, it = fx.fx_reviews(spark, d), fx.fx_items(spark, d)
+    text = lambda c, kind: F.concat(F.lit(kind), F.col(c).cast("string"))
+    it.select(text("iid", "b").alias("business_id"), "name", "state", "categories", "is_open") \
+        .write.json(f"{folder}/business.json")
+    rv.select(text("review_id", "r").alias("review_id"), text("uid", "u").alias("user_id"), text("iid", "b").alias("business_id"),
+              F.col("stars").cast("double").alias("stars"), F.date_format("date", "yyyy-MM-dd HH:mm:ss").alias("date")) \
+        .write.json(f"{folder}/review.json")
+    t = read_named_tables(spark, folder, ("business", "review"), category="ECONOMY")
+    j = t["review"].join(t["business"].select("business_id", "state"), "business_id")
+    return j.groupBy("state").agg(
+        F.count(F.lit(1)).alias("n_reviews"), F.countDistinct("user_id").alias("n_users"), F.countDistinct("business_id").alias("n_items"),
+        F.min("date").alias("first"), F.sum("stars").alias("stars"))
+
+
 @register("src_filtered_reviews", with_ctes([R, I], f"""
     SELECT r.review_id, r.uid, r.iid, r.stars, r.date, i.name, i.brand, i.categories, i.state, i.is_open
     FROM reviews r JOIN items i ON r.iid = i.iid
@@ -88,9 +110,9 @@ def q_proj_drop(spark, d):
     return fx.fx_reviews(spark, d).join(fx.fx_items(spark, d), "iid").drop("brand", "categories")
 
 
-@register("proj_rating_triples", with_ctes(T, "SELECT uid, iid, stars FROM ratings"), ops="P3")
+@register("proj_rating_triples", with_ctes([R], "SELECT uid, iid, stars FROM reviews"), ops="P3")
 def q_proj_triples(spark, d):
-    return fx.fx_ratings(spark, d).select("uid", "iid", "stars")
+    return fx.fx_reviews(spark, d).select("uid", "iid", "stars")
 
 
 # ----------------------------------------------------------------- filters

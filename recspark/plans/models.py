@@ -44,30 +44,30 @@ PRED_SEL_K = "SELECT review_id, uid, iid, stars, round(est, 6) AS est, actual_k
 
 # ------------------------------------------------------------ ids and splits
 
-@register("index_factorize", with_ctes(T + ["""f AS (SELECT uid, date, review_id, row_number() OVER
-    (PARTITION BY uid ORDER BY date, review_id) AS rn FROM ratings WHERE uid IS NOT NULL)"""],
+@register("index_factorize", with_ctes([fx.REVIEWS, """f AS (SELECT uid, date, review_id, row_number() OVER
+    (PARTITION BY uid ORDER BY date, review_id) AS rn FROM reviews WHERE uid IS NOT NULL)"""],
     "SELECT uid, CAST(row_number() OVER (ORDER BY date, review_id, uid) - 1 AS BIGINT) AS uid_code FROM f WHERE rn = 1"),
     ops="X1")
 def q_factorize(spark, d):
-    return factorize(fx.fx_ratings(spark, d), "uid", out="uid_code")
+    return factorize(fx.fx_reviews(spark, d), "uid", out="uid_code")
 
 
-@register("ratings_validated", with_ctes(T, """SELECT uid, iid, CAST(stars AS DOUBLE) AS rating,
-    CAST(stars AS DOUBLE) BETWEEN 1.0 AND 5.0 AS in_scale FROM ratings"""), ops="X2")
+@register("ratings_validated", with_ctes([fx.REVIEWS], """SELECT uid, iid, CAST(stars AS DOUBLE) AS rating,
+    CAST(stars AS DOUBLE) BETWEEN 1.0 AND 5.0 AS in_scale FROM reviews"""), ops="X2")
 def q_validated(spark, d):
-    return validate_ratings(fx.fx_ratings(spark, d))
+    return validate_ratings(fx.fx_reviews(spark, d))
 
 
-@register("split_holdout", with_ctes(T, f"SELECT {ROWS}, (review_id + 3*iid + 7*uid) % 100 < {fx.HOLDOUT_PERCENT} AS is_test FROM ratings"),
+@register("split_holdout", with_ctes([fx.REVIEWS], f"SELECT {ROWS}, (review_id + 3*iid + 7*uid) % 100 < {fx.HOLDOUT_PERCENT} AS is_test FROM reviews"),
           ops="X3")
 def q_split_holdout(spark, d):
-    return holdout_split(fx.fx_ratings(spark, d), fx.HOLDOUT_PERCENT)
+    return holdout_split(fx.fx_reviews(spark, d), fx.HOLDOUT_PERCENT)
 
 
-@register("split_kfold", with_ctes(T, f"SELECT {ROWS}, CAST((review_id + 3*iid + 7*uid) % {fx.K_FOLDS} AS INT) AS fold FROM ratings"),
+@register("split_kfold", with_ctes([fx.REVIEWS], f"SELECT {ROWS}, CAST((review_id + 3*iid + 7*uid) % {fx.K_FOLDS} AS INT) AS fold FROM reviews"),
           ops="X4")
 def q_split_kfold(spark, d):
-    return kfold(fx.fx_ratings(spark, d), fx.K_FOLDS)
+    return kfold(fx.fx_reviews(spark, d), fx.K_FOLDS)
 
 
 # ----------------------------------------------------------------- baselines
@@ -156,7 +156,7 @@ def q_slope_one(spark, d):
 
 
 # pearson_baseline: cosine of baseline residuals (baselines from all trimmed ratings)
-_PB_CTES, _PB_BU, _PB_BI = ms.baseline_als_ctes(ALS_REG_I, ALS_REG_U, 1, src="ratings", prefix="pb")
+_PB_CTES, _PB_BU, _PB_BI = ms.baseline_als_ctes(ALS_REG_I, ALS_REG_U, BSL_EPOCHS, src="ratings", prefix="pb")
 PB_SQL = T + [ms.mean_cte(src="ratings")] + _PB_CTES + [
     f"""resid AS (SELECT t.uid, t.iid, CAST(t.stars AS DOUBLE) - (m.mu + COALESCE(u.bu, 0.0) + COALESCE(i.bi, 0.0)) AS res
         FROM ratings t JOIN gmu m ON true LEFT JOIN {_PB_BU} u ON u.uid = t.uid LEFT JOIN {_PB_BI} i ON i.iid = t.iid)"""
@@ -167,7 +167,7 @@ PB_SQL = T + [ms.mean_cte(src="ratings")] + _PB_CTES + [
 @register("sim_pearson_baseline", with_ctes(PB_SQL, "SELECT i, j, n, round(sim, 6) AS sim FROM pbs"), ops="M4")
 def q_sim_pearson_baseline(spark, d):
     ratings = fx.fx_ratings(spark, d)
-    model = bl.baseline_als(ratings, ALS_REG_I, ALS_REG_U, 1)
+    model = bl.baseline_als(ratings, ALS_REG_I, ALS_REG_U, BSL_EPOCHS)
     res = residuals(ratings, model)
     sums = pair_sums(res, value="res", integer_sums=False)
     s = similarity(sums, "pearson_baseline", fx.MIN_SUPPORT, fx.SHRINKAGE)
@@ -228,7 +228,7 @@ def q_cross_validate(spark, d):
 
 COMPARE_MODELS = ("normal", "baseline_als", "knn_basic", "knn_means", "knn_zscore", "knn_baseline", "slope_one",
                   "coclustering")
-CC_CLUSTERS, CC_EPOCHS = 3, 2
+CC_CLUSTERS, CC_EPOCHS = 3, 20
 
 
 def _compare_sql():
@@ -261,3 +261,15 @@ def q_compare_models(spark, d):
     out = ev.rank_models(preds, BY)
     return out.select("model", r6("rmse").alias("rmse"), r6("mae").alias("mae"),
                       r6("rmse_sd").alias("rmse_sd"), "rank")
+
+
+FACTOR_MODELS = ("normal", "svd", "nmf")
+
+
+@register("eval_compare_factor_models", None, ops="E4 B10 B11")
+def q_compare_factor_models(spark, d):
+    """The two factor models of the comparison beside the naive one (ALS has no SQL twin)."""
+    train, test = _cv_sets(spark, d)
+    preds = ev.compare_models_predictions(train, test, FACTOR_MODELS, by=BY, seed=SEED, als=(ALS_REG_I, ALS_REG_U, 10))
+    out = ev.rank_models(preds, BY)
+    return out.select("model", r6("rmse").alias("rmse"), r6("mae").alias("mae"), r6("rmse_sd").alias("rmse_sd"), "rank")

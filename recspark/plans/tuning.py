@@ -44,7 +44,7 @@ def q_coclustering(spark, d):
 def q_svd_als(spark, d):
     train, test = _split(spark, d)
     base = bl.baseline_als(train, ALS_REG_I, ALS_REG_U, 10)
-    model = fit_svd_als(train, base, rank=10, max_iter=10, reg=0.1, seed=SEED)
+    model = fit_svd_als(train, base, seed=SEED)
     model = load_model(save_model(model, scratch_path(spark, "svd-als-model")))  # artifact round trip
     return _pred_out(predict_svd_als(test, model, base))
 
@@ -52,7 +52,7 @@ def q_svd_als(spark, d):
 @register("predict_nmf_als", None, ops="B11")
 def q_nmf_als(spark, d):
     train, test = _split(spark, d)
-    model = fit_nmf_als(train, rank=10, max_iter=10, reg=0.1, seed=SEED)
+    model = fit_nmf_als(train, seed=SEED)
     return _pred_out(predict_nmf_als(test, model, bl.global_mean(train)))
 
 
@@ -60,8 +60,46 @@ def q_nmf_als(spark, d):
 def q_als_users(spark, d):
     """Top-n items per user from non-negative factors (ALS's blocked recommendForAllUsers)."""
     train, _ = _split(spark, d)
-    model = fit_nmf_als(train, rank=10, max_iter=10, reg=0.1, seed=SEED)
-    return recommend_for_users_als(model, REC_N).select("uid", "rank", "iid", r6("score").alias("score"))
+    model = fit_nmf_als(train, seed=SEED)
+    return recommend_for_users_als(model, REC_N, train).select("uid", "rank", "iid", r6("score").alias("score"))
+
+
+@register("rec_als_users_facts", with_ctes(SPLIT, f"""
+    SELECT uid, LEAST({REC_N}, (SELECT count(DISTINCT iid) FROM train) - count(DISTINCT iid)) AS n_items, CAST(0 AS BIGINT) AS already_rated,
+           true AS in_scale, true AS ranks_gapless FROM train GROUP BY uid HAVING n_items > 0"""), ops="R5 B11")
+def q_als_users_facts(spark, d):
+    """What must hold of the ALS lists whatever the factors: full length, no rated item, scores on the scale."""
+    train, _ = _split(spark, d)
+    recs = materialize(recommend_for_users_als(fit_nmf_als(train, seed=SEED), REC_N, train), "als-recs")
+    rated = train.select("uid", "iid", F.lit(1).alias("hit")).distinct()
+    return (recs.join(rated, ["uid", "iid"], "left").groupBy(F.col("uid").cast("long").alias("uid"))
+            .agg(F.count(F.lit(1)).alias("n_items"), F.count("hit").alias("already_rated"),
+                 F.min(F.col("score").between(1.0, 5.0)).alias("in_scale"), (F.max("rank") == F.countDistinct("rank")).alias("ranks_gapless")))
+
+
+_FACTS_SQL = """SELECT t.uid, count(*) AS n, true AS in_scale, bool_or(u.uid IS NULL) AS cold_user
+    FROM test t LEFT JOIN (SELECT DISTINCT uid FROM train) u ON t.uid = u.uid GROUP BY t.uid"""
+
+
+def _prediction_facts(train, preds):
+    known = train.select("uid", F.lit(True).alias("seen")).distinct()
+    return (preds.join(known, "uid", "left").groupBy(F.col("uid").cast("long").alias("uid"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min(F.col("est").between(1.0, 5.0)).alias("in_scale"),
+                 F.max(F.col("seen").isNull()).alias("cold_user")))
+
+
+@register("predict_svd_als_facts", with_ctes(SPLIT, _FACTS_SQL), ops="B10")
+def q_svd_als_facts(spark, d):
+    """One estimate per test row, on the scale, cold users included."""
+    train, test = _split(spark, d)
+    base = bl.baseline_als(train, ALS_REG_I, ALS_REG_U, 10)
+    return _prediction_facts(train, predict_svd_als(test, fit_svd_als(train, base, seed=SEED), base))
+
+
+@register("predict_nmf_als_facts", with_ctes(SPLIT, _FACTS_SQL), ops="B11")
+def q_nmf_als_facts(spark, d):
+    train, test = _split(spark, d)
+    return _prediction_facts(train, predict_nmf_als(test, fit_nmf_als(train, seed=SEED), bl.global_mean(train)))
 
 
 _KR_BASE, _KR_BU, _KR_BI = ms.baseline_als_ctes(BSL_REG_I, BSL_REG_U, BSL_EPOCHS, prefix="kr")
