@@ -127,27 +127,50 @@ def rank_models(preds: DataFrame, by=("cv_fold",)) -> DataFrame:
     return agg.withColumn("rank", F.row_number().over(w).cast("long"))
 
 
-def knn_baseline_grid(train: DataFrame, test: DataFrame, sums: DataFrame, baselines, metrics, ks, min_ks,
-                      min_support: int = 1, shrinkage: float = 100.0, by=("cv_fold",)) -> DataFrame:
-    """(sim_name, k, min_k, rmse, rank): KNN-baseline grid, mean RMSE over the ``by`` folds.
+def similarity_variants(metrics, min_supports, shrinkages) -> list[tuple]:
+    """(metric, min_support, shrinkage) settings; only pearson_baseline has a shrinkage (0.0 elsewhere)."""
+    return [(m, n, float(x)) for m in metrics for n in min_supports for x in (shrinkages if m == "pearson_baseline" else (0.0,))]
 
-    No refit per setting: similarities of every metric are one table with a
-    ``sim_name`` column, neighbours are ranked once for the largest k, and
-    each (k, min_k) is a conditional aggregate over the neighbour rank.
+
+def knn_baseline_grid(train: DataFrame, test: DataFrame, sums: DataFrame, baselines: dict, metrics, ks, min_ks,
+                      min_supports=(1,), shrinkages=(100.0,), by=("cv_fold",)) -> DataFrame:
+    """(bsl, sim_name, min_support, shrinkage, k, min_k, rmse, rank): KNN-baseline grid, mean RMSE over the ``by`` folds.
+
+    ``baselines`` maps a name to fitted (mu, bu, bi).  No refit per setting: the similarities of every (metric,
+    min_support, shrinkage) are one table with a ``variant`` column, neighbours are ranked once for the largest k,
+    and each (k, min_k) is a conditional aggregate over the neighbour rank.  Only the residuals of pearson_baseline
+    depend on the baseline, so there is one such plan per baseline.
     """
+    variants = similarity_variants(metrics, min_supports, shrinkages)
+    names = F.create_map(*[F.lit(x) for v, (m, n, sh) in enumerate(variants) for x in (v, m)])
+    supports = F.create_map(*[F.lit(x) for v, (m, n, sh) in enumerate(variants) for x in (v, n)])
+    shrinks = F.create_map(*[F.lit(x) for v, (m, n, sh) in enumerate(variants) for x in (v, sh)])
+    parts = []
+    for name, model in baselines.items():
+        of_metric = {m: metric_sums(train, sums, m, model, by) for m in metrics}
+        if "pearson_baseline" in of_metric:
+            of_metric["pearson_baseline"] = materialize(of_metric["pearson_baseline"], "residual-sums")
+        err = materialize(_grid_errors(train, test, of_metric, model, variants, ks, min_ks, list(by)), "grid")
+        parts.append(err.groupBy("variant", "k", "min_k").agg(F.avg("rmse").alias("rmse")).withColumn("bsl", F.lit(name)))
+    out = reduce(lambda a, b: a.unionByName(b), parts).select(
+        "bsl", names[F.col("variant")].alias("sim_name"), supports[F.col("variant")].alias("min_support"), shrinks[F.col("variant")].alias("shrinkage"),
+        "k", "min_k", "rmse")
+    # ranking one row per setting (the grid size, a fixed small table)
+    wr = Window.orderBy(F.round("rmse", 9), "bsl", "sim_name", "min_support", "shrinkage", "k", "min_k")
+    return out.withColumn("rank", F.row_number().over(wr).cast("long"))
+
+
+def _grid_errors(train, test, of_metric, baselines, variants, ks, min_ks, by) -> DataFrame:
+    """(variant, k, min_k, by.., rmse) for one baseline."""
     from recspark.operators.similarity import attach_baseline, top_k_neighbors
 
-    by = list(by)
-    keys = by + ["sim_name"]
+    keys = by + ["variant"]
     sims = reduce(lambda a, b: a.unionByName(b), [
-        similarity(sums, m, min_support, shrinkage, by=by).withColumn("sim_name", F.lit(m)) for m in metrics])
-    names = F.explode(F.array(*[F.lit(m) for m in metrics])).alias("sim_name")
-    diag_items = train.select(*by, "iid").distinct().select(*by, "iid", names)
-    sm = mirror(sims, diag_items, by=keys)
-    test_k = test.select("*", names)
-    train_k = train.select("*", names)
-    kmax = max(ks)
-    nb = top_k_neighbors(test_k, sm, train_k, kmax, by=keys)
+        similarity(of_metric[m], m, n, sh, by=by).withColumn("variant", F.lit(v)) for v, (m, n, sh) in enumerate(variants)])
+    each = F.explode(F.array(*[F.lit(v) for v in range(len(variants))])).alias("variant")
+    sm = mirror(sims, train.select(*by, "iid").distinct().select(*by, "iid", each), by=keys)
+    test_k, train_k = test.select("*", each), train.select("*", each)
+    nb = top_k_neighbors(test_k, sm, train_k, max(ks), by=keys)
     mu, bu, bi = baselines
     nb = attach_baseline(nb.withColumnRenamed("iid", "iid_t").withColumnRenamed("j", "iid"), mu, bu, bi, by=by) \
         .withColumnRenamed("iid", "j").withColumnRenamed("iid_t", "iid")
@@ -175,10 +198,6 @@ def knn_baseline_grid(train: DataFrame, test: DataFrame, sums: DataFrame, baseli
     dev = F.when((c >= F.col("min_k")) & (s > 0), wsum / s).otherwise(F.lit(0.0))
     preds = t.select(*keys, "uid", "iid", "k", "min_k",
                      F.least(F.greatest(F.col("b_ui") + dev, F.lit(1.0)), F.lit(5.0)).alias("est"))
-    err = (test.join(preds, by + ["uid", "iid"], "inner")
-               .groupBy("sim_name", "k", "min_k", *by)
-               .agg(F.sqrt(F.avg(F.pow(F.col("stars").cast("double") - F.col("est"), 2))).alias("rmse")))
-    out = err.groupBy("sim_name", "k", "min_k").agg(F.avg("rmse").alias("rmse"))
-    # ranking one row per setting (the grid size, a fixed small table)
-    wr = Window.orderBy(F.round("rmse", 9), "sim_name", "k", "min_k")
-    return out.withColumn("rank", F.row_number().over(wr).cast("long"))
+    return (test.join(preds, by + ["uid", "iid"], "inner")
+                .groupBy("variant", "k", "min_k", *by)
+                .agg(F.sqrt(F.avg(F.pow(F.col("stars").cast("double") - F.col("est"), 2))).alias("rmse")))

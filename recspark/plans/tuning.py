@@ -17,6 +17,7 @@ from recspark.session import scratch_path
 from recspark.operators.predictors import knn_recommend_for_users
 from recspark.operators.similarity import pair_sums, similarity
 from recspark.plans import fixture as fx
+from recspark.sources.files import write_table_roundtrip
 from recspark.plans import model_sql as ms
 from recspark.plans.models import (
     ALS_REG_I, ALS_REG_U, BSL_EPOCHS, BSL_REG_I, BSL_REG_U, K, MIN_K, PRED_SEL, ROWS, SEED, SPLIT, _split,
@@ -27,7 +28,11 @@ from recspark.plans.registry import register, with_ctes
 from recspark.plans.models import CC_CLUSTERS, CC_EPOCHS  # noqa: E402
 REC_N = 5
 GRID_FOLDS = 4
-GRID_METRICS = ("cosine", "msd")
+GRID_METRICS = ("cosine", "pearson_baseline")
+GRID_MIN_SUPPORT = (2, 4)
+GRID_SHRINKAGE = (50.0, 100.0)
+GRID_BSL = {"als_5_10": (5.0, 10.0), "als_10_15": (10.0, 15.0)}   # name: item and user regularisation
+GRID_COLS = "bsl, sim_name, min_support, shrinkage, k, min_k"
 GRID_K = (10, 40)
 GRID_MIN_K = (1, 5)
 
@@ -120,46 +125,53 @@ def q_known_users(spark, d):
 # ------------------------------------------------------------------- grid
 
 def _grid_sql():
-    folds = ms.fold_ctes(GRID_FOLDS)
-    ctes = list(fx.RATINGS) + folds + [ms.mean_cte(BY)]
-    ctes += fx.pair_sum_ctes(src="train", out="tps", by=BY)
-    b_ctes, bu, bi = ms.baseline_als_ctes(BSL_REG_I, BSL_REG_U, BSL_EPOCHS, by=BY, prefix="gb")
-    ctes += b_ctes
-    names = ", ".join(f"('{m}')" for m in GRID_METRICS)
+    """One chain of expressions per baseline setting (suffix), then the ranking over all of them."""
+    variants = ev.similarity_variants(GRID_METRICS, GRID_MIN_SUPPORT, GRID_SHRINKAGE)
     sets = ", ".join(f"({k}, {m})" for k in GRID_K for m in GRID_MIN_K)
-    union = " UNION ALL ".join(
-        f"SELECT cv_fold, '{m}' AS sim_name, i, j, n, {fx.sim_sql(m)} AS sim FROM tps WHERE n >= {fx.MIN_SUPPORT}"
-        for m in GRID_METRICS)
-    b_uj = "(m.mu + COALESCE(u.bu, 0.0) + COALESCE(b.bi, 0.0))"
-    ctes += [
-        f"gnames(sim_name) AS (VALUES {names})",
-        f"gset(k, min_k) AS (VALUES {sets})",
-        f"gsims AS ({union})",
-        "gsm AS (SELECT cv_fold, sim_name, i, j, n, sim FROM gsims UNION ALL "
-        "SELECT cv_fold, sim_name, j AS i, i AS j, n, sim FROM gsims UNION ALL "
-        "SELECT DISTINCT t.cv_fold, g.sim_name, t.iid AS i, t.iid AS j, CAST(0 AS BIGINT) AS n, 1.0 AS sim "
-        "FROM train t, gnames g)",
-        "gt AS (SELECT DISTINCT t.cv_fold, g.sim_name, t.uid, t.iid FROM test t, gnames g)",
-        "gcand AS (SELECT t.cv_fold, t.sim_name, t.uid, t.iid, s.j, s.n, s.sim, CAST(tr.stars AS DOUBLE) AS r_j, "
-        "tr.review_id AS rid_j FROM gt t JOIN gsm s ON s.i = t.iid AND s.sim > 0 AND s.cv_fold = t.cv_fold "
-        "AND s.sim_name = t.sim_name JOIN train tr ON tr.uid = t.uid AND tr.iid = s.j AND tr.cv_fold = t.cv_fold)",
-        f"gnb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cv_fold, sim_name, uid, iid "
-        f"ORDER BY round(sim, 9) DESC, n DESC, j, rid_j, r_j) AS rank FROM gcand) WHERE rank <= {max(GRID_K)})",
-        f"gagg AS (SELECT nb.cv_fold, nb.sim_name, nb.uid, nb.iid, s.k, sum(nb.sim) AS sum_sim, "
-        f"sum(nb.sim * (nb.r_j - {b_uj})) AS sum_w, count(*) AS actual_k FROM gnb nb "
-        f"JOIN (SELECT DISTINCT k FROM gset) s ON nb.rank <= s.k JOIN gmu m ON m.cv_fold = nb.cv_fold "
-        f"LEFT JOIN {bu} u ON u.uid = nb.uid AND u.cv_fold = nb.cv_fold "
-        f"LEFT JOIN {bi} b ON b.iid = nb.j AND b.cv_fold = nb.cv_fold GROUP BY nb.cv_fold, nb.sim_name, nb.uid, nb.iid, s.k)",
-        f"gp AS (SELECT t.cv_fold, t.sim_name, t.uid, t.iid, s.k, s.min_k, "
-        f"{ms.clip_sql('m.mu + COALESCE(u.bu, 0.0) + COALESCE(b.bi, 0.0) + CASE WHEN COALESCE(a.actual_k, 0) >= s.min_k AND a.sum_sim > 0 THEN a.sum_w / a.sum_sim ELSE 0.0 END')} AS est "
-        f"FROM gt t CROSS JOIN gset s LEFT JOIN gagg a ON a.cv_fold = t.cv_fold AND a.sim_name = t.sim_name "
-        f"AND a.uid = t.uid AND a.iid = t.iid AND a.k = s.k JOIN gmu m ON m.cv_fold = t.cv_fold "
-        f"LEFT JOIN {bu} u ON u.uid = t.uid AND u.cv_fold = t.cv_fold LEFT JOIN {bi} b ON b.iid = t.iid AND b.cv_fold = t.cv_fold)",
-        "gerr AS (SELECT p.cv_fold, p.sim_name, p.k, p.min_k, sqrt(avg(power(x.stars - p.est, 2))) AS rmse FROM test x "
-        "JOIN gp p ON p.cv_fold = x.cv_fold AND p.uid = x.uid AND p.iid = x.iid GROUP BY p.cv_fold, p.sim_name, p.k, p.min_k)",
-        "grid AS (SELECT sim_name, k, min_k, avg(rmse) AS rmse, row_number() OVER (ORDER BY round(avg(rmse), 9), "
-        "sim_name, k, min_k) AS rank FROM gerr GROUP BY sim_name, k, min_k)",
-    ]
+    ctes = list(fx.RATINGS) + ms.fold_ctes(GRID_FOLDS) + [ms.mean_cte(BY)] + fx.pair_sum_ctes(src="train", out="tps", by=BY)
+    ctes += ["gnames(variant, sim_name, min_support, shrinkage) AS (VALUES "
+             + ", ".join(f"({v}, '{m}', {n}, CAST({x} AS DOUBLE))" for v, (m, n, x) in enumerate(variants)) + ")",
+             f"gset(k, min_k) AS (VALUES {sets})"]
+    errors = []
+    for b, (name, (reg_i, reg_u)) in enumerate(GRID_BSL.items()):
+        b_ctes, bu, bi = ms.baseline_als_ctes(reg_i, reg_u, BSL_EPOCHS, by=BY, prefix=f"gb{b}")
+        ctes += b_ctes
+        ctes.append(f"""resid{b} AS (SELECT t.cv_fold, t.uid, t.iid, CAST(t.stars AS DOUBLE) - (m.mu + COALESCE(u.bu, 0.0) + COALESCE(i.bi, 0.0)) AS res
+            FROM train t JOIN gmu m ON m.cv_fold = t.cv_fold LEFT JOIN {bu} u ON u.uid = t.uid AND u.cv_fold = t.cv_fold
+            LEFT JOIN {bi} i ON i.iid = t.iid AND i.cv_fold = t.cv_fold)""")
+        ctes += fx.pair_sum_ctes(src=f"resid{b}", out=f"rps{b}", value="res", by=BY, integer=False)
+        union = " UNION ALL ".join(
+            f"SELECT cv_fold, {v} AS variant, i, j, n, {fx.sim_sql(m, x)} AS sim FROM {f'rps{b}' if m == 'pearson_baseline' else 'tps'} WHERE n >= {n}"
+            for v, (m, n, x) in enumerate(variants))
+        b_uj = "(m.mu + COALESCE(u.bu, 0.0) + COALESCE(b.bi, 0.0))"
+        est = f"{b_uj} + CASE WHEN COALESCE(a.actual_k, 0) >= s.min_k AND a.sum_sim > 0 THEN a.sum_w / a.sum_sim ELSE 0.0 END"
+        ctes += [
+            f"gsims{b} AS ({union})",
+            f"gsm{b} AS (SELECT cv_fold, variant, i, j, n, sim FROM gsims{b} UNION ALL "
+            f"SELECT cv_fold, variant, j AS i, i AS j, n, sim FROM gsims{b} UNION ALL "
+            f"SELECT DISTINCT t.cv_fold, g.variant, t.iid AS i, t.iid AS j, CAST(0 AS BIGINT) AS n, 1.0 AS sim FROM train t, gnames g)",
+            f"gt{b} AS (SELECT DISTINCT t.cv_fold, g.variant, t.uid, t.iid FROM test t, gnames g)",
+            f"gcand{b} AS (SELECT t.cv_fold, t.variant, t.uid, t.iid, s.j, s.n, s.sim, CAST(tr.stars AS DOUBLE) AS r_j, "
+            f"tr.review_id AS rid_j FROM gt{b} t JOIN gsm{b} s ON s.i = t.iid AND s.sim > 0 AND s.cv_fold = t.cv_fold "
+            f"AND s.variant = t.variant JOIN train tr ON tr.uid = t.uid AND tr.iid = s.j AND tr.cv_fold = t.cv_fold)",
+            f"gnb{b} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cv_fold, variant, uid, iid "
+            f"ORDER BY round(sim, 9) DESC, n DESC, j, rid_j, r_j) AS rank FROM gcand{b}) WHERE rank <= {max(GRID_K)})",
+            f"gagg{b} AS (SELECT nb.cv_fold, nb.variant, nb.uid, nb.iid, s.k, sum(nb.sim) AS sum_sim, "
+            f"sum(nb.sim * (nb.r_j - {b_uj})) AS sum_w, count(*) AS actual_k FROM gnb{b} nb "
+            f"JOIN (SELECT DISTINCT k FROM gset) s ON nb.rank <= s.k JOIN gmu m ON m.cv_fold = nb.cv_fold "
+            f"LEFT JOIN {bu} u ON u.uid = nb.uid AND u.cv_fold = nb.cv_fold "
+            f"LEFT JOIN {bi} b ON b.iid = nb.j AND b.cv_fold = nb.cv_fold GROUP BY nb.cv_fold, nb.variant, nb.uid, nb.iid, s.k)",
+            f"gp{b} AS (SELECT t.cv_fold, t.variant, t.uid, t.iid, s.k, s.min_k, {ms.clip_sql(est)} AS est "
+            f"FROM gt{b} t CROSS JOIN gset s LEFT JOIN gagg{b} a ON a.cv_fold = t.cv_fold AND a.variant = t.variant "
+            f"AND a.uid = t.uid AND a.iid = t.iid AND a.k = s.k JOIN gmu m ON m.cv_fold = t.cv_fold "
+            f"LEFT JOIN {bu} u ON u.uid = t.uid AND u.cv_fold = t.cv_fold LEFT JOIN {bi} b ON b.iid = t.iid AND b.cv_fold = t.cv_fold)",
+            f"gerr{b} AS (SELECT '{name}' AS bsl, p.cv_fold, p.variant, p.k, p.min_k, sqrt(avg(power(x.stars - p.est, 2))) AS rmse FROM test x "
+            f"JOIN gp{b} p ON p.cv_fold = x.cv_fold AND p.uid = x.uid AND p.iid = x.iid GROUP BY p.cv_fold, p.variant, p.k, p.min_k)",
+        ]
+        errors.append(f"SELECT * FROM gerr{b}")
+    ctes += ["gmean AS (SELECT bsl, variant, k, min_k, avg(rmse) AS rmse FROM (" + " UNION ALL ".join(errors) + ") GROUP BY bsl, variant, k, min_k)",
+             f"grid AS (SELECT {GRID_COLS}, rmse, row_number() OVER (ORDER BY round(rmse, 9), {GRID_COLS}) AS rank "
+             "FROM gmean JOIN gnames USING (variant))"]
     return ctes
 
 
@@ -172,21 +184,22 @@ def _grid(spark, d):
     train = materialize(train_sets_by_fold(r, GRID_FOLDS))
     test = test_sets_by_fold(r, GRID_FOLDS)
     sums = materialize(pair_sums(train, by=BY))
-    model = bl.baseline_als(train, BSL_REG_I, BSL_REG_U, BSL_EPOCHS, by=BY)
-    return ev.knn_baseline_grid(train, test, sums, model, GRID_METRICS, GRID_K, GRID_MIN_K, fx.MIN_SUPPORT,
-                                fx.SHRINKAGE, by=BY)
+    models = {name: tuple(materialize(t) for t in bl.baseline_als(train, *reg, BSL_EPOCHS, by=BY)) for name, reg in GRID_BSL.items()}
+    return ev.knn_baseline_grid(train, test, sums, models, GRID_METRICS, GRID_K, GRID_MIN_K, GRID_MIN_SUPPORT, GRID_SHRINKAGE, by=BY)
 
 
-@register("tune_knn_grid", with_ctes(GRID_SQL, "SELECT sim_name, k, min_k, round(rmse, 6) AS rmse, rank FROM grid"),
+@register("tune_knn_grid", with_ctes(GRID_SQL, f"SELECT {GRID_COLS}, round(rmse, 6) AS rmse, rank FROM grid"),
           ops="E5")
 def q_tune_grid(spark, d):
-    return _grid(spark, d).select("sim_name", "k", "min_k", r6("rmse").alias("rmse"), "rank")
+    return _grid(spark, d).select(*GRID_COLS.split(", "), r6("rmse").alias("rmse"), "rank")
 
 
-@register("tune_best_params", with_ctes(GRID_SQL, "SELECT sim_name, k, min_k, round(rmse, 6) AS rmse FROM grid WHERE rank = 1"),
-          ops="E5")
+@register("tune_best_params", with_ctes(GRID_SQL, f"SELECT {GRID_COLS}, round(rmse, 6) AS rmse FROM grid WHERE rank = 1"),
+          ops="E5 S7")
 def q_tune_best(spark, d):
-    return _grid(spark, d).where(F.col("rank") == 1).select("sim_name", "k", "min_k", r6("rmse").alias("rmse"))
+    """The best setting, saved and read back as an artifact."""
+    best = _grid(spark, d).where(F.col("rank") == 1).select(*GRID_COLS.split(", "), r6("rmse").alias("rmse"))
+    return write_table_roundtrip(best, "best-params")
 
 
 VS_MODELS = ("knn_baseline", "baseline_als", "slope_one")
