@@ -53,12 +53,13 @@ def baseline_als(ratings: DataFrame, reg_i: float = 10.0, reg_u: float = 15.0, n
         dev_u = F.coalesce(F.col("bu"), F.lit(0.0)) if bu is not None else F.lit(0.0)
         bi = x.groupBy(*by, "iid").agg(
             (F.sum(F.col("r") - F.col("mu") - dev_u) / (F.lit(float(reg_i)) + F.count(F.lit(1)))).alias("bi"))
+        if epoch == n_epochs:
+            bi = materialize(bi)  # before b_u is built on it, so the item side runs once
         y = rm.join(bi, by + ["iid"], "left")
         bu = y.groupBy(*by, "uid").agg(
             (F.sum(F.col("r") - F.col("mu") - F.coalesce(F.col("bi"), F.lit(0.0)))
              / (F.lit(float(reg_u)) + F.count(F.lit(1)))).alias("bu"))
         if epoch == n_epochs:
-            bi = materialize(bi)
             bu = materialize(bu)
         elif checkpoint_every and epoch % checkpoint_every == 0:
             bu = materialize(bu)  # the next epoch needs only b_u; b_i is recomputed from it
@@ -69,7 +70,7 @@ def baseline_als(ratings: DataFrame, reg_i: float = 10.0, reg_u: float = 15.0, n
 
 
 def baseline_gd(ratings: DataFrame, lr: float = 0.005, reg: float = 0.02, n_epochs: int = 20,
-                value: str = "stars", by=(), checkpoint_every: int = 2, checkpoint_input: bool = True):
+                value: str = "stars", by=(), checkpoint_input: bool = True):
     """Batch gradient descent on the regularised squared error of mu + b_u + b_i.
 
     One epoch adds, for every user, lr * (sum of errors - reg * n_u * b_u)
@@ -84,20 +85,17 @@ def baseline_gd(ratings: DataFrame, lr: float = 0.005, reg: float = 0.02, n_epoc
     rm = attach_mean(r, mu, by)
     bu = r.select(*by, "uid").distinct().withColumn("bu", F.lit(0.0))
     bi = r.select(*by, "iid").distinct().withColumn("bi", F.lit(0.0))
-    for epoch in range(1, n_epochs + 1):
+    for _ in range(n_epochs):
         e = (rm.join(bu, by + ["uid"], "inner").join(bi, by + ["iid"], "inner")
                .withColumn("err", F.col("r") - F.col("mu") - F.col("bu") - F.col("bi")))
-        gu = e.groupBy(*by, "uid").agg(F.sum("err").alias("g"), F.count(F.lit(1)).alias("n"),
-                                       F.first("bu").alias("b"))
-        gi = e.groupBy(*by, "iid").agg(F.sum("err").alias("g"), F.count(F.lit(1)).alias("n"),
-                                       F.first("bi").alias("b"))
-        bu = gu.select(*by, "uid", (F.col("b") + F.lit(lr) * (F.col("g") - F.lit(reg) * F.col("n") * F.col("b")))
-                       .alias("bu"))
-        bi = gi.select(*by, "iid", (F.col("b") + F.lit(lr) * (F.col("g") - F.lit(reg) * F.col("n") * F.col("b")))
-                       .alias("bi"))
-        if checkpoint_every and (epoch % checkpoint_every == 0 or epoch == n_epochs):
-            bu = materialize(bu)
-            bi = materialize(bi)
+        # both gradients in one pass over the ratings: each row counts for its user and for its item
+        sides = F.explode(F.array(F.struct(F.lit("u").alias("side"), F.col("uid").cast("long").alias("key"), F.col("bu").alias("b")),
+                                  F.struct(F.lit("i").alias("side"), F.col("iid").cast("long").alias("key"), F.col("bi").alias("b")))).alias("s")
+        g = (e.select(*by, "err", sides).groupBy(*by, "s.side", "s.key")
+              .agg(F.sum("err").alias("g"), F.count(F.lit(1)).alias("n"), F.first("s.b").alias("b")))
+        new = materialize(g.select(*by, "side", "key", (F.col("b") + F.lit(lr) * (F.col("g") - F.lit(reg) * F.col("n") * F.col("b"))).alias("b")))
+        bu = new.where("side = 'u'").select(*by, F.col("key").alias("uid"), F.col("b").alias("bu"))
+        bi = new.where("side = 'i'").select(*by, F.col("key").alias("iid"), F.col("b").alias("bi"))
     return mu, bu, bi
 
 

@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recspark.session import materialize
+
 from recspark.functions.exprs import day_number, hist_bin, safe_div, year_start
 from recspark.operators.trim import distinct_count_per, trim_items, trim_users
 
@@ -109,9 +111,10 @@ def best_group(densities: DataFrame, group: str = "state") -> DataFrame:
 
 def retention_sweep(ratings: DataFrame, key: str, counted: str, thresholds) -> DataFrame:
     """(threshold, rows_kept, keys_kept, pct_rows): rows kept when keys need >= t distinct ``counted``."""
-    per_key = (ratings.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-               .join(distinct_count_per(ratings, key, counted, "n"), key, "inner"))
-    total = ratings.agg(F.count(F.lit(1)).alias("total")).select("total").scalar()
+    pairs = ratings.groupBy(key, counted).agg(F.count(F.lit(1)).alias("rows"))  # one read of the ratings
+    per = pairs.groupBy(key).agg(F.sum("rows").alias("rows"), F.count(counted).alias("n"))
+    total = per.agg(F.sum("rows").alias("total")).select("total").scalar()
+    per_key = per.where(F.col(key).isNotNull() & (F.col("n") > 0))
     ts = F.array(*[F.lit(int(t)) for t in thresholds])
     swept = (per_key.select("rows", "n", F.explode(ts).alias("threshold"))
                     .groupBy("threshold")
@@ -129,7 +132,8 @@ def density_progression(ratings: DataFrame, year: int | None, steps) -> DataFram
     if year is not None:
         cur = cur.where(F.col("date") >= year_start(year))
         stages.append((f"since {year}", cur))
-    for kind, t in steps:
+    for kind, t in steps:  # a stage is written once, as the columns that later stages count
+        cur = materialize(cur.select("review_id", "uid", "iid"), "stage")
         cur = trim_users(cur, t) if kind == "user" else trim_items(cur, t)
         stages.append((f"{kind}>={t}", cur))
     parts = [density(df).select(F.lit(k).alias("stage"), F.lit(label).alias("label"), "*")

@@ -55,21 +55,18 @@ def trim(ratings: DataFrame, steps=(("user", 4), ("item", 40), ("user", 4)),
          materialize: str | None = None) -> DataFrame:
     """Apply trimming steps in order; order matters (a user cut changes item counts).
 
-    ``materialize='checkpoint'`` writes each stage as a table into the shared
-    checkpoint folder and reads it back,
-    ``'persist'`` caches it; ``None`` leaves one lazy plan (Spark reuses the
-    repeated exchanges of the shared sub-plans).
+    ``materialize='checkpoint'`` writes the qualifying keys of each step (small) and, once, the trimmed
+    rows; ``None`` leaves one lazy plan (Spark reuses the repeated exchanges of the shared sub-plans).
     """
+    if materialize not in (None, "checkpoint"):
+        raise ValueError(f"unknown materialize {materialize!r}")
     out = ratings
     for kind, t in steps:
-        if kind == "user":
-            out = trim_users(out, t)
-        elif kind == "item":
-            out = trim_items(out, t)
-        else:
+        if kind not in ("user", "item"):
             raise ValueError(f"unknown trim step {kind!r}")
-        if materialize == "checkpoint":
-            out = write_stage(out, f"trim-{kind}-{t}")
-        elif materialize == "persist":
-            out = out.persist()
-    return out
+        key, counted = (USER, "review_id") if kind == "user" else (ITEM, USER)
+        keys = keys_with_at_least(out, key, counted, t)
+        if materialize:
+            keys = write_stage(keys, f"trim-{kind}-{t}")
+        out = out.join(keys, key, "left_semi")
+    return write_stage(out, "trimmed") if materialize else out

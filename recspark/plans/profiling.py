@@ -66,6 +66,18 @@ def q_profile_reviews_approx(spark, d):
     return pr.distinct_profile(fx.fx_reviews(spark, d), approx=True, rsd=0.02)
 
 
+@register("profile_distinct_approx_error", with_ctes([R], """
+    SELECT true AS review_id, true AS uid, true AS iid, true AS stars, true AS date FROM reviews LIMIT 1"""), ops="A2")
+def q_profile_approx_error(spark, d):
+    """Whether each approximate distinct count is within three standard errors (plus one) of the exact one."""
+    rv = fx.fx_reviews(spark, d)
+    cols = ("review_id", "uid", "iid", "stars", "date")
+    near, exact = pr.distinct_profile(rv, approx=True, rsd=0.02), pr.distinct_profile(rv)
+    near = near.toDF(*[f"a_{c}" for c in near.columns])
+    one = near.join(exact, F.lit(True))  # one row each
+    return one.select(*[(F.abs(F.col(f"a_n_{c}") - F.col(f"n_{c}")) <= 3 * 0.02 * F.col(f"n_{c}") + 1).alias(c) for c in cols])
+
+
 @register("agg_users_per_item", with_ctes([R, UPI], "SELECT iid, n_users FROM upi"), ops="A3")
 def q_users_per_item(spark, d):
     return pr.users_per_item(fx.fx_reviews(spark, d))
