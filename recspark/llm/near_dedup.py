@@ -301,3 +301,20 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
     gone = materialize(near_duplicates(docs, id_col, text_col, **options).where("NOT kept").select(F.col("doc_id").alias(key)).distinct(), "gone")
     tagged = docs.where(col(id_col).isNotNull()).withColumn(key, col(id_col).cast("long"))
     return join_by_size(tagged, gone, key, "left_anti").drop(key)
+
+
+SQL = r"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+                                              WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS shingle FROM w),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+    links AS (SELECT x, y FROM shared JOIN n na ON na.doc_id = x JOIN n nb ON nb.doc_id = y WHERE 100 * c >= 75 * (na.n + nb.n - c)),
+    edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+    reach(doc_id, other) AS (SELECT x, x FROM edges UNION SELECT reach.doc_id, y FROM reach JOIN edges ON reach.other = x),
+    comp AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+    SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(component_id, w.doc_id) AS component_id,
+           w.doc_id = coalesce(component_id, w.doc_id) AS kept
+    FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN comp ON comp.doc_id = w.doc_id"""

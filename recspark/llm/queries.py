@@ -46,7 +46,7 @@ def op4(spark, sf_dir):
     return line_dedup.repeated_units(documents(spark, sf_dir))
 
 
-@_query("op2_warc_segments")
+@_query("op2_warc_segments", warc.SQL)
 def op2(spark, sf_dir):
     return warc.archive_round_trip(spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet"))
 
@@ -56,7 +56,7 @@ def op7(spark, sf_dir):
     return langid.split_fit_predict(documents(spark, sf_dir))
 
 
-@_query("op3_minhash_bayes")
+@_query("op3_minhash_bayes", near_dedup.SQL)
 def op3(spark, sf_dir):
     return near_dedup.near_duplicates(documents(spark, sf_dir))
 

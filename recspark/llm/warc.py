@@ -330,3 +330,14 @@ def archive_round_trip(pages: DataFrame, **options) -> DataFrame:
     path = scratch_path(pages.sparkSession, "warc")
     write_archives(pages, path, **options)
     return read_archives(pages.sparkSession, path)
+
+
+SQL = """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+    d AS (SELECT *, sha1(body) AS h, max(page_id) OVER (PARTITION BY body) AS keep FROM p)
+    SELECT page_id, CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes,
+           translate(""" + " || ".join(f"to_base(('0x' || h[{1 + 5 * k}:{5 + 5 * k}])::BIGINT, 32, 4)" for k in range(8)) + """,
+                     '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
+           CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> keep THEN keep END AS refers_to
+    FROM d"""
