@@ -29,12 +29,22 @@ HEADLINE = (
     "rec_known_users_top_n",
     "tune_knn_grid",
 )
+#: the dearest plans, timed apart: `python bench.py --heavy`
+HEAVY = (
+    "eval_compare_models",
+    "eval_cross_validate",
+    "baseline_gd",
+    "predict_coclustering",
+    "predict_slope_one",
+    "stream_incremental_pairs",
+    "join_corated_pairs_full",
+)
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    names = sys.argv[1:] or list(HEADLINE)
+    names = list(HEAVY) if sys.argv[1:] == ["--heavy"] else sys.argv[1:] or list(HEADLINE)
     from recspark.session import build_session
     from recspark.plans import REGISTRY
 
