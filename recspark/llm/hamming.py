@@ -4,7 +4,8 @@ A code is cut into m segments of about ``segment_bits`` bits, and every code is
 the unfinished queries probe, in every segment, all values at distance exactly r from their own.  Two codes at
 distance d share a segment at distance at most d / m, so after round r every code at distance up to m * (r + 1) - 1 has been
 verified; a query is finished once its k-th verified distance is within that bound (ties included).  The radius
-therefore grows only for queries that need it, and the result is exact.
+therefore grows only for queries that need it, and the result is exact.  The k-th distance so far also bounds what the
+join of later rounds lets through.
 
 A code found through several segments is taken once, in the first round and segment that can find it, which its segment distances
 tell without a shuffle.  Of rows with one code only the k smallest ids are indexed: no other row of that code can
@@ -47,16 +48,16 @@ def _distance(x: str, y: str, k: int) -> Column:
 
 
 def _probes(queries: DataFrame, cuts, radius: int) -> DataFrame:
-    """(query_id, q, seg, value): all values at distance ``radius`` from each segment of each query.
+    """(query_id, q, bound, seg, value): all values at distance ``radius`` from each segment of each query.
 
     The masks grow bit by bit, each bit above the last one, so every combination comes once.
     """
     each = F.explode(F.array(*[F.struct(F.lit(k).alias("seg"), F.lit(n).alias("bits")) for k, (_, n) in enumerate(cuts)]))
-    rows = queries.withColumn("s", each).select("query_id", "q", "s.seg", "s.bits", F.lit(0).cast("long").alias("mask"), F.lit(-1).alias("top"))
+    rows = queries.withColumn("s", each).select("query_id", "q", "bound", "s.seg", "s.bits", F.lit(0).cast("long").alias("mask"), F.lit(-1).alias("top"))
     for _ in range(radius):
         rows = (rows.where("top < bits - 1").withColumn("top", F.explode(F.sequence(F.col("top") + 1, F.col("bits") - 1)))
                 .withColumn("mask", F.expr("mask | shiftleft(1L, top)")))
-    return rows.select("query_id", "q", "seg", F.expr("q[seg] ^ mask").alias("value"))
+    return rows.select("query_id", "q", "bound", "seg", F.expr("q[seg] ^ mask").alias("value"))
 
 
 def top_k_hamming(codes: DataFrame, queries: DataFrame, k: int, width: int, id_col: str = "id", bits_col: str = "bits") -> DataFrame:
@@ -74,7 +75,7 @@ def top_k_hamming(codes: DataFrame, queries: DataFrame, k: int, width: int, id_c
     asked = materialize(clean(queries).select(F.col("id").alias("query_id"), _segments(F.col("bits"), cuts).alias("q")), "mih-queries")
 
     best = asked.select("query_id", F.lit(0).cast("long").alias("id"), F.lit(0).alias("distance")).where("false")
-    active = asked
+    active = asked.withColumn("bound", F.lit(width))
     nearest = Window.partitionBy("query_id").orderBy("distance", "id")
     m = len(cuts)
     for radius in range(max(n for _, n in cuts) + 1):
@@ -82,14 +83,15 @@ def top_k_hamming(codes: DataFrame, queries: DataFrame, k: int, width: int, id_c
         found = _probes(active, cuts, radius).join(index.hint("merge"), ["seg", "value"])
         per = F.array(*[_distance("q", "c", j) for j in range(m)])
         first = F.forall(F.transform("per", lambda d, j: F.when(j < F.col("seg"), d > radius).otherwise(d >= radius)), lambda ok: ok)
-        verified = (found.withColumn("per", per).where(first)
-                    .select("query_id", "id", F.aggregate("per", F.lit(0), lambda a, d: a + d).alias("distance")))
+        distance = F.aggregate("per", F.lit(0), lambda a, d: a + d)
+        verified = found.withColumn("per", per).where(first & (distance <= F.col("bound"))).select("query_id", "id", distance.alias("distance"))
         best = materialize(best.union(verified).withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
                            .select("query_id", "id", "distance"), "mih-best")
         covered = m * (radius + 1) - 1
-        done = (best.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("far"))
-                .where((F.col("n") >= k) & (F.col("far") <= covered)))
-        active = materialize(asked.join(done, "query_id", "left_anti"), "mih-active")
+        # the k-th distance so far bounds what later rounds have to keep
+        state = best.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).alias("far"))
+        active = materialize(asked.join(state, "query_id", "left").where(F.coalesce(F.col("far") > covered, F.lit(True)))
+                             .select("query_id", "q", F.coalesce("far", F.lit(width)).alias("bound")), "mih-active")
         if active.isEmpty():
             break
     return best.select("query_id", F.row_number().over(nearest).alias("rank"), "id", "distance")
