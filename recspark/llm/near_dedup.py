@@ -177,8 +177,10 @@ def _likely_pairs(tile: pd.DataFrame, floors, percent: int):
     """For each row outside the leading component, the rows it may be linked with (of another component, each pair once), best first."""
     sig = np.frombuffer(b"".join(tile["sig"]), np.uint32).reshape(len(tile), -1)
     comp, n, lead = (tile[c].to_numpy() for c in ("comp", "n_shingles", "lead"))
+    # members of one part meet each other in the part's first tile with the leading component
+    among = tile["kind"].iloc[0] == 1 or tile["i"].iloc[0] == 0
     for k in np.flatnonzero(~lead).tolist():
-        other = np.flatnonzero((comp != comp[k]) & _size_fits(n, n[k], percent) & (lead | (np.arange(len(tile)) > k)))
+        other = np.flatnonzero((comp != comp[k]) & _size_fits(n, n[k], percent) & (lead | (among & (np.arange(len(tile)) > k))))
         other = other[sequential_survivors(np.broadcast_to(sig[k], (len(other), sig.shape[1])), sig[other], floors, BATCH)]
         if len(other):
             yield k, other[np.argsort(-(sig[other] == sig[k]).sum(axis=1), kind="stable")]
@@ -252,7 +254,8 @@ def remaining_tiles(members: DataFrame, nodes: DataFrame, comps: DataFrame, floo
     to = lambda n, f: F.transform(F.sequence(F.lit(0), F.col(n) - 1), f)
     cell = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
     tiles = F.when(F.col("lead"), to("rest_tiles", lambda j: cell(0, F.col("c"), j))).otherwise(F.concat(
-        to("lead_tiles", lambda i: cell(0, i, F.col("c"))), to("rest_tiles", lambda j: cell(1, F.least(F.col("c"), j), F.greatest(F.col("c"), j)))))
+        to("lead_tiles", lambda i: cell(0, i, F.col("c"))),
+        F.filter(to("rest_tiles", lambda j: cell(1, F.least(F.col("c"), j), F.greatest(F.col("c"), j))), lambda t: t["i"] != t["j"])))
     placed = dealt.select("key", "node", "comp", "lead", F.explode(tiles).alias("t")).select("key", "t.*", "node", "comp", "lead")
     rows = placed.join(nodes.select("node", "n_shingles", "sig"), "node").select(*[x.split()[0] for x in LIVE.split(", ")])
     return rows.repartition(*TILE).sortWithinPartitions(*TILE).mapInPandas(_per_tile(_live_rows(floors, percent)), LIVE)
@@ -265,7 +268,7 @@ def remaining_links(tiles: DataFrame, nodes: DataFrame, texts: DataFrame, floors
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS,
-                    miss: float = 1e-6, spread: int = 64, tile: int = 256) -> DataFrame:
+                    miss: float = 1e-6, spread: int = 64, tile: int = 512) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept."""
     texts = docs.select(col(id_col).cast("long").alias("doc_id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
     signed = materialize(texts.mapInPandas(_sign(bands, rows), SIGNED), "signed")
