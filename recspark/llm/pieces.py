@@ -209,10 +209,11 @@ def worker_encoder(path: str, style: str) -> PieceEncoder:
     known = here.__dict__.setdefault("encoders", {})
     if (path, style) not in known:
         known[path, style] = PieceEncoder(path, style)
+    pa.default_memory_pool().release_unused()  # what the tasks before have left
     return known[path, style]
 
 
-def text_batches(texts: list[str], chars: int = 3_000_000):
+def text_batches(texts: list[str], chars: int = 2_000_000):
     """Slices of a batch with about ``chars`` characters each (a longer text is a slice of its own)."""
     lo = size = 0
     for k, t in enumerate(texts):
