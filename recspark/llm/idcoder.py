@@ -25,8 +25,8 @@ ship_by_value(__name__)
 MAGIC = b"RSID"
 HEAD = "<4sHHIIIII"  # magic, version, lanes, steps, ids, documents, words, crc32 of what follows
 U = np.uint64
-TOP, BOT, MIX_BITS, ID_BITS = U(1 << 48), U(1 << 32), 12, 16
-ORDER2 = 1 << 18  # slots of the order-2 table
+LOW, TOP, BOT, MIX_BITS, ID_BITS = U((1 << 32) - 1), U(1 << 48), U(1 << 32), 12, 16
+ORDER2 = 1 << 17  # slots of the order-2 table
 LEVELS = 6  # confidences
 LEVEL_SHIFT = 17
 NONE = (1 << LEVEL_SHIFT) - 1  # no prediction yet
@@ -59,8 +59,9 @@ class Models:
             self.lookup = np.repeat(ids, share)
         self.kind = np.where(known, 2, 3)
         # rows: a predicted id takes the whole range, another one its own share
-        self.freq = np.concatenate([np.full(room, room), freq]).astype(np.uint64)
-        self.start = np.concatenate([np.zeros(room, np.int64), start]).astype(np.uint64)
+        freq = np.concatenate([np.full(room, room), freq])
+        start = np.concatenate([np.zeros(room, np.int64), start])
+        self.share = start.astype(np.uint64) << U(32) | freq.astype(np.uint64)  # one gather for both
         scale = (1 << MIX_BITS) - 4
         share = 1 + self.mix * scale // self.mix.sum(axis=1, keepdims=True)
         share[:, 2] += (1 << MIX_BITS) - share.sum(axis=1)
@@ -81,10 +82,12 @@ class Models:
         self.seen += np.bincount(ids, minlength=1 << ID_BITS)
         for (pred, hit, miss), ctx in zip(self.tables, (prev, order2_slot(prev2, prev))):
             right = pred[ctx] == ids
-            hit += np.bincount(ctx, weights=right, minlength=len(pred)).astype(np.int32)
-            miss += np.bincount(ctx, weights=~right, minlength=len(pred)).astype(np.int32)
-            weak = ~right & (hit <= miss)[ctx]
-            pred[ctx[weak]] = ids[weak]  # the latest one stays
+            wrong = ~right
+            hit += np.bincount(ctx[right], minlength=len(pred)).astype(np.int32)
+            miss += np.bincount(ctx[wrong], minlength=len(pred)).astype(np.int32)
+            at = ctx[wrong]
+            weak = hit[at] <= miss[at]
+            pred[at[weak]] = ids[wrong][weak]  # the latest one stays
         self.mix += np.bincount(contexts * 4 + kinds, minlength=self.mix.size).reshape(self.mix.shape) * 2
         self._rebuild()
 
@@ -100,11 +103,11 @@ def _level(pred, hit, miss):
 
 
 def refresh_steps(steps: int):
-    """Stretches of steps between updates: short at first, then 64."""
+    """Stretches of steps between updates: short at first, then 128."""
     lo, size = 0, 2
     while lo < steps:
         yield lo, min(steps, lo + size)
-        lo, size = lo + size, min(64, size * 2)
+        lo, size = lo + size, min(128, size * 2)
 
 
 def _lanes(n: int) -> int:
@@ -132,8 +135,9 @@ def encode_ids(ids: np.ndarray):
         kind = np.where(b == want, 0, np.where(a == want, 1, models.kind[want]))
         cell, row = ctx * 4 + kind, want + (kind > 1) * (1 << ID_BITS)
         w = models.weight[cell]
-        start = models.floor[cell] + w * models.start[row]
-        freq = w * models.freq[row]
+        share = models.share[row]
+        start = models.floor[cell] + w * (share >> U(32))
+        freq = w * (share & LOW)
         start, freq = start.reshape(-1, lanes), freq.reshape(-1, lanes)
         for s, f in zip(start, freq):
             r = rng >> shift
@@ -197,8 +201,9 @@ def decode_ids(lanes: int, steps: int, n: int, sizes: np.ndarray, words: np.ndar
             got[at2] = np.where(kind[at2] == 2, models.lookup[inner], inner)
             row = got.copy()
             row[at2] += 1 << ID_BITS
-            low += r * (f0 + w * models.start[row])
-            rng = r * (w * models.freq[row])
+            share = models.share[row]
+            low += r * (f0 + w * (share >> U(32)))
+            rng = r * (w * (share & LOW))
             due = _due(low, rng)
             while len(due):
                 _shifted(low, rng, due)
