@@ -32,6 +32,7 @@ ship_by_value(__name__)
 
 DIMS = 1 << 14
 NONE = "und"
+SAMPLE_PARTS = 64
 
 
 @dataclass
@@ -132,8 +133,11 @@ def fit_language_model(train: DataFrame, text_col: str = "text", label_col: str
     n = found.get(-1, 0)
     idf = np.log((1 + n) / (1 + np.array([found.get(k, 0) for k in range(DIMS)]))) + 1
     picks = rows.select("label", F.xxhash64("text").alias("pick")).distinct()
-    rank = F.row_number().over(Window.partitionBy("label").orderBy("pick"))
-    picks = picks.withColumn("rank", rank).where(F.col("rank") <= sample_per_label).drop("rank")
+    picks = picks.withColumn("part", F.pmod("pick", F.lit(SAMPLE_PARTS)))
+    for keys in (["label", "part"], ["label"]):  # the smallest of each part first: a label may hold most of the rows
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy("pick"))
+        picks = picks.withColumn("rank", rank).where(F.col("rank") <= sample_per_label).drop("rank")
+    picks = picks.drop("part")
     sample = (rows.withColumn("pick", F.xxhash64("text")).join(picks, ["label", "pick"], "left_semi").dropDuplicates(["label", "pick"]))
     fitted = sorted(sample.groupBy("label").applyInPandas(_fit_label(idf, clusters), "label string, centroid binary, far double").collect(),
                     key=lambda r: (r["label"], bytes(r["centroid"])))
