@@ -111,7 +111,7 @@ def test_pieces_equal_the_library(path, style):
 def test_encoder_cache_starts_anew(monkeypatch):
     monkeypatch.setattr(pieces, "MAX_PIECES", 3)
     enc = pieces.PieceEncoder(BYTE, "kept")
-    for t in ("one two three four", "five six", "one two"):
+    for t in ("one two three four", "five six", "one two", "two five one", "", "six. one, two\n two"):
         assert enc.encode([t])[0].tolist() == enc.tok.encode(t, add_special_tokens=False).ids
 
 
