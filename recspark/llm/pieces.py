@@ -30,7 +30,7 @@ ship_by_value(__name__)
 MARK = "\x01"
 PLAIN = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 CUTS = ((" ", MARK + " "), ("\n", "\n" + MARK), (".", MARK + "."), (",", MARK + ","))
-MAX_PIECES, MAX_IDS = 500_000, 4_000_000  # of a worker's cache; beyond either it starts anew
+MAX_PIECES, MAX_IDS = 600_000, 4_000_000  # of a worker's cache; beyond either it keeps the last batch's
 #: what a piece's ends look like
 ENDS_WS, STARTS_WS, SPACE_WORD, ENDS_RUN, SENTENCE, STARTS_STOP, ENDS_WORD = 1, 2, 4, 8, 16, 32, 64
 
@@ -74,6 +74,17 @@ class PieceEncoder:
         self.lens = np.zeros(0, np.int64)
         self.starts = np.zeros(0, np.int64)
         self.flags = np.zeros(0, np.uint8)
+        self.recent = np.zeros(0, np.int64)  # codes of the last batch
+
+    def _shrink(self) -> None:
+        """Start the cache anew from the pieces of the last batch, which are the frequent ones."""
+        keep, pieces, lens, starts, pool, flags = self.recent, [*self.codes], self.lens, self.starts, self.pool, self.flags
+        self._reset()
+        self.codes.update((pieces[k], n) for n, k in enumerate(keep.tolist()))
+        n = lens[keep]
+        self.lens, self.flags = n, flags[keep]
+        self.starts = np.cumsum(n) - n
+        self.pool = pool[np.repeat(starts[keep] - self.starts, n) + np.arange(int(n.sum()))]
 
     def _learn(self) -> None:
         """Encode the pieces that were met for the first time.
@@ -153,7 +164,7 @@ class PieceEncoder:
     def encode(self, texts: list[str]):
         """Flat uint32 ids, int64 number of ids per text, and per flat id whether a sentence ends with it."""
         if len(self.codes) > MAX_PIECES or len(self.pool) > MAX_IDS:
-            self._reset()
+            self._shrink()
         counts, code = self._split(texts)
         split = None
         while len(code) > 1:
@@ -172,6 +183,9 @@ class PieceEncoder:
                 parts[k] = part
                 counts[k] = len(part)
             code = np.concatenate(parts)
+        used = np.zeros(len(self.codes), bool)
+        used[code] = True
+        self.recent = np.flatnonzero(used)
         n = self.lens[code]
         total = int(n.sum())
         ends = np.cumsum(n)
