@@ -3,7 +3,10 @@
 A text becomes its words in lower case (runs of letters, one space around each); its one- to three-letter n-grams are
 hashed to ``DIMS`` features, weighted by (1 + log tf) * idf and normalised.  Every label has ``clusters`` centroids (spherical k-means), and a
 text gets the label of the centroid with the largest cosine.  A text is rejected when its distance to that centroid exceeds the label's
-radius: the largest distance of a training text or of one word of it alone (so short texts of the language stay), times ``slack``.
+radius for texts of its length, times ``slack``.  The length is the octave of the number of different n-grams (a word said a hundred times is as short as
+the word).  The radius of an octave is fitted on the sample's texts and on pieces from the middle of each, of 4 to 2,896 letters: a cosine of at
+least ``SHARE`` of the one that all but 1 - ``QUANTILE`` of them reach (that quantile alone would reject 1 % of the language itself).
+An octave with fewer than ``LEAST`` of them takes the radius of the next shorter one, and a longer text never has a larger radius.
 
 Fitting: document frequencies are counted over all training texts; the centroids are fitted, one task per label, on a
 bounded sample of at most ``sample_per_label`` texts per label, those with the smallest text hashes.  Only the model reaches the
@@ -33,6 +36,9 @@ ship_by_value(__name__)
 DIMS = 1 << 14
 NONE = "und"
 SAMPLE_PARTS = 64
+OCTAVES = 15  # of 1 to DIMS different n-grams
+QUANTILE, SHARE, LEAST = 0.95, 0.5, 50
+PIECES = [round(4 * 2 ** (k / 2)) for k in range(20)]  # letters
 
 
 @dataclass
@@ -40,7 +46,7 @@ class Model:
     labels: list[str]  # of each centroid
     centroids: np.ndarray  # one row per centroid, unit length
     idf: np.ndarray
-    radius: np.ndarray  # largest accepted distance, per centroid
+    radius: np.ndarray  # largest accepted distance, per centroid and octave
 
 
 def letter_table() -> np.ndarray:
@@ -108,6 +114,36 @@ def cluster(points: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centres
 
 
+def pieces(text: str):
+    """Pieces from the middle of a text, widened to whole words where a word ends nearby (not in scripts without spaces)."""
+    text = " ".join(text.split())
+    for n in PIECES:
+        if n >= len(text):
+            break
+        lo = (len(text) - n) // 2
+        hi = text.find(" ", lo + n, lo + n + 16)
+        yield text[text.rfind(" ", max(0, lo - 16), lo) + 1 or lo:hi if hi >= 0 else lo + n]
+
+
+def octave(counts: np.ndarray) -> int:
+    """Length class of a text by its number of different n-grams."""
+    return int(np.count_nonzero(counts)).bit_length() - 1
+
+
+def radii(octaves: np.ndarray, distances: np.ndarray) -> np.ndarray:
+    """The largest accepted distance for every octave."""
+    out = np.full(OCTAVES, np.nan)
+    for k in range(OCTAVES):
+        d = distances[octaves == k]
+        if len(d) >= LEAST:
+            out[k] = 1 - SHARE * (1 - np.quantile(d, QUANTILE))
+        elif k:
+            out[k] = out[k - 1]
+    fitted = out[~np.isnan(out)]
+    out[np.isnan(out)] = fitted[0] if len(fitted) else distances.max()  # shorter than the pieces, or a small sample
+    return np.maximum.accumulate(out[::-1])[::-1]
+
+
 def _fit_label(idf: np.ndarray, clusters: int):
     def fit(sample: pd.DataFrame) -> pd.DataFrame:
         letters = letter_table()
@@ -116,11 +152,14 @@ def _fit_label(idf: np.ndarray, clusters: int):
             return pd.DataFrame({"label": [], "centroid": [], "far": []})
         points = vectors(np.array(counts), idf)
         centres = cluster(points, clusters)
-        words = [w[len(w) // 2] for t in sample["text"] if (w := t.split())]  # short texts: the word in the middle of each
-        alone = [c for w in words if (c := feature_counts(w, letters)) is not None]
-        near = (np.concatenate([points, vectors(np.array(alone), idf)]) if alone else points) @ centres.T
-        far = 1 - float(near.max(axis=1).min())
-        return pd.DataFrame({"label": sample["label"].iloc[0], "centroid": [c.astype("<f4").tobytes() for c in centres], "far": far})
+        octaves, distances = [octave(c) for c in counts], [1 - (points @ centres.T).max(axis=1)]
+        for text in sample["text"]:
+            short = [c for t in pieces(text) if (c := feature_counts(t, letters)) is not None]
+            if short:
+                octaves += [octave(c) for c in short]
+                distances.append(1 - (vectors(np.array(short), idf) @ centres.T).max(axis=1))
+        far = radii(np.array(octaves), np.concatenate(distances).astype(float)).tolist()
+        return pd.DataFrame({"label": sample["label"].iloc[0], "centroid": [c.astype("<f4").tobytes() for c in centres], "far": [far] * len(centres)})
 
     return fit
 
@@ -139,10 +178,10 @@ def fit_language_model(train: DataFrame, text_col: str = "text", label_col: str
         picks = picks.withColumn("rank", rank).where(F.col("rank") <= sample_per_label).drop("rank")
     picks = picks.drop("part")
     sample = (rows.withColumn("pick", F.xxhash64("text")).join(picks, ["label", "pick"], "left_semi").dropDuplicates(["label", "pick"]))
-    fitted = sorted(sample.groupBy("label").applyInPandas(_fit_label(idf, clusters), "label string, centroid binary, far double").collect(),
+    fitted = sorted(sample.groupBy("label").applyInPandas(_fit_label(idf, clusters), "label string, centroid binary, far array<double>").collect(),
                     key=lambda r: (r["label"], bytes(r["centroid"])))
     centroids = np.array([np.frombuffer(r["centroid"], "<f4") for r in fitted], np.float32).reshape(-1, DIMS)
-    return Model([r["label"] for r in fitted], centroids, idf, np.array([r["far"] * slack for r in fitted]))
+    return Model([r["label"] for r in fitted], centroids, idf, np.array([r["far"] for r in fitted], float).reshape(-1, OCTAVES) * slack)
 
 
 def _predictor(model: Model):
@@ -163,7 +202,7 @@ def _predictor(model: Model):
                 cosine = weights @ by_feature[at] / np.sqrt(weights @ weights)
                 best = int(np.argmax(cosine))
                 label[k], score[k] = labels[best], min(1.0, max(0.0, float(cosine[best])))
-                out[k] = 1 - score[k] > radius[best]
+                out[k] = 1 - score[k] > radius[best, octave(counts)]
             yield pd.DataFrame({"key": batch["key"], "lang_pred": label, "score": score, "rejected": out})
 
     return predict

@@ -1,0 +1,28 @@
+"""Cases in which an operator did less than its whole job."""
+
+from conftest import SMOKE
+
+from recspark.llm import langid
+from recspark.llm.common import documents
+
+FOREIGN = ["Wczoraj wieczorem poszliśmy do lasu, żeby zobaczyć, jak zachodzi słońce nad rzeką.",
+           "Dün akşam nehrin üzerinde güneşin batışını görmek için ormana gittik ve çok mutlu olduk.",
+           "Eilen illalla menimme metsään katsomaan, kuinka aurinko laskee joen ylle.",
+           "Tegnap este kimentünk az erdőbe, hogy megnézzük, hogyan nyugszik le a nap a folyó felett.",
+           "Kemarin malam kami pergi ke hutan untuk melihat matahari terbenam di atas sungai.",
+           "Včera večer jsme šli do lesa, abychom viděli západ slunce nad řekou."]
+
+
+def test_language_rejects_foreign_latin_script_and_keeps_short_texts(spark):
+    docs = documents(spark, SMOKE)
+    train, held = docs.where(~langid.held_out(docs["doc_id"])), docs.where(langid.held_out(docs["doc_id"]))
+    model = langid.fit_language_model(train)
+    rows = [(f"foreign {k}", t) for k, t in enumerate(FOREIGN)] + [(f"foreign twice {k}", f"{t} {t}") for k, t in enumerate(FOREIGN)]
+    for r in held.collect():
+        words = r.text.split()
+        rows += [(f"known {r.doc_id} {n}", " ".join(words[len(words) // 3:][:n])) for n in (2, 4, 8, 16, 64)] + [(f"known {r.doc_id}", r.text)]
+    got = langid.predict_language(spark.createDataFrame(rows, "doc_id string, text string"), model).collect()
+    foreign, known = ([r for r in got if r.doc_id.startswith(kind)] for kind in ("foreign", "known"))
+    assert len(foreign) == 12 and all(r.rejected for r in foreign)
+    assert len(known) > 400 and sum(r.rejected for r in known) <= 0.01 * len(known)
+    assert not any(r.rejected for r in known if len(r.doc_id.split()) == 2)
