@@ -38,7 +38,7 @@ def op6(spark, sf_dir):
 
 @_query("op9_secret_scan")
 def op9(spark, sf_dir):
-    return secret_scan.scan_secrets(documents(spark, sf_dir))
+    return secret_scan.scan_secrets(documents(spark, sf_dir), rule="any")
 
 
 @_query("op4_line_dedup", line_dedup.SQL)

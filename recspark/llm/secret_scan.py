@@ -5,9 +5,15 @@ identifier) and ``hex`` (a hexadecimal run of 32 or more characters).
 
 Other parts are weak: a bare token of 20 or more characters that mixes cases and digits (``weak``, it may be a secret
 key) and the address of a service (``endpoint``).  They are reported only when complementary parts
-co-occur: an interval join links, inside one scope, a weak secret with the nearest access identifier and the nearest
-endpoint; both must lie within ``reach`` characters of it.  A scope is a paragraph (text between empty lines).  The join is made
-per document on the sorted spans, with binary searches over starts and ends, so a document with
+co-occur, by one of the rules in ``RULES``, of which the query takes ``any``:
+
+``all``  a weak secret with an access identifier and an endpoint, both in its paragraph (text between empty lines) and within ``reach``
+         characters of it.
+``any``  a weak secret of a document with an access identifier, wherever both are, and the nearest endpoint in ``reach`` where there is one;
+         or, the stricter rule, a weak secret of a document without an identifier that has an endpoint in its paragraph and within ``reach``
+         (a part of the address itself is no secret beside it).
+
+The interval join is made per document on the sorted spans, with binary searches over starts and ends, so a document with
 many parts costs n log n; no pairs are listed and nothing is shuffled.
 
 Positions are code points, ends are exclusive.  Defined cases: a null or empty text has no spans; every row is scanned
@@ -41,6 +47,8 @@ HEX = r"[0-9a-f]{32,}"  # a greedy leftmost match is the maximal run
 WEAK = r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{20,}={0,2}(?![A-Za-z0-9+/=])"
 ENDPOINT = r"[a-z][a-z0-9+.-]{1,20}://[A-Za-z0-9.-]+(?::[0-9]{1,5})?[^\s\"'<>]*|\b[a-z0-9-]+(?:\.[a-z0-9-]+)*\.(?:amazonaws\.com|internal|local)\b"
 BREAK = r"\n[ \t]*\n"
+PLACE_PARTS = ("://", ".amazonaws.com", ".internal", ".local")  # every endpoint has one of them
+RULES = ("all", "any")
 
 
 def base_spans(text: str, patterns) -> list[tuple[int, int, str]]:
@@ -52,25 +60,36 @@ def base_spans(text: str, patterns) -> list[tuple[int, int, str]]:
     return out
 
 
-def linked_spans(text: str, base: list[tuple[int, int, str]], patterns, reach: int) -> list[tuple[int, int, str]]:
-    """Weak secrets with an access identifier and an endpoint in reach and in scope, and the endpoints that they use."""
+def linked_spans(text: str, base: list[tuple[int, int, str]], patterns, reach: int, rule: str = "all") -> list[tuple[int, int, str]]:
+    """Weak secrets whose complementary parts co-occur by ``rule``, and the endpoints that they use."""
     access = sorted((a, b) for a, b, kind in base if kind == "access")
-    if not access:
+    if not access and (rule == "all" or not any(x in text for x in PLACE_PARTS)):
         return []
     weak_re, endpoint_re, break_re = patterns[3:]
     taken = {(a, b) for a, b, _ in base}
     weak = [m.span() for m in weak_re.finditer(text) if _mixed(m.group()) and m.span() not in taken]
+    if not weak:
+        return []
     places = [m.span() for m in endpoint_re.finditer(text)]
-    if not weak or not places:
+    if not places and (rule == "all" or not access):
         return []
-    w, p = np.array(weak), np.array(places)
-    w = w[~_inside(w, np.array(access))]
+    w, p, ids = (np.array(x, np.int64).reshape(-1, 2) for x in (weak, places, access))
+    if access:
+        w = w[~_inside(w, ids)]
     breaks = np.array([m.start() for m in break_re.finditer(text)], np.int64)
     scope = lambda x: np.searchsorted(breaks, x[:, 0], side="right")
-    ok, _ = _nearest(w, scope(w), np.array(access), scope(np.array(access)), reach)
-    near, which = _nearest(w, scope(w), p, scope(p), reach)
-    ok &= near
-    return [(int(a), int(b), "weak") for a, b in w[ok]] + [(*places[k], "endpoint") for k in sorted(set(which[ok].tolist()))]
+    used, which = _nearest(w, scope(w), p, scope(p), reach)
+    if rule == "any":
+        if not access:
+            used &= ~_inside(w, p)  # a part of an address is not a secret beside it
+        ok = used | bool(access)
+        if access:  # without an endpoint in its paragraph, one of another paragraph
+            far, other = _nearest(w, np.zeros(len(w)), p, np.zeros(len(p)), reach)
+            used, which = used | far, np.where(used, which, other)
+    else:
+        near, _ = _nearest(w, scope(w), ids, scope(ids), reach)
+        ok = used = used & near
+    return [(int(a), int(b), "weak") for a, b in w[ok]] + [(*places[k], "endpoint") for k in sorted(set(which[used].tolist()))]
 
 
 def _mixed(token: str) -> bool:
@@ -79,12 +98,16 @@ def _mixed(token: str) -> bool:
 
 def _inside(spans: np.ndarray, others: np.ndarray) -> np.ndarray:
     """Whether a span overlaps one of ``others`` (sorted, disjoint)."""
+    if not len(others):
+        return np.zeros(len(spans), bool)
     k = np.searchsorted(others[:, 0], spans[:, 1], side="left") - 1
     return (k >= 0) & (others[np.maximum(k, 0), 1] > spans[:, 0])
 
 
 def _nearest(spans, scope, others, other_scope, reach: int):
     """Interval join: for each span, whether an interval of ``others`` of its scope lies within ``reach``, and the nearest one."""
+    if not len(others):
+        return np.zeros(len(spans), bool), np.zeros(len(spans), np.int64)
     after = np.searchsorted(others[:, 0], spans[:, 0])
     best, which = np.full(len(spans), reach + 1), np.zeros(len(spans), np.int64)
     for k, gap in ((after - 1, lambda k: np.maximum(0, spans[:, 0] - others[k, 1])), (after, lambda k: np.maximum(0, others[k, 0] - spans[:, 1]))):
@@ -94,11 +117,11 @@ def _nearest(spans, scope, others, other_scope, reach: int):
     return best <= reach, which
 
 
-def scan_text(text: str, patterns, reach: int):
+def scan_text(text: str, patterns, reach: int, rule: str = "all"):
     """(base spans, all spans), each sorted by start and kind."""
     order = lambda s: (s[0], KINDS.index(s[2]))
     base = sorted(base_spans(text, patterns), key=order)
-    more = linked_spans(text, base, patterns, reach) if base else []
+    more = linked_spans(text, base, patterns, reach, rule)
     return base, sorted(base + more, key=order) if more else base
 
 
@@ -106,13 +129,13 @@ def joined(spans) -> str:
     return ",".join(f"{kind}:{a}:{b}" for a, b, kind in spans)
 
 
-def _scanner(reach: int):
+def _scanner(reach: int, rule: str):
     def scan(batches):
         patterns = [re.compile(x) for x in (ASSIGN, ACCESS, HEX, WEAK, ENDPOINT, BREAK)]
         for batch in batches:
             rows = []
             for text in batch["text"].tolist():
-                base, spans = scan_text(text, patterns, reach) if text else ((), ())
+                base, spans = scan_text(text, patterns, reach, rule) if text else ((), ())
                 n = [sum(kind == k for _, _, kind in base) for k in KINDS[:3]] if base else [0, 0, 0]
                 rows.append((*n, len(spans) - len(base), hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans)))
             out = pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "n_linked", "base_sha256", "spans"])
@@ -122,7 +145,9 @@ def _scanner(reach: int):
     return scan
 
 
-def scan_secrets(docs: DataFrame, reach: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_secrets(docs: DataFrame, reach: int = 400, id_col: str = "doc_id", text_col: str = "text", rule: str = "all") -> DataFrame:
     """One row per input row: doc_id, n_assign, n_access, n_hex, n_linked, base_sha256, spans."""
+    if rule not in RULES:
+        raise ValueError(f"rule must be one of {RULES}")
     rows = docs.select(col(id_col).cast("long").alias("doc_id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
-    return rows.mapInPandas(_scanner(reach), RESULT)
+    return rows.mapInPandas(_scanner(reach, rule), RESULT)
