@@ -32,7 +32,7 @@ def exact_copies(spark, docs, sf_dir):
 
 
 def near_copies(spark, docs, sf_dir):
-    return near_dedup.keep_representatives(docs)
+    return near_dedup.keep_representatives(docs, keep_blank=True)
 
 
 def mixture(spark, docs, sf_dir):

@@ -1,7 +1,7 @@
 """MinHash near-duplicate detection with sequential Bayesian verification.
 
 1. Every text becomes its set of five-word shingles, a digest of the set and a MinHash signature.
-   Texts with one set are one class; its smallest id represents it in all that follows.
+   Texts with one set are one class, a node of all that follows; nodes are numbered by (smallest id, digest), null ids last.
 2. The signature's bands deal the classes to buckets.  The smallest member of a bucket is its hub, and the other members
    are candidates of the hub: linear in the bucket, whatever its size.
 3. A candidate is compared batch by batch.  After n hashes with m agreeing, the similarity has the posterior
@@ -19,10 +19,12 @@ is exact up to 64-bit hashes of shingles.
 Skew: exact copies collapse in step 1 by partial aggregation; hubs are dealt to ``spread`` tasks per hub; joins to classes
 and hubs are salted.
 
-Defined cases: null and empty texts have the empty set and are linked with nothing; ids identify documents, and rows that share an id but
-differ in text are one node, represented by the text with the smaller digest; rows with a null id take the component
-of a text with the same set, or null, and are never kept; repeated rows come back as often as they occur; an empty table gives an empty
-result; extra columns are ignored by :func:`near_duplicates` and kept by :func:`keep_representatives`.
+Defined cases: null and empty texts have the empty set and are linked with nothing.  Rows that share an id but differ in their sets are nodes of
+their own, each kept or not by its own links; a group is represented by its smallest id, then smallest digest.  Rows with a null id
+take part like all others and come last: in a group without an id the component is null and one row is kept.  Repeated rows with an id come
+back as often as they occur.  A null id without any word is not kept by :func:`near_duplicates`, and by :func:`keep_representatives`
+only with ``keep_blank``.  An empty table gives an empty result; extra columns are ignored by :func:`near_duplicates` and kept by
+:func:`keep_representatives`.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from math import comb
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recspark.functions.shipping import ship_by_value
@@ -147,17 +149,20 @@ def _with_hubs(pairs: DataFrame, payload: DataFrame, judge, spread: int) -> Data
 def _set_rows(batches):
     shingler = Shingler()
     for batch in batches:
-        texts, ids = batch["text"].tolist(), batch["node"].tolist()
+        texts = batch["text"].tolist()
         for lo, hi in text_batches(texts, 1_000_000):
             sets = shingler.sets(texts[lo:hi])
-            yield pd.DataFrame({"node": ids[lo:hi], "n": [len(s) for s in sets], "data": [s.tobytes() for s in sets], "digest": [set_digest(s) for s in sets]})
+            yield pd.DataFrame({"n": [len(s) for s in sets], "data": [s.tobytes() for s in sets], "digest": [set_digest(s) for s in sets]})
 
 
 def node_sets(ends: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, n, data): the full shingle sets of the given nodes, made from their texts again."""
-    sets = (join_by_size(texts.select(F.col("doc_id").alias("node"), "text"), ends, "node", "left_semi")
-            .mapInPandas(_set_rows, "node long, n long, data binary, digest binary")
-            .join(nodes.select("node", "digest"), ["node", "digest"], "left_semi").dropDuplicates(["node"]).select("node", "n", "data"))
+    wanted = materialize(ends.join(nodes.select("node", "doc_id", "digest"), "node"), "wanted")
+    chosen = join_by_size(texts, wanted.where("doc_id IS NOT NULL").select("doc_id").distinct(), "doc_id", "left_semi").select("text")
+    if not wanted.where("doc_id IS NULL").isEmpty():
+        chosen = chosen.union(texts.where("doc_id IS NULL").select("text"))
+    sets = (chosen.mapInPandas(_set_rows, "n long, data binary, digest binary").dropDuplicates(["digest"])
+            .join(wanted.select("node", "digest"), "digest").select("node", "n", "data"))
     return materialize(sets, "sets")
 
 
@@ -270,14 +275,24 @@ def remaining_links(tiles: DataFrame, nodes: DataFrame, texts: DataFrame, floors
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS,
                     miss: float = 1e-6, spread: int = 64, tile: int = 512) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept."""
+    return _verdicts(docs, id_col, text_col, percent, bands, rows, miss, spread, tile).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS,
+              miss: float = 1e-6, spread: int = 64, tile: int = 512) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, digest, component_id, kept."""
     texts = docs.select(col(id_col).cast("long").alias("doc_id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
-    signed = materialize(texts.mapInPandas(_sign(bands, rows), SIGNED), "signed")
+    signed = materialize(texts.mapInPandas(_sign(bands, rows), SIGNED).withColumn("row", F.monotonically_increasing_id()), "signed")
     floors = least_matches(bands * rows, BATCH, percent, miss)
-    classes = materialize(signed.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"))
-                          .where("node IS NOT NULL"), "classes")
-    first = classes.groupBy("node").agg(F.min("digest").alias("digest")).select(F.col("node").alias("doc_id"), "digest")
-    nodes = materialize(signed.join(first, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"])
-                        .withColumnRenamed("doc_id", "node"), "nodes")
+    # one class per set, numbered in the order of (smallest id, digest); ``row`` is the one that is kept of rows without an id
+    classes = (signed.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"), F.min("row").alias("row"))
+               .orderBy(F.col("first").asc_nulls_last(), "digest"))
+    classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    payload = ["doc_id", "n_shingles", "digest", "sig", "bands"]
+    named = signed.select(*payload).join(classes.where("first IS NOT NULL").select(F.col("first").alias("doc_id"), "digest", "node"), ["doc_id", "digest"])
+    unnamed = (signed.where("doc_id IS NULL").join(classes.where("first IS NULL").select("digest", "row", "node"), ["digest", "row"])
+               .select(*payload, "node"))
+    nodes = materialize(named.dropDuplicates(["doc_id", "digest"]).select(*payload, "node").union(unnamed), "nodes")
 
     placed = nodes.select("node", F.explode("bands").alias("key"))
     hubs = placed.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -290,20 +305,58 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         comps = components(links.union(remaining_links(tiles, nodes, texts, floors, percent)))
 
     # classes with a component of their own or with copies; all others are their own component
-    placed = classes.join(comps, "node", "left").select("digest", F.coalesce("component", "node").alias("component"), "node", "copies")
-    lookup = placed.where("copies > 1 OR component <> node").select("digest", "component")
-    out = salted_left_join(signed.select("doc_id", "n_shingles", "digest"), lookup, ["digest"], F.col("doc_id"))
-    component = F.coalesce("component", "doc_id")
-    return (out.select("doc_id", "n_shingles", component.alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
-
-
-def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: one document of each group (the smallest id)."""
-    key = fresh("near_id", docs.columns)
-    gone = materialize(near_duplicates(docs, id_col, text_col, **options).where("NOT kept").select(F.col("doc_id").alias(key)).distinct(), "gone")
-    tagged = docs.where(col(id_col).isNotNull()).withColumn(key, col(id_col).cast("long"))
-    return join_by_size(tagged, gone, key, "left_anti").drop(key)
+    roots = (comps.select("component").distinct().join(classes.withColumnRenamed("node", "component"), "component")
+             .select("component", F.col("first").alias("root_id"), F.col("digest").alias("root_digest")))
+    rooted = salted_left_join(comps, roots, ["component"], F.col("node")).select("node", "root_id", "root_digest")
+    lookup = (classes.join(rooted, "node", "left").where("copies > 1 OR root_digest IS NOT NULL")
+              .select("digest", F.when(F.col("root_digest").isNull(), F.col("first")).otherwise(F.col("root_id")).alias("root_id"),
+                      F.coalesce("root_digest", "digest").alias("root_digest"), F.col("row").alias("kept_row")))
+    out = salted_left_join(signed.select("doc_id", "n_shingles", "digest", "row"), lookup, ["digest"], F.col("row"))
+    grouped = F.col("root_digest").isNotNull()
+    lone = F.col("doc_id").isNotNull() | (F.col("n_shingles") > 0)
+    best = (F.col("digest") == F.col("root_digest")) & F.col("doc_id").eqNullSafe(F.col("root_id")) & (F.col("doc_id").isNotNull() | (F.col("row") == F.col("kept_row")))
+    return out.select("doc_id", "n_shingles", "digest", F.when(grouped, F.col("root_id")).otherwise(F.col("doc_id")).alias("component_id"),
+                      F.when(grouped, best).otherwise(lone).alias("kept"))
+
+
+def _digests(texts: pd.Series) -> pd.Series:
+    shingler, out = Shingler(), []
+    texts = texts.fillna("").tolist()
+    for lo, hi in text_batches(texts, 1_000_000):
+        out += [set_digest(s) for s in shingler.sets(texts[lo:hi])]
+    return pd.Series(out, dtype=object)
+
+
+_digests.__annotations__ = {"texts": pd.Series, "return": pd.Series}  # types, not their names
+
+
+def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_blank: bool = False, **options) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: one document of each group (the smallest id).
+
+    Only rows without an id and rows of an id that is kept for one text and not for another are signed again, to be told by their digest.
+    ``keep_blank`` keeps rows that have neither an id nor a word, too.
+    """
+    key, mark, rank = (fresh(name, docs.columns) for name in ("near_id", "near_digest", "near_rank"))
+    judged = materialize(_verdicts(docs, id_col, text_col, **options)
+                         .select(F.col("doc_id").alias(key), F.col("digest").alias(mark), F.col("kept").alias(rank)), "judged")
+    has_id = F.col(key).isNotNull()
+    gone = materialize(judged.where(has_id & ~F.col(rank)).select(key, mark).distinct(), "gone")
+    gone_ids = gone.select(key).distinct()
+    both = materialize(join_by_size(judged.where(has_id & F.col(rank)).select(key), gone_ids, key, "left_semi").distinct(), "both")
+    tagged = docs.withColumn(key, col(id_col).cast("long"))
+    stay = join_by_size(tagged.where(has_id), gone_ids, key, "left_anti").drop(key)
+    signed = lambda rows: rows.withColumn(mark, F.pandas_udf(_digests, "binary")(col(text_col)))
+    if not both.isEmpty():
+        again = signed(join_by_size(tagged.where(has_id), both, key, "left_semi"))
+        stay = stay.union(again.join(gone, [key, mark], "left_anti").drop(key, mark))
+    if not judged.where(~has_id).isEmpty():
+        unnamed = signed(tagged.where(~has_id))
+        best = unnamed.join(judged.where(~has_id & F.col(rank)).select(mark), mark, "left_semi")
+        best = best.withColumn(rank, F.row_number().over(Window.partitionBy(mark).orderBy(col(text_col)))).where(F.col(rank) == 1)
+        stay = stay.union(best.select(*[col(c) for c in docs.columns]))
+        if keep_blank:
+            stay = stay.union(unnamed.where(F.col(mark) == F.lit(set_digest(np.zeros(0, np.uint64)))).select(*[col(c) for c in docs.columns]))
+    return stay
 
 
 SQL = r"""

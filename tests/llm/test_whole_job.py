@@ -2,7 +2,7 @@
 
 from conftest import SMOKE
 
-from recspark.llm import QUERIES, langid
+from recspark.llm import QUERIES, langid, near_dedup
 from recspark.llm.common import documents
 
 FOREIGN = ["Wczoraj wieczorem poszliśmy do lasu, żeby zobaczyć, jak zachodzi słońce nad rzeką.",
@@ -43,3 +43,21 @@ def test_secret_query_links_two_parts_without_the_third(spark, tmp_path):
     assert got[2] == got[3] == got[9] == [("weak", secret), ("endpoint", host)]
     assert [kind for kind, _ in got[4]].count("weak") == 2
     assert all(got[k] == [] for k in (5, 6, 7, 8, 10, 11))
+
+
+def test_near_keeps_rows_without_id_and_unique_texts_of_a_shared_id(spark):
+    text = lambda name, end="": " ".join(f"{name}{k}" for k in range(40)) + end
+    rows = [(1, text("a")), (7, text("a", " x")), (7, text("b")),  # 7 is a copy of 1 and a text of its own
+            (None, text("c")), (None, text("d")), (None, text("d", " y")), (None, text("a", " z")),
+            (None, text("e")), (None, text("e").upper()), (3, text("f")), (3, text("g")), (5, text("g", " x")), (4, text("f", " x")),
+            (6, text("h")), (6, text("h")), (None, ""), (None, None)]
+    docs = spark.createDataFrame([(i, t, {"row": k}) for k, (i, t) in enumerate(rows)], "doc_id long, text string, extra map<string, int>")
+    kept = near_dedup.keep_representatives(docs)
+    assert kept.columns == docs.columns
+    got = [r.extra["row"] for r in kept.collect()]
+    assert {0, 2, 3, 9, 10, 13, 14} <= set(got) and not {1, 6, 11, 12, 15, 16} & set(got)
+    assert len(got) == len(set(got)) == 9 and len({4, 5} & set(got)) == len({7, 8} & set(got)) == 1
+    found = near_dedup.near_duplicates(docs).collect()
+    assert len(found) == 17 and sum(r.kept for r in found) == 9
+    assert sorted((r.component_id, r.kept) for r in found if r.doc_id == 7) == [(1, False), (7, True)]
+    assert {r.extra["row"] for r in near_dedup.keep_representatives(docs, keep_blank=True).collect()} >= {15, 16}
