@@ -5,7 +5,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from recspark.llm import exact_dedup, hamming, langid, line_dedup, mixing, near_dedup, packing, secret_scan, token_files, warc
+from recspark.llm import (exact_dedup, hamming, langid, lexical_search, license_scan, line_dedup, mixing, near_dedup, packing, secret_scan, token_files,
+                          warc, whitening)
 from recspark.llm.common import documents
 
 QUERIES = {}
@@ -69,3 +70,18 @@ def op1(spark, sf_dir):
 @_query("op5_temperature_mixing", mixing.SQL)
 def op5(spark, sf_dir):
     return mixing.mix_sources(documents(spark, sf_dir))
+
+
+@_query("op11_qdwh_whitening")
+def op11(spark, sf_dir):
+    return whitening.whiten(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
+
+
+@_query("op12_reversed_search", lexical_search.SQL)
+def op12(spark, sf_dir):
+    return lexical_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
+
+
+@_query("op13_license_templates", license_scan.SQL)
+def op13(spark, sf_dir):
+    return license_scan.scan_licenses(documents(spark, sf_dir)).drop("spans")
