@@ -14,7 +14,7 @@ co-occur, by one of the rules in ``RULES``, of which the query takes ``any``:
          (a part of the address itself is no secret beside it).
 
 The interval join is made per document on the sorted spans, with binary searches over starts and ends, so a document with
-many parts costs n log n; no pairs are listed and nothing is shuffled.
+many parts costs n log n; no pairs are listed and nothing is shuffled.  Every pattern is matched in time linear in the text.
 
 Positions are code points, ends are exclusive.  Defined cases: a null or empty text has no spans; every row is scanned
 on its own, so repeated rows, null ids and extra columns change nothing; a very long text is
@@ -45,7 +45,11 @@ ASSIGN = (r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{32,}"  # a greedy leftmost match is the maximal run
 WEAK = r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{20,}={0,2}(?![A-Za-z0-9+/=])"
-ENDPOINT = r"[a-z][a-z0-9+.-]{1,20}://[A-Za-z0-9.-]+(?::[0-9]{1,5})?[^\s\"'<>]*|\b[a-z0-9-]+(?:\.[a-z0-9-]+)*\.(?:amazonaws\.com|internal|local)\b"
+# An endpoint is a URL, SCHEME{2,21} and ADDRESS, or a host name of dotted labels that ends in HOST_END.
+ADDRESS = r"://[A-Za-z0-9.-]+(?::[0-9]{1,5})?[^\s\"'<>]*"
+HOST_END = r"\.(?:amazonaws\.com|internal|local)\b"
+HOST_START = r"\b(?=[a-z0-9-])"
+SCHEME, HOST = "abcdefghijklmnopqrstuvwxyz0123456789+.-", "abcdefghijklmnopqrstuvwxyz0123456789.-"
 BREAK = r"\n[ \t]*\n"
 PLACE_PARTS = ("://", ".amazonaws.com", ".internal", ".local")  # every endpoint has one of them
 RULES = ("all", "any")
@@ -60,17 +64,82 @@ def base_spans(text: str, patterns) -> list[tuple[int, int, str]]:
     return out
 
 
+def _host_segments(text: str, host_end) -> list[tuple[int, int, int]]:
+    """(begin, place of the last ending, its stop) of every stretch of dotted labels, none of them empty, that has an ending.
+
+    An ending looks to the left only as far as the ending before it, so the time is linear.
+    """
+    out, at, begin = [], 0, 0
+    for m in host_end.finditer(text):
+        end = m.start()
+        before = len(text[at:end].rstrip(HOST))
+        if before or at == 0:  # a new run of host characters
+            at += before
+            begin = at + (text[at] == ".")
+        gap = text.rfind("..", at, end + 1)
+        begin = gap + 2 if gap >= 0 else begin
+        if begin < end:
+            if out and out[-1][0] == begin:
+                out.pop()
+            out.append((begin, end, m.end()))
+        at = end
+    return out
+
+
+def endpoints(text: str, address, host_end, host_start) -> list[tuple[int, int]]:
+    """Spans of the endpoints of a text, leftmost first (a URL before a host name), without overlaps, in linear time.
+
+    Both kinds are found from their rarest part (``://``, the ending) and extended to the left.
+    """
+    hosts = _host_segments(text, host_end)
+
+    def url_from(pos, c):
+        """The first URL that begins at ``pos`` or later; ``c``: where to look for ``://``."""
+        while c >= 0:
+            low = max(pos, c - 21)
+            low += len(text[low:c].rstrip(SCHEME))
+            start = next((p for p in range(low, c - 1) if "a" <= text[p] <= "z"), None)
+            m = address.match(text, c) if start is not None else None
+            if m:
+                return start, m.end(), c
+            c = text.find("://", max(c + 1, pos))
+        return None
+
+    def host_from(pos, k):
+        for k in range(k, len(hosts)):
+            begin, end, stop = hosts[k]
+            m = host_start.search(text, max(begin, pos), end) if max(begin, pos) < end else None
+            if m:
+                return m.start(), stop, k
+        return None
+
+    out, url, host = [], url_from(0, text.find("://")), host_from(0, 0)
+    while url or host:
+        best = url if not host or url and url[0] <= host[0] else host
+        out.append(best[:2])
+        pos = best[1]
+        if url and url[0] < pos:
+            url = url_from(pos, url[2])
+        if host and host[0] < pos:
+            host = host_from(pos, host[2])
+    return out
+
+
+def compiled() -> list:
+    return [re.compile(x) for x in (ASSIGN, ACCESS, HEX, WEAK, BREAK, ADDRESS, HOST_END, HOST_START)]
+
+
 def linked_spans(text: str, base: list[tuple[int, int, str]], patterns, reach: int, rule: str = "all") -> list[tuple[int, int, str]]:
     """Weak secrets whose complementary parts co-occur by ``rule``, and the endpoints that they use."""
     access = sorted((a, b) for a, b, kind in base if kind == "access")
     if not access and (rule == "all" or not any(x in text for x in PLACE_PARTS)):
         return []
-    weak_re, endpoint_re, break_re = patterns[3:]
+    weak_re, break_re, *place_res = patterns[3:]
     taken = {(a, b) for a, b, _ in base}
     weak = [m.span() for m in weak_re.finditer(text) if _mixed(m.group()) and m.span() not in taken]
     if not weak:
         return []
-    places = [m.span() for m in endpoint_re.finditer(text)]
+    places = endpoints(text, *place_res)
     if not places and (rule == "all" or not access):
         return []
     w, p, ids = (np.array(x, np.int64).reshape(-1, 2) for x in (weak, places, access))
@@ -131,7 +200,7 @@ def joined(spans) -> str:
 
 def _scanner(reach: int, rule: str):
     def scan(batches):
-        patterns = [re.compile(x) for x in (ASSIGN, ACCESS, HEX, WEAK, ENDPOINT, BREAK)]
+        patterns = compiled()
         for batch in batches:
             rows = []
             for text in batch["text"].tolist():

@@ -16,7 +16,8 @@ Hot payloads (a third of all pages) meet their group by a salted join.
 
 Defined cases: a null payload is empty; equal payloads are found by SHA-1 and length; a null id takes part as the smallest
 one, and a group of null ids only has no revisits; repeated rows with the largest id are all responses; a null url leaves its
-header out, line ends in a url are escaped; an empty table writes archives without records and gives an empty result; extra
+header out, line ends in a url are escaped; an id with several payloads has a response record for each that no larger id shares, and a revisit is
+matched by id, length and digest; an empty table writes archives without records and gives an empty result; extra
 columns are ignored.
 """
 
@@ -316,12 +317,12 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     parts = files.mapInPandas(_reader, PARTS)
     pages = parts.repartition("origin").sortWithinPartitions("origin", "segment").mapInPandas(_reassemble, PAGES)
     found = materialize(pages, "warc-pages")
-    # what revisits say of their payload must be true of the response that they refer to
+    # what a revisit says of its payload must be true of a response with the id that it refers to
     wanted = found.where("refers_to IS NOT NULL").select(F.col("refers_to").alias("page_id")).distinct()
     answers = (found.where("record_type = 'response'").join(wanted, "page_id", "left_semi")
-               .select(F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("true_bytes"), F.col("payload_digest").alias("true_digest")).distinct())
-    joined = salted_left_join(found, answers.dropDuplicates(["refers_to"]), ["refers_to"], F.struct("page_id"))
-    wrong = F.col("refers_to").isNotNull() & ~(F.col("true_bytes").eqNullSafe(F.col("payload_bytes")) & F.col("true_digest").eqNullSafe(F.col("payload_digest")))
+               .select(F.col("page_id").alias("refers_to"), "payload_bytes", "payload_digest").distinct().withColumn("answered", F.lit(True)))
+    joined = salted_left_join(found, answers, ["refers_to", "payload_bytes", "payload_digest"], F.struct("page_id"))
+    wrong = F.col("refers_to").isNotNull() & F.col("answered").isNull()
     checked = F.when(wrong, F.raise_error(F.concat(F.lit("a revisit does not match response "), F.col("refers_to").cast("string")))).otherwise(F.col("payload_bytes"))
     return joined.select("page_id", checked.cast("long").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
 

@@ -1,3 +1,5 @@
+import collections
+import hashlib
 import random
 
 import duckdb
@@ -132,22 +134,107 @@ def test_components_of_a_path_and_a_star(spark):
     assert got == {i: 0 for i in range(1, 41)} | {k: 100 for k in range(101, 160)}
 
 
-def test_lines_and_offsets(spark):
+def brute_runs(rows, by="clause", least=30):
+    """{(doc_id, text): [(start, stop, words as text)]} of the units in repeated runs, in two rounds, rows counted one by one."""
+    live = [[(a, b, b" ".join(w).decode(), len(w), k) for k, (a, b, w) in enumerate(line_dedup.units_of(t, by))] if t else [] for _, t in rows]
+    for _ in range(2):
+        n = collections.Counter(u[2] for units in live for u in units)
+        kept = []
+        for units in live:
+            runs, last = [], None
+            for u in units:
+                if n[u[2]] > 1:
+                    runs = runs if last is not None and u[4] == last + 1 else [*runs, []]
+                    runs[-1].append(u)
+                    last = u[4]
+            kept.append([u for run in runs if sum(x[3] for x in run) >= least for u in run])
+        live = kept
+    return live
+
+
+def check_runs(spark, rows, by="clause", least=30):
+    live = brute_runs(rows, by, least)
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0, int(hashlib.md5((rows[k][1] or "").encode()).hexdigest()[:15], 16)))
+    first, copies = {}, collections.Counter(u[2] for units in live for u in units)
+    for k in order:
+        for u in live[k]:
+            first.setdefault(u[2], (rows[k], u[4]))
+    want = set()
+    for k in order:
+        later, stretches = {}, []
+        for u in live[k]:
+            later[u[4]] = first[u[2]] != (rows[k], u[4])
+            joins = stretches and stretches[-1][-1][4] == u[4] - 1 and later[u[4] - 1] == later[u[4]]
+            stretches = stretches[:-1] + [[*stretches[-1], u]] if joins else [*stretches, [u]]
+        for units in stretches:
+            cut = later[units[0][4]] and sum(u[3] for u in units) >= least
+            want |= {(rows[k][0], u[4], u[0], u[1], u[3], hashlib.md5(u[2].encode()).hexdigest(), first[u[2]][0][0], first[u[2]][1], copies[u[2]], cut)
+                     for u in units}
+    docs = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, unit int, digest string")
+    got = line_dedup.repeated_units(docs, by, least)
+    assert got.columns == "doc_id unit start stop words digest keep_doc_id keep_unit copies cut".split()
+    got = [tuple(r) for r in got.collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, want)) and len(set(got)) == len(got)
+    return want, docs
+
+
+@pytest.mark.parametrize("by", ["clause", "line", "paragraph"])
+def test_runs_equal_brute_force(spark, by):
+    rng = random.Random(11)
+    line = lambda: " ".join(rng.choice(LONG) for _ in range(rng.randint(1, 5))) + rng.choice([".", "!", ",", "", ";"])
+    verses = [line() for _ in range(40)]
+    rows = []
+    for k in range(60):
+        a = rng.randrange(30)
+        part = verses[a:a + rng.randint(1, 9)]
+        own = [line() for _ in range(rng.randint(0, 6))]
+        body = own[:len(own) // 2] + part + own[len(own) // 2:]
+        rows.append((k if k % 13 else None, rng.choice(["\n", " ", "\n\n", "\n \t\n"]).join(body)))
+    rows += [(70, None), (71, ""), (72, " \n\t"), rows[5], rows[5], (5, "another text of the id"), (90, "ÀÉ b c. " * 30), (91, "a" * 50_000)]
+    want, _ = check_runs(spark, rows, by, 12)
+    assert want and any(x[-1] for x in want) and not all(x[-1] for x in want)
+
+
+def test_runs_of_short_lines_passages_inside_lines_and_chance_repeats(spark):
+    verse = "\n".join(f"verse {k}\nof it" for k in range(12))  # lines of two words each
+    passage = ", ".join(f"clause{k} with some words" for k in range(13)) + "."
+    rows = [(1, f"A beginning here.\n{verse}\nEnd one."), (2, f"{verse}\nother end"), (3, f"This line goes on and then {passage} Nothing more."),
+            (4, f"Unlike, but {passage} So it ends\nand goes on"), (5, "All rights reserved."), (6, "All rights reserved.\nA text of its own"),
+            (7, "All rights reserved.\nAnother text"), (8, verse.replace("\n", "\n\n"))]
+    want, docs = check_runs(spark, rows)
+    assert {x[0] for x in want} == {1, 2, 3, 4, 8} and {x[0] for x in want if x[-1]} == {2, 4, 8}
+    kept = {r.doc_id: r for r in line_dedup.remove_repeats(docs).collect()}
+    assert kept[1].text == rows[0][1] and kept[3].text == rows[2][1] and kept[2].text == "other end" and kept[8].text == ""
+    assert kept[4].text.startswith("Unlike, but clause0 with some words,") and kept[4].text.endswith(" So it ends\nand goes on") and "clause5" not in kept[4].text
+    assert [kept[k].text for k in (5, 6, 7)] == [rows[4][1], rows[5][1], rows[6][1]]
+    assert line_dedup.remove_repeats(docs).columns == docs.columns and kept[1].unit == 1
+
+
+def test_chance_runs_fall_out_in_the_second_round(spark):
+    """A run put together from units that recur elsewhere alone is none."""
+    units = [f"short unit number {k}." for k in range(9)]
+    rows = [(1, " ".join(units))] + [(10 + k, f"{u} own text {k} here") for k, u in enumerate(units)]
+    assert check_runs(spark, rows, least=20)[0] == set()
+
+
+def test_removal_keeps_to_the_text_whose_offsets_it_has(spark):
+    """Two texts without an id, and two of one id: the one that repeats nothing stays as it is."""
+    passage = " ".join(f"w{k}" for k in range(40)) + "."
+    rows = [(1, f"{passage} And more."), (None, f"Before. {passage}"), (None, "A sentence of its own here that repeats nothing."), (4, f"{passage}"),
+            (4, "Another sentence of its own."), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = collections.Counter((r.doc_id, r.text) for r in line_dedup.remove_repeats(docs).collect())
+    assert got == collections.Counter([rows[0], (None, "Before."), rows[2], (4, ""), rows[4], (None, None)])
+
+
+def test_runs_on_edge_tables(spark):
     docs = edge_docs(spark)
-    got = line_dedup.repeated_units(docs).where("doc_id >= 8 AND doc_id < 10").collect()
-    assert [(r.doc_id, r.unit, r.keep_doc_id, r.keep_unit, r.copies) for r in got] == [(9, 0, 8, 1, 2)]
+    got = line_dedup.repeated_units(docs, "line", 10).where("doc_id >= 8 AND doc_id < 10").collect()
+    assert {(r.doc_id, r.unit, r.keep_doc_id, r.keep_unit, r.copies, r.cut) for r in got} == {(8, 1, 8, 1, 2, False), (9, 0, 8, 1, 2, True)}
     text = docs.where("doc_id = 9").first().text
-    assert text[got[0].start:got[0].stop].startswith("the same passage")
-    cleaned = line_dedup.remove_repeats(docs)
-    assert cleaned.columns == docs.columns
-    by_id = {r.doc_id: r.text for r in cleaned.where("doc_id >= 8").collect()}
+    assert text[got[0].start:got[0].stop].startswith("the same passage") or got[0].doc_id == 8
+    by_id = {r.doc_id: r.text for r in line_dedup.remove_repeats(docs, "line", 10).where("doc_id >= 8").collect()}
     assert by_id[9] == "" and by_id[8].count("passage") == 1 and by_id[10] == "   \n\t \n"
     assert line_dedup.repeated_units(empty_docs(spark)).count() == 0 and line_dedup.remove_repeats(empty_docs(spark)).count() == 0
-
-
-def test_paragraphs_and_normalisation(spark):
-    a, b = "One  two THREE\nfour five six", "one two three four\tfive six"
-    docs = spark.createDataFrame([(1, f"{a}\n\nrest of it"), (2, f"x\n \n{b}"), (3, "short\n\nshort")], "doc_id long, text string")
-    got = line_dedup.repeated_units(docs, by="paragraph").collect()
-    assert [(r.doc_id, r.unit, r.start, r.stop, r.keep_doc_id) for r in got] == [(2, 1, 4, 4 + len(b), 1)]
-    assert line_dedup.repeated_units(docs).count() == 0
+    with pytest.raises(ValueError):
+        line_dedup.repeated_units(docs, "word")

@@ -49,6 +49,26 @@ def test_warc_round_trip(spark, options):
     assert warc.archive_round_trip(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_warc_id_with_several_payloads(spark):
+    rows = [(5, None, "a"), (3, None, "a"), (5, None, "b"), (2, None, "b"), (5, None, "c"), (9, None, "c"), (None, None, "b")]
+    df = spark.createDataFrame([(*r, "p", "d") for r in rows], PAGES)
+    got = values(warc.archive_round_trip(df), "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    assert got == expected_pages(rows) and sum(r[3] == "response" for r in got) == 3
+
+
+def test_warc_revisit_of_another_payload_fails(spark):
+    digest = lambda body: base64.b32encode(hashlib.sha1(body).digest()).decode()
+    record = lambda *args: list(warc.records_of(*args, 512, 1000))
+    folder = scratch_path(spark, "warc-bad")
+    import os
+
+    os.makedirs(folder.replace("file:", ""))
+    with open(folder.replace("file:", "") + "/a.warc.gz", "wb") as f:
+        f.write(archive(record(1, "u", "one", digest(b"one"), 3, None, f"{warc.URN}1#0-0") + record(2, "u", None, digest(b"two"), 3, 1, f"{warc.URN}2#0-1")))
+    with pytest.raises(Exception, match="does not match response 1"):
+        warc.read_archives(spark, folder).collect()
+
+
 def archive(records):
     return gzip.compress(b"".join(r + b"\r\n\r\n" for r in records))
 
