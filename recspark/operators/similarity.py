@@ -54,15 +54,17 @@ from recspark.session import materialize
 
 SUM_COLS = ("sx", "sy", "sxx", "syy", "sxy")
 METRICS = ("cosine", "msd", "pearson", "pearson_baseline")
+PARTIAL = "i long, j long, n double, sx double, sy double, sxx double, syy double, sxy double"
 
 
 # ---------------------------------------------------------------- pair sums
 
-def _block_pair_sums(a: pd.DataFrame, b: pd.DataFrame, same: bool, max_pairs: int):
+def _block_pair_sums(a: pd.DataFrame, b: pd.DataFrame, same: bool, max_pairs: int, cross: bool = False):
     """Per-item-pair sums of one group, a frame per chunk of at most about ``max_pairs`` products.
 
     ``a``/``b`` hold cells (u, it, c, s, q).  Nothing is kept between chunks: an item pair may come in
-    several frames, the aggregate over all groups adds them.
+    several frames, the aggregate over all groups adds them.  ``same``: a is b, every pair counts once; ``cross``: a and b
+    are two sets of cells that may share items.
     """
     if len(a) == 0 or len(b) == 0:
         return
@@ -103,8 +105,8 @@ def _block_pair_sums(a: pd.DataFrame, b: pd.DataFrame, same: bool, max_pairs: in
         rep = np.repeat(np.arange(lo, hi), cnt_c)
         first = np.cumsum(cnt_c) - cnt_c
         bidx = np.repeat(start[lo:hi], cnt_c) + (np.arange(total) - np.repeat(first, cnt_c))
-        if same:
-            keep = a_it[rep] < b_it[bidx]
+        if same or cross:
+            keep = a_it[rep] < b_it[bidx] if same else a_it[rep] != b_it[bidx]
             rep, bidx = rep[keep], bidx[keep]
         if len(rep):
             code = a_loc[rep].astype(np.int64) * nb + b_loc[bidx]
@@ -196,14 +198,34 @@ def pair_sums(ratings: DataFrame, user: str = "uid", item: str = "iid", value: s
     Swap ``user`` and ``item`` for user-user sums.
     """
     by = list(by)
-    v = F.col(value).cast("double")
-    cells = (ratings.where(F.col(user).isNotNull() & F.col(item).isNotNull() & F.col(value).isNotNull())
-             .groupBy(*by, user, item)
-             .agg(F.count(F.lit(1)).alias("c"), F.sum(v).alias("s"), F.sum(v * v).alias("q")))
+    cells = rating_cells(ratings, user, item, value, by)
     if min_support > 1:
         cells = prune_rare_items(cells, min_support, by, user, item)
     if n_user_blocks is None:  # planning reads the users' degrees: write the cells once instead of making them twice
         cells = materialize(cells, "rating-cells")
+    return pair_sums_of_cells(cells, user, item, by, n_user_blocks, heavy_cells, rows_per_group, max_pairs_per_chunk, integer_sums)
+
+
+def rating_cells(ratings: DataFrame, user: str = "uid", item: str = "iid", value: str = "stars", by=()) -> DataFrame:
+    """(by..., user, item, c, s, q): count, sum and sum of squares of the ratings of every rated cell."""
+    v = F.col(value).cast("double")
+    return (ratings.where(F.col(user).isNotNull() & F.col(item).isNotNull() & F.col(value).isNotNull())
+            .groupBy(*by, user, item)
+            .agg(F.count(F.lit(1)).alias("c"), F.sum(v).alias("s"), F.sum(v * v).alias("q")))
+
+
+def _summed(partial: DataFrame, by: list[str], integer_sums: bool) -> DataFrame:
+    """Partial pair sums of all groups, added."""
+    cast = "bigint" if integer_sums else "double"
+    aggs = [F.sum("n").cast("bigint").alias("n")] + [F.sum(c).cast(cast).alias(c) for c in SUM_COLS]
+    return partial.groupBy(*by, "i", "j").agg(*aggs)
+
+
+def pair_sums_of_cells(cells: DataFrame, user: str = "uid", item: str = "iid", by=(), n_user_blocks: int | None = None,
+                       heavy_cells: int = 2048, rows_per_group: int = 400_000, max_pairs_per_chunk: int = 500_000,
+                       integer_sums: bool = True) -> DataFrame:
+    """:func:`pair_sums` from written cells (they are read twice); a cell may come in several rows."""
+    by = list(by)
     deg = cells.groupBy(*by, user).agg(F.count(F.lit(1)).alias("deg"))
     n_user_blocks = int(n_user_blocks or plan_user_blocks(deg, rows_per_group, heavy_cells=heavy_cells))
     heavy = F.col("deg") > heavy_cells
@@ -220,13 +242,52 @@ def pair_sums(ratings: DataFrame, user: str = "uid", item: str = "iid", value: s
          .withColumn("hi", F.greatest("blk", "other"))
          .drop("other", "nblk"))
     by_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cells.schema.fields if f.name in by)
-    schema = (by_schema + ", " if by_schema else "") + \
-        "i long, j long, n double, sx double, sy double, sxx double, syy double, sxy double"
+    schema = (by_schema + ", " if by_schema else "") + PARTIAL
     partial = (x.groupBy(*by, "g_heavy", "g_id", "lo", "hi")
                 .applyInPandas(_make_kernel(by, max_pairs_per_chunk), schema))
-    cast = "bigint" if integer_sums else "double"
-    aggs = [F.sum("n").cast("bigint").alias("n")] + [F.sum(c).cast(cast).alias(c) for c in SUM_COLS]
-    return partial.groupBy(*by, "i", "j").agg(*aggs)
+    return _summed(partial, by, integer_sums)
+
+
+def _cross_kernel(max_pairs: int):
+    def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(batches), ignore_index=True)  # the cells of a group, bounded by the planning
+        left = pdf["left"].to_numpy(bool)
+        for res in _block_pair_sums(pdf[left], pdf[~left], False, max_pairs, cross=True):
+            yield pd.DataFrame(res)
+
+    kernel.__annotations__ = {"batches": Iterator[pd.DataFrame], "return": Iterator[pd.DataFrame]}
+    return kernel
+
+
+def cross_pair_sums(left: DataFrame, right: DataFrame, user: str = "uid", item: str = "iid", heavy_cells: int = 2048,
+                    rows_per_group: int = 400_000, pairs_per_group: int = 50_000_000, max_pairs_per_chunk: int = 500_000,
+                    integer_sums: bool = True) -> DataFrame:
+    """(i, j, n, sx, sy, sxx, syy, sxy): pair sums between two written sets of cells of the same users.
+
+    Adds, over the users of both, the products of every cell of ``left`` with every cell of ``right`` of another item.
+    Only users of both sides go on.  One with more than ``heavy_cells`` on a side is cut into item blocks of its own on both
+    sides, a group per pair of blocks; the others go whole into hashed user blocks, sized by cells and products.
+    """
+    degree = lambda df, name: df.groupBy(user).agg(F.count(F.lit(1)).alias(name))
+    both = materialize(degree(left, "dl").join(degree(right, "dr"), user), "cross-degrees")
+    light = (F.col("dl") <= heavy_cells) & (F.col("dr") <= heavy_cells)
+    d = lambda c: F.col(c).cast("double")
+    seen = both.where(light).agg(F.sum(d("dl") + d("dr")).alias("cells"), F.sum(d("dl") * d("dr")).alias("pairs")).first()  # one row
+    blocks = max(1, 2 * left.sparkSession.sparkContext.defaultParallelism, math.ceil((seen["cells"] or 0) / rows_per_group),
+                 math.ceil((seen["pairs"] or 0) / pairs_per_group))
+    cut = lambda c: F.when(light, F.lit(1)).otherwise(F.ceil(F.col(c) / F.lit(heavy_cells))).cast("int")
+
+    def side(df: DataFrame, own: str, other: str, is_left: bool) -> DataFrame:
+        mine = F.pmod(F.xxhash64(F.col(item)), cut(own)).cast("int")
+        theirs = F.explode(F.sequence(F.lit(0), cut(other) - 1))
+        return df.join(both, user).select(
+            F.lit(is_left).alias("left"), F.col(user).cast("long").alias("u"), F.col(item).cast("long").alias("it"), "c", "s", "q", (~light).alias("g_heavy"),
+            F.when(light, F.pmod(F.xxhash64(F.col(user)), F.lit(blocks))).otherwise(F.col(user).cast("long")).alias("g_id"),
+            mine.alias("mine"), theirs.alias("theirs")).withColumns({"lo": F.col("mine" if is_left else "theirs"), "hi": F.col("theirs" if is_left else "mine")}) \
+            .drop("mine", "theirs")
+
+    groups = side(left, "dl", "dr", True).unionByName(side(right, "dr", "dl", False)).groupBy("g_heavy", "g_id", "lo", "hi")
+    return _summed(groups.applyInPandas(_cross_kernel(max_pairs_per_chunk), PARTIAL), [], integer_sums)
 
 
 # ------------------------------------------------------------- similarities

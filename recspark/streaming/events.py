@@ -5,23 +5,31 @@ number.  ``fetch_since`` is the batch form (rows with seq >= n and the
 next number to ask for); ``ingest`` is the streaming form: a file
 source read with Structured Streaming, written by ``foreachBatch``.
 
-Exactly-once effect: every micro-batch overwrites its own folder
-``run=<query id>/batch=<id>``.  The query id lives in the checkpoint, so a
-batch replayed after a crash between the sink write and the offset commit
-rewrites the same rows, while a new checkpoint writes to a folder of its
-own and can never replace what another run has stored.  Sequence numbers
-that the sink already holds (re-delivered files, a second run over the
-same source) are dropped, and so are repeats inside a batch.
+Exactly-once effect: a micro-batch writes its rows to a folder of its own
+and then commits it in the sink's log (``sources.commit_log``) under the
+query id, which lives in the checkpoint, and the batch id.  A batch
+replayed after a crash finds itself in the log and does nothing; a folder
+without an entry is not read; a new checkpoint is a new run and replaces
+nothing.  An entry holds the range of sequence numbers of its rows, so
+events delivered again are looked for only in the folders whose range
+overlaps the batch's, and only in their number column.
+
+Events without a number cannot be told apart by it: all those of a batch
+are stored, except ones whose whole content another batch has stored
+(only folders that hold such events are read for that).
 """
 
 from __future__ import annotations
 
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recspark.sources.commit_log import CommitLog, LogState
+
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("ts", T.TimestampNTZType()),
@@ -48,33 +56,17 @@ def next_sequence(events: DataFrame, n, seq: str = "event_id") -> DataFrame:
         "n_rows")
 
 
-def ingest(spark: SparkSession, source: str, sink: str, checkpoint_location: str,
-           schema: T.StructType = EVENT_SCHEMA, fmt: str = "parquet", trigger: str = "availableNow",
-           interval: str = "30 seconds", max_files_per_trigger: int | None = None, wait: bool = True,
-           seq: str | None = "event_id"):
-    """Stream files under ``source`` into ``sink`` (parquet), one folder per run and micro-batch.
-
-    ``seq`` is the sequence number by which events are told apart (rows without one are kept once per
-    batch); None stores every row as it comes.
+def for_each_batch(stream: DataFrame, write, checkpoint_location: str, trigger: str = "availableNow",
+                   interval: str = "30 seconds", wait: bool = True):
+    """Run ``write(batch, run, batch_id)`` per micro-batch; ``run`` is the query id, which lives in the checkpoint."""
+    started, query_id = threading.Event(), []
 
-    trigger='availableNow' drains what is there and stops (tests, backfill);
-    trigger='processingTime' polls every ``interval``.
-    """
-    reader = spark.readStream.schema(schema).format(fmt)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.load(source)
-
-    root, started, query_id = sink.rstrip("/"), threading.Event(), []
-
-    def write_batch(df: DataFrame, batch_id: int) -> None:
+    def each(df: DataFrame, batch_id: int) -> None:
         if not started.wait(300):
             raise RuntimeError("the query did not report its id")
-        mine = f"{root}/run={query_id[0]}/batch={batch_id}"
-        new = _unseen(df.dropDuplicates([seq]) if seq else df, root, query_id[0], batch_id, seq)
-        new.write.mode("overwrite").parquet(mine)
+        write(df, query_id[0], batch_id)
 
-    w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)
+    w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if trigger == "availableNow" else w.trigger(processingTime=interval)
     q = w.start()
     query_id.append(q.id)
@@ -84,31 +76,69 @@ def ingest(spark: SparkSession, source: str, sink: str, checkpoint_location: str
     return q
 
 
-def _unseen(batch: DataFrame, sink: str, run: str, batch_id: int, seq: str | None) -> DataFrame:
-    """Rows of a batch whose sequence number no other batch in the sink has.
+def ingest(spark: SparkSession, source: str, sink: str, checkpoint_location: str,
+           schema: T.StructType = EVENT_SCHEMA, fmt: str = "parquet", trigger: str = "availableNow",
+           interval: str = "30 seconds", max_files_per_trigger: int | None = None, wait: bool = True,
+           seq: str | None = "event_id"):
+    """Stream files under ``source`` into ``sink`` (parquet), one folder per micro-batch and a log.
+
+    ``seq`` is the sequence number by which events are told apart; None stores every row as it comes.
 
-    Only the range of numbers that the batch spans is read, and only that column.
+    trigger='availableNow' drains what is there and stops (tests, backfill);
+    trigger='processingTime' polls every ``interval``.
     """
-    spark = batch.sparkSession
-    if seq is None or not _exists(spark, sink):
-        return batch
-    span = batch.agg(F.min(seq).alias("lo"), F.max(seq).alias("hi")).first()  # one row
-    if span["lo"] is None:
+    reader = spark.readStream.schema(schema).format(fmt)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    write = lambda df, run, batch_id: store_batch(df, sink, run, batch_id, seq)
+    return for_each_batch(reader.load(source), write, checkpoint_location, trigger, interval, wait)
+
+
+def store_batch(batch: DataFrame, sink: str, run: str, batch_id: int, seq: str | None = "event_id") -> None:
+    """Store the events of a batch that the sink does not hold; nothing if the batch is in the log already."""
+    spark, root = batch.sparkSession, sink.rstrip("/")
+    log = CommitLog(spark, root)
+    while True:
+        state = log.state()
+        if state.done(run, batch_id):
+            return
+        path = f"data/{uuid.uuid4().hex}"
+        _unseen(batch, root, state, seq).write.parquet(f"{root}/{path}")
+        rows = spark.read.schema(batch.schema).parquet(f"{root}/{path}")
+        numbers = F.col(seq) if seq else F.lit(None).cast("long")
+        found = rows.agg(F.min(numbers).alias("lo"), F.max(numbers).alias("hi"), F.count(F.lit(1)).alias("rows"),
+                         F.count(numbers).alias("numbered")).first()  # one row
+        item = {"path": path, "lo": found["lo"], "hi": found["hi"], "rows": found["rows"], "unnumbered": found["rows"] - found["numbered"]}
+        if log.commit(state, run, batch_id, add=[item]):
+            return  # else another run was first and may have stored some of these events: look again
+
+
+def overlapping(state: LogState, lo, hi) -> list[str]:
+    """Paths of the folders whose range of numbers overlaps lo..hi."""
+    return [x["path"] for x in state.items.values() if x["lo"] is not None and x["lo"] <= hi and x["hi"] >= lo]
+
+
+def _unseen(batch: DataFrame, root: str, state: LogState, seq: str | None) -> DataFrame:
+    """The events of a batch, each number once, that no folder in the log holds."""
+    if seq is None:
         return batch
-    schema = T.StructType([batch.schema[seq], T.StructField("run", T.StringType()), T.StructField("batch", T.LongType())])
-    stored = (spark.read.schema(schema).parquet(sink)
-              .where(F.col(seq).between(span["lo"], span["hi"]))
-              .where((F.col("run") != run) | (F.col("batch") != batch_id)))
-    return batch.join(stored.select(seq), seq, "left_anti")
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a folder is there, asked through the file system that Spark would read it with."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    spark = batch.sparkSession
+    read = lambda paths: spark.read.schema(batch.schema).parquet(*[f"{root}/{p}" for p in paths])
+    numbered, rest = batch.where(F.col(seq).isNotNull()).dropDuplicates([seq]), batch.where(F.col(seq).isNull())
+    span = batch.agg(F.min(seq).alias("lo"), F.max(seq).alias("hi"), F.count_if(F.col(seq).isNull()).alias("unnumbered")).first()  # one row
+    paths = overlapping(state, span["lo"], span["hi"]) if span["lo"] is not None else []
+    if paths:
+        numbered = numbered.join(read(paths).select(seq).where(F.col(seq).between(span["lo"], span["hi"])), seq, "left_anti").select(*batch.columns)
+    paths = [x["path"] for x in state.items.values() if x["unnumbered"]] if span["unnumbered"] else []
+    if paths:
+        content = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in batch.columns])), 256)
+        stored = read(paths).where(F.col(seq).isNull()).select(content.alias("_content")).distinct()
+        rest = rest.withColumn("_content", content).join(stored, "_content", "left_anti").select(*batch.columns)
+    return numbered.unionByName(rest)
 
 
 def read_sink(spark: SparkSession, sink: str, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
-    """All ingested rows (the partition columns ``run`` and ``batch`` are dropped)."""
-    return spark.read.schema(schema).parquet(sink).select(*schema.fieldNames())
+    """All ingested rows: those of the folders in the log."""
+    root = sink.rstrip("/")
+    paths = [f"{root}/{x['path']}" for x in CommitLog(spark, root).state().items.values() if x["rows"]]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
