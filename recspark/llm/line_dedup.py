@@ -11,8 +11,8 @@ Of the occurrences of a unit in runs, the earliest in the order (document id, ke
 where such units again follow each other with ``min_words`` words in all: a refrain inside the text that stays is not cut out of it.  Every unit of a
 run is reported with its offsets in the original text (code points, end exclusive), the place of its earliest occurrence and whether it is cut.
 
-Digests are counted with partial aggregation before anything moves; the joins that bring counts back are plain equi-joins with one row
-per digest on one side, which Spark splits where a digest (a license line in a third of all documents) is hot.  Only digests and offsets
+Digests are counted with partial aggregation before anything moves; the joins that bring counts back are plain equi-joins with a written table of one
+row per digest, which Spark splits where a digest (a license line in a third of all documents) is hot.  Only digests and offsets
 move; texts do not until the removal itself.  A window holds the repeated units of one document.
 
 Defined cases: null and empty texts have no units; blank lines are no units and do not end a run; null ids sort after all others; rows with
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
 
 import pandas as pd
 import pyarrow as pa
@@ -36,12 +37,13 @@ from recspark.session import materialize
 
 ship_by_value(__name__)
 
-UNITS = "doc_id long, text_key long, unit int, start int, stop int, words int, digest binary"
+UNITS = "doc_id long, text_key long, unit int, start int, stop int, words int, h1 long, h2 long"  # h1, h2: the MD5
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 UNIT = {"clause": r"[^\n.!?;:,]*[.!?;:,]+|[^\n.!?;:,]+", "line": r"[^\n]+", "paragraph": r"[^\n]+(?:\n(?![ \t\x0b\x0c\r]*(?:\n|$))[^\n]+)*"}
 MIN_WORDS = 30
 DOC = ["doc_id", "text_key"]
 ROWS = 50_000  # units of a batch that leaves a task
+HALVES = struct.Struct(">qq")
 
 
 def text_key(text: Column) -> Column:
@@ -59,7 +61,7 @@ def units_of(text: str, by: str):
 
 
 def _units(by: str):
-    types = [pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.binary()]
+    types = [*[pa.int64()] * 2, *[pa.int32()] * 4, *[pa.int64()] * 2]
     names = [f.split()[0] for f in UNITS.split(", ")]
 
     def batch_of(cols):
@@ -72,7 +74,7 @@ def _units(by: str):
                 text = text.as_py()
                 key = int(hashlib.md5(text.encode("utf-8")).hexdigest()[:15], 16)
                 for k, (a, b, words) in enumerate(units_of(text, by)):
-                    for c, v in zip(cols, (doc_id, key, k, a, b, len(words), hashlib.md5(b" ".join(words)).digest())):
+                    for c, v in zip(cols, (doc_id, key, k, a, b, len(words), *HALVES.unpack(hashlib.md5(b" ".join(words)).digest()))):
                         c.append(v)
                     if len(cols[0]) >= ROWS:
                         yield batch_of(cols)
@@ -89,12 +91,13 @@ def _stretches(units: DataFrame, of: Column | None = None) -> DataFrame:
     return units.withColumn("run", run).withColumn("total", F.sum("words").over(Window.partitionBy(*by, "run")))
 
 
-def _runs(units: DataFrame, min_words: int) -> DataFrame:
+def _runs(units: DataFrame, digest: list[str], min_words: int) -> DataFrame:
     """The units in runs of ``min_words`` or more words; every unit of a run occurs more than once in ``units``."""
-    often = units.groupBy("digest").agg(F.sum("rows").alias("n")).where("n > 1").select("digest")
+    # written, so that the join below has an exchange on both sides and Spark can split a hot digest
+    often = materialize(units.groupBy(*digest).agg(F.sum("rows").alias("n")).where("n > 1").select(*digest), "often")
     # one row per unit of a document; ``rows`` tells how often the document's row repeats
-    live = (units.join(often, "digest", "left_semi").repartition(*DOC).groupBy(*DOC, "unit")
-            .agg(*[F.first(c).alias(c) for c in ("start", "stop", "words", "digest")], F.sum("rows").alias("rows")))
+    live = (units.join(often, digest, "left_semi").repartition(*DOC).groupBy(*DOC, "unit")
+            .agg(*[F.first(c).alias(c) for c in ("start", "stop", "words", "h1", "h2")], F.sum("rows").alias("rows")))
     return _stretches(live).where(F.col("total") >= min_words).drop("run", "total")
 
 
@@ -103,14 +106,17 @@ def _found(docs: DataFrame, by: str, min_words: int, id_col: str, text_col: str)
         raise ValueError(f"by must be one of {tuple(UNIT)}")
     rows = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text")).where("text IS NOT NULL")
     units = materialize(rows.mapInArrow(_units(by), UNITS), "units").withColumn("rows", F.lit(1))
-    for _ in range(2):
-        units = materialize(_runs(units, min_words), "unit-runs")
+    both = ["h1", "h2"]
+    # half a digest does for the first round: units that share it by chance fall out in the second
+    for digest in (both[:1], both):
+        units = materialize(_runs(units, digest, min_words), "unit-runs")
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "unit")
-    first = units.groupBy("digest").agg(F.min(rank).alias("first"), F.sum("rows").alias("copies"))
+    first = materialize(units.groupBy(*both).agg(F.min(rank).alias("first"), F.sum("rows").alias("copies")), "first-units")
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key")) & (F.col("unit") == F.col("first.unit"))
-    ranked = units.join(first, "digest").withColumn("later", ~same)
+    ranked = units.join(first, both).withColumn("later", ~same)
+    digest = F.lower(F.concat(*[F.lpad(F.hex(h), 16, "0") for h in both]))
     return _stretches(ranked, F.col("later")).select(
-        *DOC, "unit", "start", "stop", "words", F.lower(F.hex("digest")).alias("digest"), F.col("first.doc_id").alias("keep_doc_id"),
+        *DOC, "unit", "start", "stop", "words", digest.alias("digest"), F.col("first.doc_id").alias("keep_doc_id"),
         F.col("first.unit").alias("keep_unit"), "copies", (F.col("later") & (F.col("total") >= min_words)).alias("cut"))
 
 
