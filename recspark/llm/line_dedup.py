@@ -43,7 +43,7 @@ UNIT = {"clause": r"[^\n.!?;:,]*[.!?;:,]+|[^\n.!?;:,]+", "line": r"[^\n]+", "par
 MIN_WORDS = 30
 DOC = ["doc_id", "text_key"]
 ROWS = 50_000  # units of a batch that leaves a task
-HALVES = struct.Struct(">qq")
+HALVES = ">qq"
 
 
 def text_key(text: Column) -> Column:
@@ -74,7 +74,7 @@ def _units(by: str):
                 text = text.as_py()
                 key = int(hashlib.md5(text.encode("utf-8")).hexdigest()[:15], 16)
                 for k, (a, b, words) in enumerate(units_of(text, by)):
-                    for c, v in zip(cols, (doc_id, key, k, a, b, len(words), *HALVES.unpack(hashlib.md5(b" ".join(words)).digest()))):
+                    for c, v in zip(cols, (doc_id, key, k, a, b, len(words), *struct.unpack(HALVES, hashlib.md5(b" ".join(words)).digest()))):
                         c.append(v)
                     if len(cols[0]) >= ROWS:
                         yield batch_of(cols)
