@@ -1,12 +1,12 @@
 """Baseline estimates b_ui = mu + b_u + b_i and the normal predictor.
 
-Iterations are DataFrame rounds: each half step is a join of the rating
-rows with the other side's bias table and a grouped sum (partial
-aggregation map-side).  Bias tables (one row per user / item) are cut
-from their lineage every few epochs by writing them into the shared
-checkpoint folder (``session.materialize``); the rating rows are written
-once up front, so no epoch re-runs the upstream trimming plan, the plan
-size stays constant, and a lost executor costs a few epochs at most.
+Iterations are DataFrame rounds: each half step looks up the other side's
+biases at the ratings and takes a grouped sum (partial aggregation map-side).
+The ratings are laid out once (``operators.sides``) and stay where they are in
+every epoch.  Bias tables (one row per user / item) are cut from their lineage
+every few epochs by writing them into the shared checkpoint folder
+(``session.materialize``), so the plan size stays constant and a lost executor
+costs a few epochs at most.
 
 ``by`` columns (e.g. a cross-validation fold) fit independent models in
 the same job.
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from recspark.session import materialize
 
 from recspark.functions.exprs import clip, std_normal
+from recspark.operators.sides import RatingSides
 from recspark.operators.similarity import attach_mean
 
 
@@ -35,7 +36,7 @@ def global_mean(ratings: DataFrame, value: str = "stars", by=()) -> DataFrame:
 
 
 def baseline_als(ratings: DataFrame, reg_i: float = 10.0, reg_u: float = 15.0, n_epochs: int = 10,
-                 value: str = "stars", by=(), checkpoint_every: int = 2, checkpoint_input: bool = True):
+                 value: str = "stars", by=(), checkpoint_every: int = 5, **layout):
     """Alternating least squares for the biases: items first, then users.
 
     b_i = sum(r - mu - b_u) / (reg_i + n_i);  b_u = sum(r - mu - b_i) / (reg_u + n_u)
@@ -43,26 +44,19 @@ def baseline_als(ratings: DataFrame, reg_i: float = 10.0, reg_u: float = 15.0, n
     """
     by = list(by)
     r, mu = _prep(ratings, value, by)
-    if checkpoint_input:
-        r = materialize(r)
-        mu = materialize(mu)
-    rm = attach_mean(r, mu, by)
+    mu = materialize(mu)
+    sides = RatingSides(attach_mean(r, mu, by), by, **layout)
     bu = bi = None
     for epoch in range(1, n_epochs + 1):
-        x = rm if bu is None else rm.join(bu, by + ["uid"], "left")
-        dev_u = F.coalesce(F.col("bu"), F.lit(0.0)) if bu is not None else F.lit(0.0)
+        x = sides.rows.withColumn("bu", F.lit(0.0)) if bu is None else sides.with_users(bu)
         bi = x.groupBy(*by, "iid").agg(
-            (F.sum(F.col("r") - F.col("mu") - dev_u) / (F.lit(float(reg_i)) + F.count(F.lit(1)))).alias("bi"))
+            (F.sum(F.col("r") - F.col("mu") - F.col("bu")) / (F.lit(float(reg_i)) + F.count(F.lit(1)))).alias("bi"))
         if epoch == n_epochs:
             bi = materialize(bi)  # before b_u is built on it, so the item side runs once
-        y = rm.join(bi, by + ["iid"], "left")
-        bu = y.groupBy(*by, "uid").agg(
-            (F.sum(F.col("r") - F.col("mu") - F.coalesce(F.col("bi"), F.lit(0.0)))
-             / (F.lit(float(reg_u)) + F.count(F.lit(1)))).alias("bu"))
-        if epoch == n_epochs:
-            bu = materialize(bu)
-        elif checkpoint_every and epoch % checkpoint_every == 0:
-            bu = materialize(bu)  # the next epoch needs only b_u; b_i is recomputed from it
+        bu = sides.with_items(bi).groupBy(*by, "uid").agg(
+            (F.sum(F.col("r") - F.col("mu") - F.col("bi")) / (F.lit(float(reg_u)) + F.count(F.lit(1)))).alias("bu"))
+        if epoch == n_epochs or checkpoint_every and epoch % checkpoint_every == 0:
+            bu = materialize(bu)  # the next epoch needs only b_u
     if bu is None:  # zero epochs: all biases 0
         bu = r.select(*by, "uid").distinct().withColumn("bu", F.lit(0.0))
         bi = r.select(*by, "iid").distinct().withColumn("bi", F.lit(0.0))
@@ -70,32 +64,30 @@ def baseline_als(ratings: DataFrame, reg_i: float = 10.0, reg_u: float = 15.0, n
 
 
 def baseline_gd(ratings: DataFrame, lr: float = 0.005, reg: float = 0.02, n_epochs: int = 20,
-                value: str = "stars", by=(), checkpoint_input: bool = True):
+                value: str = "stars", by=(), **layout):
     """Batch gradient descent on the regularised squared error of mu + b_u + b_i.
 
     One epoch adds, for every user, lr * (sum of errors - reg * n_u * b_u)
     (and the same for items) with all errors taken from the previous
-    epoch: the order-free counterpart of one sequential SGD sweep.
+    epoch: the order-free counterpart of one sequential SGD sweep.  A user's sum of errors is
+    sum(r - mu - b_i) - n_u * b_u, so each gradient needs the other side's biases at the ratings and no more.
     """
     by = list(by)
     r, mu = _prep(ratings, value, by)
-    if checkpoint_input:
-        r = materialize(r)
-        mu = materialize(mu)
-    rm = attach_mean(r, mu, by)
+    mu = materialize(mu)
+    sides = RatingSides(attach_mean(r, mu, by), by, **layout)
     bu = r.select(*by, "uid").distinct().withColumn("bu", F.lit(0.0))
     bi = r.select(*by, "iid").distinct().withColumn("bi", F.lit(0.0))
-    for _ in range(n_epochs):
-        e = (rm.join(bu, by + ["uid"], "inner").join(bi, by + ["iid"], "inner")
-               .withColumn("err", F.col("r") - F.col("mu") - F.col("bu") - F.col("bi")))
-        # both gradients in one pass over the ratings: each row counts for its user and for its item
-        sides = F.explode(F.array(F.struct(F.lit("u").alias("side"), F.col("uid").cast("long").alias("key"), F.col("bu").alias("b")),
-                                  F.struct(F.lit("i").alias("side"), F.col("iid").cast("long").alias("key"), F.col("bi").alias("b")))).alias("s")
-        g = (e.select(*by, "err", sides).groupBy(*by, "s.side", "s.key")
-              .agg(F.sum("err").alias("g"), F.count(F.lit(1)).alias("n"), F.first("s.b").alias("b")))
-        new = materialize(g.select(*by, "side", "key", (F.col("b") + F.lit(lr) * (F.col("g") - F.lit(reg) * F.col("n") * F.col("b"))).alias("b")))
-        bu = new.where("side = 'u'").select(*by, F.col("key").alias("uid"), F.col("b").alias("bu"))
-        bi = new.where("side = 'i'").select(*by, F.col("key").alias("iid"), F.col("b").alias("bi"))
+
+    def step(x: DataFrame, theirs: str, own: DataFrame, key: str, mine: str) -> DataFrame:
+        g = x.groupBy(*by, key).agg(F.sum(F.col("r") - F.col("mu") - F.col(theirs)).alias("g"), F.count(F.lit(1)).alias("n")).join(own, by + [key])
+        error = F.col("g") - F.col("n") * F.col(mine)
+        return g.select(*by, key, (F.col(mine) + F.lit(lr) * (error - F.lit(reg) * F.col("n") * F.col(mine))).alias(mine))
+
+    for epoch in range(n_epochs):
+        users = sides.with_items(bi) if epoch else sides.rows.withColumn("bi", F.lit(0.0))
+        items = sides.with_users(bu) if epoch else sides.rows.withColumn("bu", F.lit(0.0))
+        bu, bi = (materialize(step(users, "bi", bu, "uid", "bu"), "bu"), materialize(step(items, "bu", bi, "iid", "bi"), "bi"))
     return mu, bu, bi
 
 

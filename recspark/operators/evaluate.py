@@ -1,8 +1,8 @@
-"""Error metrics, cross-validation and model comparison.
+"""Error metrics, rankings of models and the KNN-baseline grid.
 
 Folds are a column (``cv_fold``): training rows are exploded once per fold
 they train, so every fold's model is fitted in the same jobs, and scores
-are grouped by fold and model.
+are grouped by fold and model.  Cross-validation itself is :mod:`recspark.models.validation`.
 """
 
 from __future__ import annotations
@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from recspark.session import materialize
 
-from recspark.operators import baselines as bl
-from recspark.operators.predictors import knn_predict, slope_one_predict
-from recspark.operators.similarity import mirror, pair_sums, residuals, similarity
+from recspark.functions.exprs import clip
+from recspark.operators.candidates import candidate_rows
+from recspark.operators.similarity import attach_baseline, pair_sums, rank_expr, residuals, sim_expr
 
 
 def _err(truth: str = "stars", est: str = "est"):
@@ -45,75 +45,6 @@ def metric_sums(train: DataFrame, sums: DataFrame, metric: str, baselines, by) -
     return pair_sums(residuals(train, baselines, by=by), value="res", by=by, integer_sums=False)
 
 
-def _factor_predictions(kind: str, train: DataFrame, test: DataFrame, by, als, seed: int) -> DataFrame:
-    """SVD or NMF predictions, one ALS fit per fold (the folds are a handful; ALS has no notion of them)."""
-    from recspark.operators.factor import fit_nmf_als, fit_svd_als, predict_nmf_als, predict_svd_als
-
-    folds = [r.asDict() for r in train.select(*by).distinct().collect()] if by else [{}]
-    base = tuple(materialize(b) for b in bl.baseline_als(train, *als, by=by)) if kind == "svd" else None
-    mean = None if kind == "svd" else bl.global_mean(train, by=by)
-    out = []
-    for fold in folds:
-        def of(df, fold=fold):
-            for k, v in fold.items():
-                df = df.where(F.col(k) == v)
-            return df.drop(*fold)
-
-        fold_train, fold_test = of(train), of(test)
-        if kind == "svd":
-            mine = tuple(of(b) for b in base)
-            p = predict_svd_als(fold_test, fit_svd_als(fold_train, mine, seed=seed), mine)
-        else:
-            p = predict_nmf_als(fold_test, fit_nmf_als(fold_train, seed=seed), of(mean))
-        out.append(p.select(*[F.lit(v).alias(k) for k, v in fold.items()], "stars", "est"))
-    return reduce(lambda a, b: a.unionByName(b), out)
-
-
-def compare_models_predictions(train: DataFrame, test: DataFrame, models, by=("cv_fold",), k: int = 40,
-                               min_k: int = 1, metric: str = "cosine", min_support: int = 1,
-                               seed: int = 0, knn_bsl=(5.0, 10.0, 10), als=(10.0, 15.0, 10),
-                               cocl=(3, 3, 20)) -> DataFrame:
-    """(model, by.., stars, est) for every model over the same folds.
-
-    Pair sums and similarities are computed once per fold and shared by
-    all neighbourhood models; the KNN baseline's biases are shared too.
-    """
-    by = list(by)
-    train = materialize(train)  # one materialisation, reused by every model
-    need_sums = any(m.startswith("knn") or m == "slope_one" for m in models)
-    sums = materialize(pair_sums(train, by=by)) if need_sums else None
-    sims = None
-    knn_model = None
-    if any(m.startswith("knn") for m in models):
-        if metric == "pearson_baseline":  # its sums are those of the baseline residuals, per fold
-            knn_model = bl.baseline_als(train, *knn_bsl, by=by)
-        sims = mirror(similarity(metric_sums(train, sums, metric, knn_model, by), metric, min_support, by=by), train, by=by)
-    parts = []
-    for m in models:
-        if m == "normal":
-            p = bl.predict_normal(test, bl.normal_params(train, by=by), seed, by=by)
-        elif m == "baseline_als":
-            p = bl.predict_baseline(test, bl.baseline_als(train, *als, by=by), by=by)
-        elif m == "baseline_gd":
-            p = bl.predict_baseline(test, bl.baseline_gd(train, by=by), by=by)
-        elif m.startswith("knn_"):
-            kind = m[4:]
-            if kind == "baseline" and knn_model is None:
-                knn_model = bl.baseline_als(train, *knn_bsl, by=by)
-            p = knn_predict(train, test, sims, kind, k, min_k, baselines=knn_model, by=by)
-        elif m == "slope_one":
-            p = slope_one_predict(train, test, sums, by=by)
-        elif m == "coclustering":
-            from recspark.operators.coclustering import fit_coclustering, predict_coclustering
-            p = predict_coclustering(test, fit_coclustering(train, *cocl, by=by), by=by)
-        elif m in ("svd", "nmf"):
-            p = _factor_predictions(m, train, test, by, als, seed)
-        else:
-            raise ValueError(f"unknown model {m!r}")
-        parts.append(p.select(F.lit(m).alias("model"), *by, "stars", "est"))
-    return reduce(lambda a, b: a.unionByName(b), parts)
-
-
 def rank_models(preds: DataFrame, by=("cv_fold",)) -> DataFrame:
     """(model, rmse, mae, rmse_sd, rank): mean over folds; rank 1 = lowest mean RMSE.
 
@@ -136,43 +67,64 @@ def knn_baseline_grid(train: DataFrame, test: DataFrame, sums: DataFrame, baseli
                       min_supports=(1,), shrinkages=(100.0,), by=("cv_fold",)) -> DataFrame:
     """(bsl, sim_name, min_support, shrinkage, k, min_k, rmse, rank): KNN-baseline grid, mean RMSE over the ``by`` folds.
 
-    ``baselines`` maps a name to fitted (mu, bu, bi).  No refit per setting: the similarities of every (metric,
-    min_support, shrinkage) are one table with a ``variant`` column, neighbours are ranked once for the largest k,
-    and each (k, min_k) is a conditional aggregate over the neighbour rank.  Only the residuals of pearson_baseline
-    depend on the baseline, so there is one such plan per baseline.
+    ``baselines`` maps a name to fitted (mu, bu, bi).  No refit per setting: a metric's candidates are joined once for all its
+    (min_support, shrinkage) variants, neighbours are ranked once per variant for the largest k, and each (k, min_k) is a
+    conditional aggregate over the neighbour rank.  Ratings are never copied per variant.  Metrics of the ratings are ranked
+    once for all baselines; only the residuals of pearson_baseline depend on the baseline.
     """
-    variants = similarity_variants(metrics, min_supports, shrinkages)
-    names = F.create_map(*[F.lit(x) for v, (m, n, sh) in enumerate(variants) for x in (v, m)])
-    supports = F.create_map(*[F.lit(x) for v, (m, n, sh) in enumerate(variants) for x in (v, n)])
-    shrinks = F.create_map(*[F.lit(x) for v, (m, n, sh) in enumerate(variants) for x in (v, sh)])
+    by = list(by)
+    variants = list(enumerate(similarity_variants(metrics, min_supports, shrinkages)))
+    plain = [(v, x) for v, x in variants if x[0] != "pearson_baseline"]
+    residual = [(v, x) for v, x in variants if x[0] == "pearson_baseline"]
+    ranked = [materialize(ranked_neighbors(train, test, sums, [y for y in plain if y[1][0] == m], max(ks), by), "grid-neighbors")
+              for m in dict.fromkeys(x[0] for _, x in plain)]
     parts = []
     for name, model in baselines.items():
-        of_metric = {m: metric_sums(train, sums, m, model, by) for m in metrics}
-        if "pearson_baseline" in of_metric:
-            of_metric["pearson_baseline"] = materialize(of_metric["pearson_baseline"], "residual-sums")
-        err = materialize(_grid_errors(train, test, of_metric, model, variants, ks, min_ks, list(by)), "grid")
+        own = []
+        if residual:
+            res = metric_sums(train, sums, "pearson_baseline", model, by)
+            own = [ranked_neighbors(train, test, res, residual, max(ks), by)]
+        err = _grid_errors(test, reduce(lambda a, b: a.unionByName(b), ranked + own), model, [v for v, _ in variants], ks, min_ks, by)
         parts.append(err.groupBy("variant", "k", "min_k").agg(F.avg("rmse").alias("rmse")).withColumn("bsl", F.lit(name)))
+    of = lambda part: F.create_map(*[F.lit(y) for v, x in variants for y in (v, x[part])])[F.col("variant")]
     out = reduce(lambda a, b: a.unionByName(b), parts).select(
-        "bsl", names[F.col("variant")].alias("sim_name"), supports[F.col("variant")].alias("min_support"), shrinks[F.col("variant")].alias("shrinkage"),
-        "k", "min_k", "rmse")
+        "bsl", of(0).alias("sim_name"), of(1).alias("min_support"), of(2).alias("shrinkage"), "k", "min_k", "rmse")
     # ranking one row per setting (the grid size, a fixed small table)
     wr = Window.orderBy(F.round("rmse", 9), "bsl", "sim_name", "min_support", "shrinkage", "k", "min_k")
     return out.withColumn("rank", F.row_number().over(wr).cast("long"))
 
 
-def _grid_errors(train, test, of_metric, baselines, variants, ks, min_ks, by) -> DataFrame:
-    """(variant, k, min_k, by.., rmse) for one baseline."""
-    from recspark.operators.similarity import attach_baseline, top_k_neighbors
+def ranked_neighbors(train: DataFrame, test: DataFrame, sums: DataFrame, variants, k: int, by, value: str = "stars") -> DataFrame:
+    """(by.., variant, uid, iid, j, r_j, sim, rank) with rank <= k for every similarity variant (number, (metric, min_support, shrinkage)).
 
-    keys = by + ["variant"]
-    sims = reduce(lambda a, b: a.unionByName(b), [
-        similarity(of_metric[m], m, n, sh, by=by).withColumn("variant", F.lit(v)) for v, (m, n, sh) in enumerate(variants)])
-    each = F.explode(F.array(*[F.lit(v) for v in range(len(variants))])).alias("variant")
-    sm = mirror(sims, train.select(*by, "iid").distinct().select(*by, "iid", each), by=keys)
-    test_k, train_k = test.select("*", each), train.select("*", each)
-    nb = top_k_neighbors(test_k, sm, train_k, max(ks), by=keys)
+    The targets meet the pair list of their item and then the ratings of their user once; a candidate row carries the
+    similarities of all variants, which fan out after the joins.
+    """
+    least = min(x[1] for _, x in variants)
+    sim = [F.when(F.col("n") >= n, sim_expr(m, sh)).alias(f"sim_{v}") for v, (m, n, sh) in variants]
+    pairs = sums.where(F.col("n") >= least).select(*by, "i", "j", "n", *sim)
+    names = [f"sim_{v}" for v, _ in variants]
+    same = train.select(*by, F.col("iid").alias("i")).distinct().select(
+        *by, "i", F.col("i").alias("j"), F.lit(0).cast("long").alias("n"), *[F.lit(1.0).alias(c) for c in names])
+    both = materialize(pairs.unionByName(pairs.select(*by, F.col("j").alias("i"), F.col("i").alias("j"), "n", *names)).unionByName(same)
+            .where(F.greatest(*names, F.lit(0.0)) > 0).withColumnRenamed("i", "iid"), "variant-lists")
+    rated = train.select(*by, "uid", F.col("iid").alias("j"), F.col(value).alias("r_j"), F.col("review_id").alias("rid_j"))
+    cand = candidate_rows(test.select(*by, "uid", "iid").distinct(), both, rated, by)
+    fan = F.array(*[F.struct(F.lit(v).alias("variant"), F.col(f"sim_{v}").alias("sim")) for v, _ in variants])
+    rows = cand.select(*by, "uid", "iid", "j", "n", "r_j", "rid_j", F.inline(F.filter(fan, lambda x: x["sim"] > 0)))
+    w = Window.partitionBy(*by, "variant", "uid", "iid").orderBy(
+        rank_expr().desc(), F.col("n").desc(), F.col("j").asc(), F.col("rid_j").asc(), F.col("r_j").asc())
+    return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(*by, "variant", "uid", "iid", "j", "r_j", "sim", "rank")
+
+
+def _grid_errors(test: DataFrame, ranked: DataFrame, baselines, variants, ks, min_ks, by) -> DataFrame:
+    """(variant, k, min_k, by.., rmse) for one baseline.
+
+    A test row without neighbours has the baseline as estimate whatever the variant, so the squared errors of the baseline are summed
+    once, and the rows with neighbours add what they change.
+    """
     mu, bu, bi = baselines
-    nb = attach_baseline(nb.withColumnRenamed("iid", "iid_t").withColumnRenamed("j", "iid"), mu, bu, bi, by=by) \
+    nb = attach_baseline(ranked.withColumnRenamed("iid", "iid_t").withColumnRenamed("j", "iid"), mu, bu, bi, by=by) \
         .withColumnRenamed("iid", "j").withColumnRenamed("iid_t", "iid")
     w = F.col("sim") * (F.col("r_j") - F.col("b_ui"))
     aggs = []
@@ -180,24 +132,20 @@ def _grid_errors(train, test, of_metric, baselines, variants, ks, min_ks, by) ->
         inside = F.col("rank") <= k
         aggs += [F.sum(F.when(inside, F.col("sim"))).alias(f"s_{k}"), F.sum(F.when(inside, w)).alias(f"w_{k}"),
                  F.sum(F.when(inside, 1).otherwise(0)).alias(f"c_{k}")]
-    agg = nb.groupBy(*keys, "uid", "iid").agg(*aggs)
-    settings = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(m).alias("min_k"))
-                                   for k in ks for m in min_ks])).alias("st")
-    t = (test_k.select(*keys, "uid", "iid").distinct().join(agg, keys + ["uid", "iid"], "left")
-               .select("*", settings).select("*", "st.k", "st.min_k").drop("st"))
-
-    def pick(prefix):
-        e = None
-        for k in ks:
-            e = (F.when(F.col("k") == k, F.col(f"{prefix}_{k}")) if e is None
-                 else e.when(F.col("k") == k, F.col(f"{prefix}_{k}")))
-        return e
-
-    s, wsum, c = pick("s"), pick("w"), F.coalesce(pick("c"), F.lit(0))
-    t = attach_baseline(t, mu, bu, bi, by=by)
-    dev = F.when((c >= F.col("min_k")) & (s > 0), wsum / s).otherwise(F.lit(0.0))
-    preds = t.select(*keys, "uid", "iid", "k", "min_k",
-                     F.least(F.greatest(F.col("b_ui") + dev, F.lit(1.0)), F.lit(5.0)).alias("est"))
-    return (test.join(preds, by + ["uid", "iid"], "inner")
-                .groupBy("variant", "k", "min_k", *by)
-                .agg(F.sqrt(F.avg(F.pow(F.col("stars").cast("double") - F.col("est"), 2))).alias("rmse")))
+    agg = nb.groupBy(*by, "variant", "uid", "iid").agg(*aggs)
+    rows = attach_baseline(test.select(*by, "uid", "iid", F.col("stars").cast("double").alias("r")), mu, bu, bi, by=by) \
+        .select(*by, "uid", "iid", "r", "b_ui")
+    error = lambda est: F.pow(F.col("r") - clip(est, 1.0, 5.0), 2)
+    total = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.sum(error(F.col("b_ui"))).alias("base"))
+    settings = [(k, m) for k in ks for m in min_ks]
+
+    def change(k, m):
+        dev = F.when((F.col(f"c_{k}") >= m) & (F.col(f"s_{k}") > 0), F.col(f"w_{k}") / F.col(f"s_{k}")).otherwise(F.lit(0.0))
+        return F.sum(error(F.col("b_ui") + dev) - error(F.col("b_ui")))
+
+    changed = (rows.join(agg, by + ["uid", "iid"]).groupBy(*by, "variant")
+               .agg(*[change(k, m).alias(f"d_{x}") for x, (k, m) in enumerate(settings)]))
+    every = total.select("*", F.explode(F.array(*[F.lit(v) for v in variants])).alias("variant"))  # folds x variants rows
+    per = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(m).alias("min_k"), F.coalesce(f"d_{x}", F.lit(0.0)).alias("d")) for x, (k, m) in enumerate(settings)])
+    return (every.join(changed, by + ["variant"], "left").select(*by, "variant", "rows", "base", F.inline(per))
+            .select("variant", "k", "min_k", *by, F.sqrt((F.col("base") + F.col("d")) / F.col("rows")).alias("rmse")))

@@ -20,11 +20,14 @@ Estimates are clipped to the rating scale.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recspark.functions.exprs import clip
+from recspark.operators.candidates import blocked_join, candidate_rows
+from recspark.operators.indexing import factorize
 from recspark.operators.similarity import attach_baseline, attach_mean, top_k_neighbors
+from recspark.session import materialize
 
 KINDS = ("basic", "means", "zscore", "baseline")
 
@@ -48,10 +51,11 @@ def _swap_roles(df: DataFrame) -> DataFrame:
 
 def knn_predict(train: DataFrame, test: DataFrame, sims_mirrored: DataFrame, kind: str = "basic",
                 k: int = 40, min_k: int = 1, baselines=None, value: str = "stars", by=(),
-                lo: float = 1.0, hi: float = 5.0, user_based: bool = False) -> DataFrame:
+                lo: float = 1.0, hi: float = 5.0, user_based: bool = False, neighbors: DataFrame | None = None) -> DataFrame:
     """test rows + ``est`` (and ``actual_k``).
 
-    ``user_based=True``: neighbours are users (``sims_mirrored`` must then be
+    ``neighbors``: the result of :func:`top_k_neighbors` for these targets where several kinds share it (``sims_mirrored`` is
+    then not read).  ``user_based=True``: neighbours are users (``sims_mirrored`` must then be
     user-user similarities); the same plan runs with the roles swapped.
     """
     if kind not in KINDS:
@@ -65,7 +69,7 @@ def knn_predict(train: DataFrame, test: DataFrame, sims_mirrored: DataFrame, kin
                           by, lo, hi, user_based=False)
         return _swap_roles(out)
     by = list(by)
-    nb = top_k_neighbors(test, sims_mirrored, train, k, value=value, by=by)
+    nb = top_k_neighbors(test, sims_mirrored, train, k, value=value, by=by) if neighbors is None else neighbors.where(F.col("rank") <= k)
     stats = None
     if kind in ("means", "zscore"):
         stats = item_stats(train, value, by)
@@ -125,14 +129,12 @@ def slope_one_predict(train: DataFrame, test: DataFrame, sums: DataFrame, value:
     unknown user or item -> mu.
     """
     by = list(by)
-    d = sums.where(F.col("n") > 0)
-    dev = (d.select(*by, F.col("i").alias("iid"), "j", ((F.col("sx") - F.col("sy")) / F.col("n")).alias("dev"))
-           .unionByName(d.select(*by, F.col("j").alias("iid"), F.col("i").alias("j"),
-                                 ((F.col("sy") - F.col("sx")) / F.col("n")).alias("dev"))))
+    half = materialize(sums.where(F.col("n") > 0).select(*by, "i", "j", ((F.col("sx") - F.col("sy")) / F.col("n")).alias("dev")), "deviations")  # read twice
+    dev = (half.withColumnRenamed("i", "iid")
+           .unionByName(half.select(*by, F.col("j").alias("iid"), F.col("i").alias("j"), (-F.col("dev")).alias("dev"))))
     t = test.select(*by, "uid", "iid").distinct()
     tr = train.select(*by, "uid", F.col("iid").alias("j"))
-    cross = t.join(dev, by + ["iid"], "inner").join(tr, by + ["uid", "j"], "inner") \
-             .select(*by, "uid", "iid", "dev")
+    cross = candidate_rows(t, dev, tr, by).select(*by, "uid", "iid", "dev")
     same = t.join(tr.withColumnRenamed("j", "iid"), by + ["uid", "iid"], "inner") \
             .select(*by, "uid", "iid", F.lit(0.0).alias("dev"))
     agg = cross.unionByName(same).groupBy(*by, "uid", "iid").agg(
@@ -150,40 +152,79 @@ def slope_one_predict(train: DataFrame, test: DataFrame, sums: DataFrame, value:
 
 def knn_recommend_for_users(train: DataFrame, sims: DataFrame, baselines, k: int = 40, min_k: int = 1,
                             n: int = 10, value: str = "stars") -> DataFrame:
-    """(uid, iid, est, actual_k, rank): top-n unrated items per user by KNN-baseline estimate.
-
-    Candidates are the items with a positive-similarity neighbour the user
-    rated: every rating (u, j, r) meets the neighbour list of j (an
-    item-keyed join), which yields, per candidate (u, i), exactly the
-    neighbour rows the estimate needs.  Rated items are removed by an
-    anti-join on (u, i); the top-k neighbours and the top-n items are
-    ``row_number`` limits (applied map-side before the shuffle).
+    """(uid, iid, est, actual_k, rank): top-n per user over every item the user has not rated, by KNN-baseline estimate.
+
+    The estimate is mu + b_u + (b_i + dev), where dev is 0 for an item without (enough) neighbours among the user's
+    ratings.  mu + b_u is the same for all items of a user, so items are ranked by b_i + dev (ties: smaller iid) and
+    estimates are clipped to the scale after ranking.  For items without a rated neighbour the order by b_i is the same for
+    all users, which makes a bounded merge enough, without a user x item product:
+
+    * scored items: every rating (u, j) meets the neighbour list of j (an item-keyed join), which yields, per unrated
+      item i, exactly the neighbour rows the estimate needs; the best ``n`` of each user go on;
+    * all other items: the first ``n`` of the global list that the user has neither rated nor scored
+      (:func:`first_others`).
+
     ``sims`` holds pairs i < j.
     """
-    from pyspark.sql import Window
-
     pos = sims.where(F.col("sim") > 0)
     s = pos.select("i", "j", "n", "sim").unionByName(
         pos.select(F.col("j").alias("i"), F.col("i").alias("j"), "n", "sim"))
+    mu, bu, bi = baselines
     rated = train.select("uid", "iid").distinct()
-    cand = (train.select("uid", F.col("iid").alias("j"), F.col(value).cast("double").alias("r_j"),
-                         F.col("review_id").alias("rid_j"))
-                 .join(s, "j", "inner")
-                 .withColumnRenamed("i", "iid")
-                 .join(rated, ["uid", "iid"], "left_anti"))
+    mine = train.select("uid", F.col("iid").alias("j"), F.col(value).cast("double").alias("r_j"), F.col("review_id").alias("rid_j"))
+    cand = blocked_join(mine, s, ["j"]).withColumnRenamed("i", "iid").join(rated, ["uid", "iid"], "left_anti")
     w = Window.partitionBy("uid", "iid").orderBy(
         F.round("sim", 9).desc(), F.col("n").desc(), F.col("j").asc(), F.col("rid_j").asc(), F.col("r_j").asc())
     nb = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    mu, bu, bi = baselines
     nb = attach_baseline(nb.withColumnRenamed("iid", "iid_t").withColumnRenamed("j", "iid"), mu, bu, bi) \
         .withColumnRenamed("iid", "j").withColumnRenamed("iid_t", "iid")
     agg = nb.groupBy("uid", "iid").agg(
         F.sum("sim").alias("sum_sim"), F.sum(F.col("sim") * (F.col("r_j") - F.col("b_ui"))).alias("sum_w"),
         F.count(F.lit(1)).alias("actual_k"))
-    t = attach_baseline(agg, mu, bu, bi)
     dev = F.when((F.col("actual_k") >= min_k) & (F.col("sum_sim") > 0), F.col("sum_w") / F.col("sum_sim")) \
            .otherwise(F.lit(0.0))
-    preds = t.select("uid", "iid", clip(F.col("b_ui") + dev, 1.0, 5.0).alias("est"), "actual_k")
-    wu = Window.partitionBy("uid").orderBy(F.round("est", 9).desc(), F.col("iid").asc())
-    return (preds.withColumn("rank", F.row_number().over(wu)).where(F.col("rank") <= n)
-                 .withColumn("rank", F.col("rank").cast("long")))
+    b_i = F.coalesce("bi", F.lit(0.0))
+    scored = materialize(agg.join(bi.select("iid", "bi"), "iid", "left").select("uid", "iid", (b_i + dev).alias("gain"), "actual_k"), "scored-items")
+    items = train.select("iid").distinct().join(bi.select("iid", "bi"), "iid", "left").select("iid", b_i.alias("gain"))
+    others = first_others(items, rated, scored.select("uid", "iid"), n).select("uid", "iid", "gain", F.lit(0).cast("long").alias("actual_k"))
+    wu = Window.partitionBy("uid").orderBy(F.round("gain", 9).desc(), F.col("iid").asc())
+    best = lambda df: df.withColumn("rank", F.row_number().over(wu)).where(F.col("rank") <= n)
+    top = best(best(scored).drop("rank").unionByName(others))
+    level = attach_mean(top.join(bu.select("uid", "bu"), "uid", "left"), mu, [])
+    return level.select("uid", "iid", clip(F.col("mu") + F.coalesce("bu", F.lit(0.0)) + F.col("gain"), 1.0, 5.0).alias("est"), "actual_k",
+                        F.col("rank").cast("long").alias("rank"))
+
+
+def first_others(items: DataFrame, rated: DataFrame, scored: DataFrame, n: int, look: int = 4) -> DataFrame:
+    """(uid, iid, gain): per user of ``rated`` the first ``n`` items by (round(gain, 9) desc, iid) in neither ``rated`` nor ``scored``.
+
+    All users first look at the ``look * n`` best items, one row that travels as a literal.  Only users for whom these
+    are not enough look further: the first n + rated + scored items always are, and the places of the list are
+    joined by number.
+    """
+    order = [F.round("gain", 9).desc(), F.col("iid").asc()]
+    head = items.orderBy(*order).limit(look * n)  # at most look * n rows
+    one = head.agg(F.collect_list(F.struct("iid", "gain")).alias("head"))
+    taken = rated.select("uid", "iid").unionByName(scored.select("uid", "iid")).distinct()
+    per_user = Window.partitionBy("uid").orderBy(*order)
+
+    def first_free(asked: DataFrame, barred: DataFrame) -> DataFrame:
+        free = asked.join(barred, ["uid", "iid"], "left_anti")
+        return free.withColumn("place", F.row_number().over(per_user)).where(F.col("place") <= n).select("uid", "iid", "gain")
+
+    users = rated.select("uid").distinct()
+    asked = users.withColumn("head", one.select("head").scalar()).select("uid", F.inline("head"))
+    near = materialize(first_free(asked, taken.join(F.broadcast(head.select("iid")), "iid", "left_semi")), "first-others")
+    if items.count() <= look * n:
+        return near
+    have = near.groupBy("uid").agg(F.count(F.lit(1)).alias("have"))
+    short = users.join(have, "uid", "left").where(F.coalesce("have", F.lit(0)) < n).select("uid")
+    barred = taken.join(short, "uid", "left_semi")
+    need = materialize(short.join(barred.groupBy("uid").agg(F.count(F.lit(1)).alias("barred")), "uid", "left")
+                       .select("uid", (F.coalesce("barred", F.lit(0)) + n).alias("first")), "short-lists")
+    if need.isEmpty():
+        return near
+    numbered = factorize(items.withColumn("neg", -F.round("gain", 9)), "iid", ("neg",), "place").join(items, "iid")
+    asked = (need.withColumn("place", F.explode(F.sequence(F.lit(0).cast("long"), F.col("first") - 1)))
+             .join(numbered, "place").select("uid", "iid", "gain"))
+    return near.join(short, "uid", "left_anti").unionByName(first_free(asked, barred))

@@ -372,17 +372,18 @@ def top_k_neighbors(targets: DataFrame, sims_mirrored: DataFrame, train: DataFra
                     extra_cols=()) -> DataFrame:
     """For each target (u, i): the <= k rated items j of u with the largest sim(i, j) > 0.
 
-    The join order avoids pairing a user's targets with all of the user's
-    ratings: targets meet the neighbour list of their item first
-    (item-keyed lookup), then an equi-join on the composite key (u, j)
-    keeps the neighbours u has rated.  Ties: sim desc, n desc, j, review_id, rating.
+    A target meets the shorter of its item's neighbour list and its user's ratings
+    first, hot keys in blocks (``operators.candidates``).  Top-k is a row number limit,
+    applied per task before the shuffle.  Ties: sim desc, n desc, j, review_id, rating.
     """
+    from recspark.operators.candidates import candidate_rows
+
     by = list(by)
     t = targets.select(*by, user, item).distinct()
-    s = sims_mirrored.where(F.col("sim") > 0).select(*by, F.col("i").alias(item), "j", "n", "sim")
+    s = materialize(sims_mirrored.where(F.col("sim") > 0).select(*by, F.col("i").alias(item), "j", "n", "sim"), "neighbor-lists")  # read twice
     tr = train.select(*by, F.col(user), F.col(item).alias("j"), F.col(value).alias("r_j"),
                       F.col("review_id").alias("rid_j"), *extra_cols)
-    cand = t.join(s, by + [item], "inner").join(tr, by + [user, "j"], "inner")
+    cand = candidate_rows(t, s, tr, by, user, item)
     w = Window.partitionBy(*by, user, item).orderBy(
         rank_expr().desc(), F.col("n").desc(), F.col("j").asc(), F.col("rid_j").asc(), F.col("r_j").asc())
     return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

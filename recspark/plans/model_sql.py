@@ -242,8 +242,7 @@ def coclustering_ctes(n_u: int, n_i: int, epochs: int, by=(), out="pred") -> lis
 
 
 def known_user_recs_ctes(k: int, min_k: int, n: int, bu: str, bi: str, sims="tsims") -> list[str]:
-    """Top-n unrated items per user by KNN-baseline estimate; candidates = items with a
-    positive-similarity neighbour the user rated.  Needs train, gmu, bu/bi, sims (i<j)."""
+    """Top-n per user over every unrated item by KNN-baseline estimate (ranked before clipping).  Needs train, gmu, bu/bi, sims (i<j)."""
     return [
         f"kr_s AS (SELECT i, j, n, sim FROM {sims} WHERE sim > 0 UNION ALL SELECT j AS i, i AS j, n, sim FROM {sims} WHERE sim > 0)",
         "kr_c AS (SELECT tr.uid, s.i AS iid, s.j, s.n, s.sim, CAST(tr.stars AS DOUBLE) AS r_j, tr.review_id AS rid_j "
@@ -255,8 +254,11 @@ def known_user_recs_ctes(k: int, min_k: int, n: int, bu: str, bi: str, sims="tsi
         f"sum(nb.sim * (nb.r_j - (m.mu + COALESCE(u.bu, 0.0) + COALESCE(i.bi, 0.0)))) AS sum_w, count(*) AS actual_k "
         f"FROM kr_nb nb JOIN gmu m ON true LEFT JOIN {bu} u ON u.uid = nb.uid LEFT JOIN {bi} i ON i.iid = nb.j "
         f"GROUP BY nb.uid, nb.iid)",
-        f"kr_p AS (SELECT a.uid, a.iid, {clip_sql(f'm.mu + COALESCE(u.bu, 0.0) + COALESCE(i.bi, 0.0) + CASE WHEN a.actual_k >= {min_k} AND a.sum_sim > 0 THEN a.sum_w / a.sum_sim ELSE 0.0 END')} AS est, "
-        f"a.actual_k FROM kr_agg a JOIN gmu m ON true LEFT JOIN {bu} u ON u.uid = a.uid LEFT JOIN {bi} i ON i.iid = a.iid)",
-        f"recs AS (SELECT * FROM (SELECT uid, iid, est, actual_k, row_number() OVER (PARTITION BY uid ORDER BY round(est, 9) DESC, iid) AS rank "
-        f"FROM kr_p) WHERE rank <= {n})",
+        "kr_all AS (SELECT u.uid, i.iid FROM (SELECT DISTINCT uid FROM train) u CROSS JOIN (SELECT DISTINCT iid FROM train) i "
+        "WHERE NOT EXISTS (SELECT 1 FROM train x WHERE x.uid = u.uid AND x.iid = i.iid))",
+        f"kr_p AS (SELECT t.uid, t.iid, m.mu + COALESCE(u.bu, 0.0) AS level, COALESCE(i.bi, 0.0) + CASE WHEN a.actual_k >= {min_k} AND a.sum_sim > 0 "
+        f"THEN a.sum_w / a.sum_sim ELSE 0.0 END AS gain, COALESCE(a.actual_k, 0) AS actual_k FROM kr_all t JOIN gmu m ON true "
+        f"LEFT JOIN kr_agg a ON a.uid = t.uid AND a.iid = t.iid LEFT JOIN {bu} u ON u.uid = t.uid LEFT JOIN {bi} i ON i.iid = t.iid)",
+        f"recs AS (SELECT uid, iid, {clip_sql('level + gain')} AS est, actual_k, rank FROM (SELECT *, row_number() OVER (PARTITION BY uid "
+        f"ORDER BY round(gain, 9) DESC, iid) AS rank FROM kr_p) WHERE rank <= {n})",
     ]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from recspark.functions.exprs import r6
+from recspark.models import KNN, NMF, SVD, Baseline, CoClustering, Normal, SlopeOne, cross_validate
 from recspark.operators import baselines as bl
 from recspark.operators import evaluate as ev
 from recspark.operators.indexing import factorize, holdout_split, kfold, validate_ratings
@@ -202,10 +203,23 @@ CV_SIMS = fx.pair_sum_ctes(src="train", out="tps", by=BY) + fx.sims_ctes(src="tp
 _CVB_CTES, _CVB_BU, _CVB_BI = ms.baseline_als_ctes(BSL_REG_I, BSL_REG_U, BSL_EPOCHS, by=BY, prefix="cvb")
 
 
-def _cv_sets(spark, d):
-    from recspark.operators.indexing import test_sets_by_fold, train_sets_by_fold
-    r = fx.fx_ratings(spark, d).select(*ROWS.split(", "))
-    return train_sets_by_fold(r, fx.K_FOLDS), test_sets_by_fold(r, fx.K_FOLDS)
+def _cv_ratings(spark, d):
+    return fx.fx_ratings(spark, d).select(*ROWS.split(", "))
+
+
+def _cv_models():
+    """The ten predictors with the parameters of the fixture queries."""
+    knn = lambda kind: KNN(kind=kind, k=K, minK=MIN_K, minSupport=fx.MIN_SUPPORT, regItem=BSL_REG_I, regUser=BSL_REG_U, epochs=BSL_EPOCHS)
+    return {"normal": Normal(seed=SEED), "baseline_als": Baseline(regItem=ALS_REG_I, regUser=ALS_REG_U, epochs=10),
+            **{f"knn_{x}": knn(x) for x in ("basic", "means", "zscore", "baseline")}, "slope_one": SlopeOne(),
+            "coclustering": CoClustering(userClusters=CC_CLUSTERS, itemClusters=CC_CLUSTERS, epochs=CC_EPOCHS),
+            "svd": SVD(seed=SEED, regItem=ALS_REG_I, regUser=ALS_REG_U, epochs=10), "nmf": NMF(seed=SEED)}
+
+
+def _ranking(spark, d, names):
+    models = _cv_models()
+    out = ev.rank_models(cross_validate(_cv_ratings(spark, d), {m: models[m] for m in names}, fx.K_FOLDS), BY)
+    return out.select("model", r6("rmse").alias("rmse"), r6("mae").alias("mae"), r6("rmse_sd").alias("rmse_sd"), "rank")
 
 
 def _fold_scores_sql(pred="pred", model=None):
@@ -218,11 +232,8 @@ def _fold_scores_sql(pred="pred", model=None):
     CV_BASE + CV_SIMS + _CVB_CTES + ms.knn_ctes("baseline", K, MIN_K, by=BY, bu=_CVB_BU, bi=_CVB_BI),
     _fold_scores_sql()), ops="E3")
 def q_cross_validate(spark, d):
-    train, test = _cv_sets(spark, d)
-    model = bl.baseline_als(train, BSL_REG_I, BSL_REG_U, BSL_EPOCHS, by=BY)
-    sims = _train_sims(train, by=BY)
-    p = knn_predict(train, test, sims, "baseline", K, MIN_K, baselines=model, by=BY)
-    s = ev.fold_scores(p, BY)
+    preds = cross_validate(_cv_ratings(spark, d), {"knn_baseline": _cv_models()["knn_baseline"]}, fx.K_FOLDS)
+    s = ev.fold_scores(preds, BY)
     return s.select("cv_fold", "n", r6("rmse").alias("rmse"), r6("mae").alias("mae"))
 
 
@@ -252,24 +263,16 @@ def _compare_sql():
 
 @register("eval_compare_models", _compare_sql(), ops="E4 E3 Q12")
 def q_compare_models(spark, d):
-    train, test = _cv_sets(spark, d)
-    preds = ev.compare_models_predictions(train, test, COMPARE_MODELS, by=BY, k=K, min_k=MIN_K,
-                                          min_support=fx.MIN_SUPPORT, seed=SEED,
-                                          knn_bsl=(BSL_REG_I, BSL_REG_U, BSL_EPOCHS),
-                                          als=(ALS_REG_I, ALS_REG_U, 10),
-                                          cocl=(CC_CLUSTERS, CC_CLUSTERS, CC_EPOCHS))
-    out = ev.rank_models(preds, BY)
-    return out.select("model", r6("rmse").alias("rmse"), r6("mae").alias("mae"),
-                      r6("rmse_sd").alias("rmse_sd"), "rank")
-
-
-FACTOR_MODELS = ("normal", "svd", "nmf")
+    return _ranking(spark, d, COMPARE_MODELS)
 
 
 @register("eval_compare_factor_models", None, ops="E4 B10 B11")
 def q_compare_factor_models(spark, d):
     """The two factor models of the comparison beside the naive one (ALS has no SQL twin)."""
-    train, test = _cv_sets(spark, d)
-    preds = ev.compare_models_predictions(train, test, FACTOR_MODELS, by=BY, seed=SEED, als=(ALS_REG_I, ALS_REG_U, 10))
-    out = ev.rank_models(preds, BY)
-    return out.select("model", r6("rmse").alias("rmse"), r6("mae").alias("mae"), r6("rmse_sd").alias("rmse_sd"), "rank")
+    return _ranking(spark, d, ("normal", "svd", "nmf"))
+
+
+@register("eval_compare_ten_models", None, ops="E3 E4 B10 B11")
+def q_compare_ten_models(spark, d):
+    """All ten predictors through one call, in one ranking."""
+    return _ranking(spark, d, tuple(_cv_models()))

@@ -9,21 +9,25 @@ from recspark.session import materialize
 from recspark.functions.exprs import r6
 from recspark.operators import baselines as bl
 from recspark.operators import evaluate as ev
+from recspark.models import KNN, cross_validate
+from recspark.models import load_model as load_rating_model
 from recspark.operators.coclustering import fit_coclustering, predict_coclustering
 from recspark.operators.factor import (
     fit_nmf_als, fit_svd_als, load_model, predict_nmf_als, predict_svd_als, recommend_for_users_als, save_model,
 )
 from recspark.session import scratch_path
+from recspark.operators.indexing import holdout_split
 from recspark.operators.predictors import knn_recommend_for_users
 from recspark.operators.similarity import pair_sums, similarity
 from recspark.plans import fixture as fx
+from recspark.sources.bundle import load_bundle, save_bundle
 from recspark.sources.files import write_table_roundtrip
 from recspark.plans import model_sql as ms
 from recspark.plans.models import (
     ALS_REG_I, ALS_REG_U, BSL_EPOCHS, BSL_REG_I, BSL_REG_U, K, MIN_K, PRED_SEL, ROWS, SEED, SPLIT, _split,
-    _pred_out, _cv_sets, BY, CV_BASE, CV_SIMS, _CVB_CTES, _CVB_BU, _CVB_BI,
+    _pred_out, _cv_models, _cv_ratings, BY, CV_BASE, CV_SIMS, _CVB_CTES, _CVB_BU, _CVB_BI, _fold_scores_sql,
 )
-from recspark.plans.registry import register, with_ctes
+from recspark.plans.registry import REGISTRY, register, with_ctes
 
 from recspark.plans.models import CC_CLUSTERS, CC_EPOCHS  # noqa: E402
 REC_N = 5
@@ -203,6 +207,7 @@ def q_tune_best(spark, d):
 
 
 VS_MODELS = ("knn_baseline", "baseline_als", "slope_one")
+_VSA_CTES, _VSA_BU, _VSA_BI = ms.baseline_als_ctes(ALS_REG_I, ALS_REG_U, 10, by=BY, prefix="cva")
 
 
 def _vs_sql():
@@ -223,14 +228,70 @@ def _vs_sql():
 
 @register("eval_vs_naive", _vs_sql(), ops="E6")
 def q_vs_naive(spark, d):
-    train, test = _cv_sets(spark, d)
-    preds = ev.compare_models_predictions(train, test, ("normal",) + VS_MODELS, by=BY, k=K, min_k=MIN_K,
-                                          min_support=fx.MIN_SUPPORT, seed=SEED,
-                                          knn_bsl=(BSL_REG_I, BSL_REG_U, BSL_EPOCHS), als=(ALS_REG_I, ALS_REG_U, 10))
+    models = _cv_models()
+    preds = cross_validate(_cv_ratings(spark, d), {m: models[m] for m in ("normal",) + VS_MODELS}, fx.K_FOLDS)
     per = preds.groupBy("model", *BY).agg(
         F.sqrt(F.avg(F.pow(F.col("stars").cast("double") - F.col("est"), 2))).alias("rmse"))
-    mm = per.groupBy("model").agg(F.avg("rmse").alias("rmse"))
+    mm = materialize(per.groupBy("model").agg(F.avg("rmse").alias("rmse")), "model-scores")  # a row per model
     naive = mm.where(F.col("model") == "normal").select(F.col("rmse").alias("naive_rmse"))
     out = mm.where(F.col("model") != "normal").withColumn("naive_rmse", naive.select("naive_rmse").scalar())
     return out.select("model", r6("rmse").alias("rmse"), r6("naive_rmse").alias("naive_rmse"),
                       r6(F.col("naive_rmse") - F.col("rmse")).alias("lift"))
+
+
+# -------------------------------------------------- the best model, refitted and saved
+
+def _best_sql():
+    """The winning setting chooses among the chains of both baselines and all similarity variants, fitted on all ratings."""
+    variants = ev.similarity_variants(GRID_METRICS, GRID_MIN_SUPPORT, GRID_SHRINKAGE)
+    ctes = [f"best AS ({with_ctes(GRID_SQL, f'SELECT {GRID_COLS} FROM grid WHERE rank = 1')})", *fx.RATINGS,
+            "train AS (SELECT * FROM ratings)", f"test AS (SELECT * FROM ratings WHERE (review_id + 3*iid + 7*uid) % 100 < {fx.HOLDOUT_PERCENT})", ms.mean_cte()]
+    users, items = [], []
+    for b, (name, (reg_i, reg_u)) in enumerate(GRID_BSL.items()):
+        own, bu, bi = ms.baseline_als_ctes(reg_i, reg_u, BSL_EPOCHS, prefix=f"fb{b}")
+        ctes += own
+        users.append(f"SELECT uid, bu FROM {bu} WHERE (SELECT bsl FROM best) = '{name}'")
+        items.append(f"SELECT iid, bi FROM {bi} WHERE (SELECT bsl FROM best) = '{name}'")
+    ctes += [f"fbu AS ({' UNION ALL '.join(users)})", f"fbi AS ({' UNION ALL '.join(items)})",
+             """resid AS (SELECT t.uid, t.iid, CAST(t.stars AS DOUBLE) - (m.mu + COALESCE(u.bu, 0.0) + COALESCE(i.bi, 0.0)) AS res
+                FROM train t JOIN gmu m ON true LEFT JOIN fbu u ON u.uid = t.uid LEFT JOIN fbi i ON i.iid = t.iid)"""]
+    ctes += fx.pair_sum_ctes(src="train", out="tps") + fx.pair_sum_ctes(src="resid", out="rps", value="res", integer=False)
+    chosen = " UNION ALL ".join(
+        f"SELECT i, j, n, {fx.sim_sql(m, x)} AS sim FROM {'rps' if m == 'pearson_baseline' else 'tps'} WHERE n >= {n} AND EXISTS "
+        f"(SELECT 1 FROM best WHERE sim_name = '{m}' AND min_support = {n} AND shrinkage = {x})" for m, n, x in variants)
+    ctes += [f"tsims AS ({chosen})", *fx.mirrored_ctes(src="tsims", out="simsm", diag_src="train"),
+             *ms.knn_ctes("baseline", "(SELECT k FROM best)", "(SELECT min_k FROM best)", bu="fbu", bi="fbi")]
+    return with_ctes(ctes, "SELECT review_id, uid, iid, stars, round(est, 6) AS est, actual_k FROM pred")
+
+
+@register("tune_best_model_predict", _best_sql(), ops="E5 S7 S8")
+def q_best_model(spark, d):
+    """The winner of the grid refitted on all ratings, saved as a bundle, loaded in another session, and asked for the hold-out rows."""
+    best = _grid(spark, d).where(F.col("rank") == 1).first()  # one row
+    reg_i, reg_u = GRID_BSL[best["bsl"]]
+    ratings = _cv_ratings(spark, d)
+    model = KNN(kind="baseline", k=best["k"], minK=best["min_k"], metric=best["sim_name"], minSupport=best["min_support"],
+                shrinkage=best["shrinkage"], regItem=reg_i, regUser=reg_u, epochs=BSL_EPOCHS).fit(ratings)
+    path = scratch_path(spark, "best-model")
+    model.save(path)
+    loaded = load_rating_model(spark.newSession(), path)
+    rows = materialize(holdout_split(ratings, fx.HOLDOUT_PERCENT).where("is_test").drop("is_test"), "asked")
+    asked = loaded.tables["ratings"].sparkSession.read.schema(rows.schema).parquet(*rows.inputFiles())
+    return loaded.transform(asked).select("review_id", "uid", "iid", "stars", r6("est").alias("est"), "actual_k")
+
+
+@register("bundle_cv_scores", with_ctes(CV_BASE + _VSA_CTES + ms.baseline_pred_ctes(_VSA_BU, _VSA_BI, by=BY), _fold_scores_sql()), ops="E3 S7 S8")
+def q_bundle_cv(spark, d):
+    """A cross-validation table through a bundle."""
+    preds = cross_validate(_cv_ratings(spark, d), {"baseline_als": _cv_models()["baseline_als"]}, fx.K_FOLDS)
+    scores = ev.fold_scores(preds, BY).select("cv_fold", "n", r6("rmse").alias("rmse"), r6("mae").alias("mae"))
+    path = save_bundle(spark, scratch_path(spark, "cv-bundle"), {"scores": scores}, {"model": "baseline_als", "folds": fx.K_FOLDS})
+    return load_bundle(spark, path)[0]["scores"]
+
+
+@register("bundle_item_map", REGISTRY["item_map_best_location"].sql, ops="I1 S7 S8")
+def q_bundle_item_map(spark, d):
+    """The item map through a bundle."""
+    found = REGISTRY["item_map_best_location"].build(spark, d)
+    path = save_bundle(spark, scratch_path(spark, "map-bundle"), {"item_map": found})
+    return load_bundle(spark, path)[0]["item_map"]
