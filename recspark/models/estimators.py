@@ -73,7 +73,7 @@ class _BiasParams(RatingParams):
                 model = bl.baseline_gd(rows, self["learningRate"], self["penalty"], self["epochs"], by=by)
             else:
                 raise ValueError(f"unknown method {self['method']!r}")
-            return {name: materialize(df, "bias") for name, df in zip(("mu", "bu", "bi"), model)}
+            return dict(zip(("mu", "bu", "bi"), model))
 
         return shared.get(("bias", self.key(*BIAS)), fit)
 

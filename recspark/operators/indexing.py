@@ -95,16 +95,15 @@ def _argmax_item(df: DataFrame, keys: list[str]) -> DataFrame:
 def item_map(reviews: DataFrame, items: DataFrame, patterns: DataFrame) -> DataFrame:
     """(pattern, match, iid, name, n_reviews): per name pattern the most-reviewed item.
 
-    ``patterns`` (pattern string, match boolean) is a small argument table
-    (broadcast).  ``match`` = regex anchored at the start of the name (a
+    ``patterns`` (pattern string, match boolean).  ``match`` = regex anchored at the start of the name (a
     prefix match), else a regex search anywhere in the name.  A pattern that
-    matches no reviewed item yields no row.
+    matches no reviewed item yields no row.  Patterns meet the distinct names through an index of their
+    literals (``operators.patterns``).
     """
-    cand = items.select("iid", "name").join(review_counts(reviews), "iid", "inner")
-    anchored = F.concat(F.lit("^(?:"), F.col("pattern"), F.lit(")"))
-    cond = F.when(F.col("match"), F.regexp_like(F.col("name"), anchored)) \
-            .otherwise(F.regexp_like(F.col("name"), F.col("pattern")))
-    joined = cand.join(F.broadcast(patterns.select("pattern", "match")), cond, "inner")
+    from recspark.operators.patterns import pattern_names
+
+    cand = materialize(items.select("iid", "name").join(review_counts(reviews), "iid", "inner"), "reviewed-items")
+    joined = cand.join(pattern_names(cand, patterns), "name")
     return _argmax_item(joined, ["pattern", "match"])
 
 

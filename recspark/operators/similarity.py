@@ -68,8 +68,9 @@ def _block_pair_sums(a: pd.DataFrame, b: pd.DataFrame, same: bool, max_pairs: in
     """
     if len(a) == 0 or len(b) == 0:
         return
-    a = a.sort_values("u", kind="stable")
-    b = b.sort_values("u", kind="stable")
+    order = ["u", "it"] if same else ["u"]
+    a = a.sort_values(order, kind="stable")
+    b = a if same else b.sort_values(order, kind="stable")
     ua = a["u"].to_numpy(np.int64)
     ub = b["u"].to_numpy(np.int64)
     b_users, b_start, b_count = np.unique(ub, return_index=True, return_counts=True)
@@ -92,6 +93,9 @@ def _block_pair_sums(a: pd.DataFrame, b: pd.DataFrame, same: bool, max_pairs: in
     b_it = b_items[b_loc]
     start = b_start[pos_c[hit]]
     cnt = b_count[pos_c[hit]]
+    if same:  # a cell meets the later ones of its user only
+        later = np.arange(len(ua)) + 1
+        start, cnt = later, start + cnt - later
 
     cs = np.cumsum(cnt)
     m = len(cnt)
@@ -106,7 +110,7 @@ def _block_pair_sums(a: pd.DataFrame, b: pd.DataFrame, same: bool, max_pairs: in
         first = np.cumsum(cnt_c) - cnt_c
         bidx = np.repeat(start[lo:hi], cnt_c) + (np.arange(total) - np.repeat(first, cnt_c))
         if same or cross:
-            keep = a_it[rep] < b_it[bidx] if same else a_it[rep] != b_it[bidx]
+            keep = a_it[rep] != b_it[bidx]  # a cell may come in several rows
             rep, bidx = rep[keep], bidx[keep]
         if len(rep):
             code = a_loc[rep].astype(np.int64) * nb + b_loc[bidx]

@@ -55,12 +55,13 @@ def trim(ratings: DataFrame, steps=(("user", 4), ("item", 40), ("user", 4)),
          materialize: str | None = None) -> DataFrame:
     """Apply trimming steps in order; order matters (a user cut changes item counts).
 
-    ``materialize='checkpoint'`` writes the qualifying keys of each step (small) and, once, the trimmed
-    rows; ``None`` leaves one lazy plan (Spark reuses the repeated exchanges of the shared sub-plans).
+    ``materialize='checkpoint'`` writes the incoming rows once (each step reads them, and they are often a join),
+    the qualifying keys of each step (small) and the trimmed rows; ``None`` leaves one lazy plan (Spark reuses the
+    repeated exchanges of the shared sub-plans).
     """
     if materialize not in (None, "checkpoint"):
         raise ValueError(f"unknown materialize {materialize!r}")
-    out = ratings
+    out = write_stage(ratings, "untrimmed") if materialize and steps else ratings
     for kind, t in steps:
         if kind not in ("user", "item"):
             raise ValueError(f"unknown trim step {kind!r}")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from recspark.functions.exprs import r6
 from recspark.operators.indexing import item_map, item_map_by_name
+from recspark.operators.patterns import pattern_names
 from recspark.operators.recommend import latest_names_requests, mean_similarity, recommend, resolve_picks
 from recspark.operators.similarity import mirror, pair_sums, similarity
 from recspark.operators.trim import since_year, trim, trim_items, trim_users
@@ -126,10 +127,7 @@ def q_item_map(spark, d):
                ELSE regexp_matches(i.name, p.pattern) END"""), ops="J5")
 def q_join_pattern_items(spark, d):
     items = fx.fx_items(spark, d).select("iid", "name")
-    pats = fx.fx_patterns(spark)  # small argument table: broadcast, items stream past it
-    anchored = F.concat(F.lit("^(?:"), F.col("pattern"), F.lit(")"))
-    cond = F.when(F.col("match"), F.regexp_like("name", anchored)).otherwise(F.regexp_like("name", F.col("pattern")))
-    return items.join(F.broadcast(pats), cond, "inner").select("pattern", "match", "iid", "name")
+    return items.join(pattern_names(items, fx.fx_patterns(spark)), "name").select("pattern", "match", "iid", "name")
 
 
 # ------------------------------------------------------------ recommendation

@@ -187,8 +187,8 @@ def _grid(spark, d):
     r = fx.fx_ratings(spark, d).select(*ROWS.split(", "))
     train = materialize(train_sets_by_fold(r, GRID_FOLDS))
     test = test_sets_by_fold(r, GRID_FOLDS)
-    sums = materialize(pair_sums(train, by=BY))
-    models = {name: tuple(materialize(t) for t in bl.baseline_als(train, *reg, BSL_EPOCHS, by=BY)) for name, reg in GRID_BSL.items()}
+    sums = materialize(pair_sums(train, by=BY).where(F.col("n") >= min(GRID_MIN_SUPPORT)))  # rarer pairs are in no variant
+    models = {name: bl.baseline_als(train, *reg, BSL_EPOCHS, by=BY) for name, reg in GRID_BSL.items()}
     return ev.knn_baseline_grid(train, test, sums, models, GRID_METRICS, GRID_K, GRID_MIN_K, GRID_MIN_SUPPORT, GRID_SHRINKAGE, by=BY)
 
 

@@ -1,9 +1,9 @@
 """Session and shared-storage helpers.
 
 The library never invents storage locations on a cluster: iterative
-operators cut lineage with ``DataFrame.checkpoint()`` into the folder
-named by ``spark.checkpoint.dir``.  Only a local-mode session (tests,
-bench) without that setting gets a fresh folder under /tmp.
+operators cut lineage by writing tables into the folder named by
+``spark.checkpoint.dir`` (:func:`materialize`).  Only a local-mode session
+(tests, bench) without that setting gets a fresh folder under /tmp.
 """
 
 from __future__ import annotations
@@ -79,4 +79,4 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # the schema is known: no job that reads footers
