@@ -49,3 +49,10 @@ def join_by_size(rows: DataFrame, keys: DataFrame, key: str, how: str, row_bytes
     """Semi or anti join of ``rows`` with a table of keys: by broadcast when the counted keys take at most ``most_bytes``, else by exchange."""
     small = keys.count() * row_bytes <= most_bytes
     return rows.join(F.broadcast(keys) if small else keys, key, how)
+
+
+def in_id_order(rows: DataFrame, slices: int) -> DataFrame:
+    """(doc_id, text) in range partitions by ascending id; the length parts rows that share an id or have none, so they fill several slices."""
+    size = F.octet_length("text")
+    return (rows.withColumn("size", size).repartitionByRange(slices, "doc_id", "size").sortWithinPartitions("doc_id", "size", "text")
+            .select("doc_id", "text"))

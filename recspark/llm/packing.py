@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recspark.functions.shipping import ship_by_value
-from recspark.llm.common import col, input_slices
+from recspark.llm.common import col, in_id_order, input_slices
 from recspark.llm.pieces import text_batches, worker_encoder
 
 ship_by_value(__name__)
@@ -156,5 +156,5 @@ def pack_documents(docs: DataFrame, tokenizer: str, style: str = "kept", end_id:
     rows = docs.select(col(id_col).cast("long").alias("doc_id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0  # one number
     slices = input_slices(size, slice_bytes)
-    ordered = rows.repartitionByRange(slices, "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = in_id_order(rows, slices)
     return ordered.mapInPandas(_packer(tokenizer, style, end_id, window, run_tokens, sentence_cost, hard_cost, window_cost), PIECES)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recspark.functions.shipping import ship_by_value
-from recspark.llm.common import col, input_slices
+from recspark.llm.common import col, in_id_order, input_slices
 from recspark.llm.idcoder import read_block, write_block
 from recspark.llm.pieces import text_batches, worker_encoder
 from recspark.session import scratch_path
@@ -83,7 +83,7 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, style: str, end
     rows = docs.select(col(id_col).cast("long").alias("doc_id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0  # one number
     slices = input_slices(size, slice_bytes, most=MOST_SLICES)
-    ordered = rows.repartitionByRange(slices, "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = in_id_order(rows, slices)
     (ordered.mapInPandas(_writer(tokenizer, style, end_id, block_ids), BLOCKS)
      .write.option("compression", "none").parquet(path))
 

@@ -6,7 +6,9 @@ identifier and their number, the last one with the total length.  Of rows with e
 bytes, the one with the largest id is the response and the others are revisit records that refer to it.  The archives are
 gzip files in which every record ends with two line ends, as the format asks (that is the line separator of Spark's text writer).
 
-Reading: every archive (at most ``records_per_file`` records) is unpacked as a stream.  Records are grouped by origin
+A record is at most ``segment_bytes`` and its headers long, so ``records_per_file`` bounds an archive's bytes, too (20,000 records of 16 KB).
+
+Reading: every archive is unpacked as a stream.  Records are grouped by origin
 identifier and ordered by segment number: one exchange that carries the bytes of segmented records only.  Each group is then read as
 a stream: numbers must be consecutive, the total length must agree, and the chunked framing is decoded step by step into
 length and SHA-1, so not even one payload has to fit a buffer.  Digests are compared with those in the headers, and revisits with the
