@@ -12,9 +12,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from recspark.operators import baselines as bl
+from recspark.operators.coclustering import fit_coclustering, predict_coclustering
 from recspark.operators.predictors import knn_predict, slope_one_predict
 from recspark.operators.recommend import mean_similarity, recommend
-from recspark.operators.similarity import mirror, pair_sums, similarity
+from recspark.operators.similarity import mirror, pair_sums, residuals, similarity
 
 ROWS = [(1, 1, 1, 5), (2, 1, 2, 3), (3, 1, 3, 4),
         (4, 2, 1, 3), (5, 2, 1, 4), (6, 2, 2, 1), (7, 2, 3, 4),
@@ -99,6 +100,47 @@ def test_knn_basic(grid, spark):
     assert got[4][0] == pytest.approx(35 / 10)       # unknown user -> global mean
 
 
+def _asked(spark):
+    return spark.createDataFrame([(99, 2, 4, 3)], "review_id long, uid long, iid long, stars int")
+
+
+def test_baseline_gd_two_epochs(grid):
+    mu, bu, bi = bl.baseline_gd(grid, lr=0.1, reg=0.5, n_epochs=2)
+    assert {r.uid: r.bu for r in bu.collect()} == pytest.approx({1: 0.2475, 2: -0.28, 3: 0.0925})
+    assert {r.iid: r.bi for r in bi.collect()} == pytest.approx({1: 0.2575, 2: -0.6975, 3: 0.2325, 4: 0.2725})
+
+
+def test_knn_means_zscore_and_baseline(grid, spark):
+    """User 2 and item 4: neighbours i2 (rated 1) and i3 (rated 4), both with similarity 1."""
+    train = grid.where(F.col("uid").isNotNull())
+    sims = mirror(similarity(pair_sums(train), "cosine", 1), train)
+    model = bl.baseline_als(train, reg_i=1, reg_u=2, n_epochs=1)
+    est = lambda kind: knn_predict(train, _asked(spark), sims, kind, k=5, baselines=model).first().est
+    assert est("means") == pytest.approx(5 + ((1 - 2) + (4 - 4)) / 2)
+    # i2 has the spread sqrt(2/3); those of i3 and i4 are 0, so the global one stands in
+    assert est("zscore") == pytest.approx(5 + math.sqrt(1.45) * (-1 / math.sqrt(2 / 3) + 0) / 2)
+    b = lambda i: 3.5 - 1 / 3 + {2: -1.125, 3: 0.375, 4: 0.75}[i]
+    assert est("baseline") == pytest.approx(b(4) + ((1 - b(2)) + (4 - b(3))) / 2) == pytest.approx(3.625)
+
+
+def test_pearson_baseline(grid):
+    train = grid.where(F.col("uid").isNotNull())
+    res = residuals(train, bl.baseline_als(train, reg_i=1, reg_u=2, n_epochs=1))
+    got = {(r.i, r.j): r.sim for r in similarity(pair_sums(res, value="res", integer_sums=False), "pearson_baseline", 1, 100).collect()}
+    x, y = (0.75, -13 / 24, 11 / 24), (0.25, -25 / 24, -25 / 24)  # items 1 and 2: user 1, user 2 twice
+    cos = sum(a * b for a, b in zip(x, y)) / math.sqrt(sum(a * a for a in x) * sum(b * b for b in y))
+    assert got[(1, 2)] == pytest.approx(cos * 2 / 102)
+    assert got[(2, 4)] == 0.0  # one common user: shrunk to nothing
+
+
+def test_coclustering_by_hand(grid, spark):
+    train = grid.where(F.col("uid").isNotNull())
+    one = fit_coclustering(train, 1, 1, 2)
+    assert predict_coclustering(_asked(spark), one).first().est == pytest.approx(3 + 5 - 3.5)
+    two = fit_coclustering(train, 2, 2, 0)  # clusters are id mod 2: user 2 with items 2 and 4 has the one rating 1
+    assert predict_coclustering(_asked(spark), two).first().est == pytest.approx(1 + (3 - 3) + (5 - 11 / 4))
+
+
 def test_slope_one(grid, spark):
     train = grid.where(F.col("uid").isNotNull())
     test = spark.createDataFrame([(99, 3, 1, 3)], "review_id long, uid long, iid long, stars int")
