@@ -98,8 +98,16 @@ class PieceEncoder:
         got, flags = [None] * len(new), np.full(len(new), ENDS_WORD, np.uint8)
         other = []
         merge, to_bytes, kept = self.tok.model.tokenize, self.alphabet, self.style == "kept"
+        space = chr(to_bytes[32]) if kept else ""
         for k, p in enumerate(new):
-            if PLAIN.fullmatch(p):
+            spaced = p[0] == " "
+            word = p[1:] if spaced else p
+            if word.isascii() and word.isalpha():  # most words: their bytes stand for themselves
+                if spaced:
+                    flags[k] |= STARTS_WS | SPACE_WORD
+                    word = space + word
+                got[k] = [x.id for x in merge(word if kept else word.lower())]
+            elif PLAIN.fullmatch(p):
                 if p[0] == " ":
                     flags[k] |= STARTS_WS | SPACE_WORD
                 word = p if kept else p.lstrip(" ").lower()
