@@ -7,6 +7,10 @@ import itertools
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recspark.functions.shipping import ship_by_value
+
+ship_by_value(__name__)
+
 SALTS = 16
 
 
@@ -56,3 +60,24 @@ def in_id_order(rows: DataFrame, slices: int) -> DataFrame:
     size = F.octet_length("text")
     return (rows.withColumn("size", size).repartitionByRange(slices, "doc_id", "size").sortWithinPartitions("doc_id", "size", "text")
             .select("doc_id", "text"))
+
+
+def lean(task):
+    """A function of mapInPandas or mapInArrow that gives unused memory back to the system when its partition ends.
+
+    Spark keeps Python workers for the stages that follow; what a kernel has freed would otherwise stay with them.
+    """
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            import ctypes
+
+            import pyarrow
+
+            pyarrow.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+            if trim is not None:
+                trim(0)
+
+    return run

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recspark.functions.shipping import ship_by_value
-from recspark.llm.common import col, fresh
+from recspark.llm.common import col, fresh, lean
 
 ship_by_value(__name__)
 
@@ -167,7 +167,7 @@ def _fit_label(idf: np.ndarray, clusters: int):
 def fit_language_model(train: DataFrame, text_col: str = "text", label_col: str = "lang", clusters: int = 4, sample_per_label: int = 600,
                        slack: float = 1.0) -> Model:
     rows = train.select(col(text_col).alias("text"), col(label_col).cast("string").alias("label")).where("text IS NOT NULL AND label IS NOT NULL")
-    found = {r["feature"]: r["n"] for r in rows.select("text").mapInPandas(_count_documents, "feature int, n long")
+    found = {r["feature"]: r["n"] for r in rows.select("text").mapInPandas(lean(_count_documents), "feature int, n long")
              .groupBy("feature").agg(F.sum("n").alias("n")).collect()}  # DIMS + 1 rows
     n = found.get(-1, 0)
     idf = np.log((1 + n) / (1 + np.array([found.get(k, 0) for k in range(DIMS)]))) + 1
@@ -212,7 +212,7 @@ def predict_language(docs: DataFrame, model: Model, id_col: str = "doc_id", text
     """One row per input row: doc_id, lang_pred, score, rejected.  Only the text is an input of the prediction."""
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(col(id_col).cast("string").alias("key"), col(text_col).alias("text"))
-    found = rows.mapInPandas(_predictor(model), "key string, lang_pred string, score double, rejected boolean")
+    found = rows.mapInPandas(lean(_predictor(model)), "key string, lang_pred string, score double, rejected boolean")
     return found.select(F.col("key").cast(kind).alias("doc_id"), "lang_pred", "score", "rejected")
 
 

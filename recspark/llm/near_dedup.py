@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recspark.functions.shipping import ship_by_value
-from recspark.llm.common import col, fresh, salted_left_join, join_by_size
+from recspark.llm.common import col, fresh, salted_left_join, join_by_size, lean
 from recspark.llm.components import components
 from recspark.llm.pieces import text_batches
 from recspark.llm.shingles import Shingler, Signer, band_keys, set_digest
@@ -143,7 +143,7 @@ def _with_hubs(pairs: DataFrame, payload: DataFrame, judge, spread: int) -> Data
     hubs = dealt.select("a", "part").distinct()
     hubs = hubs.join(payload, hubs["a"] == payload["node"]).select("a", "part", F.lit(None).cast("long").alias("b"), "n", "data")
     rows = members.union(hubs).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
-    return rows.mapInPandas(_hub_kernel(judge), "a long, b long")
+    return rows.mapInPandas(lean(_hub_kernel(judge)), "a long, b long")
 
 
 def _set_rows(batches):
@@ -161,7 +161,7 @@ def node_sets(ends: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     chosen = join_by_size(texts, wanted.where("doc_id IS NOT NULL").select("doc_id").distinct(), "doc_id", "left_semi").select("text")
     if not wanted.where("doc_id IS NULL").isEmpty():
         chosen = chosen.union(texts.where("doc_id IS NULL").select("text"))
-    sets = (chosen.mapInPandas(_set_rows, "n long, data binary, digest binary").dropDuplicates(["digest"])
+    sets = (chosen.mapInPandas(lean(_set_rows), "n long, data binary, digest binary").dropDuplicates(["digest"])
             .join(wanted.select("node", "digest"), "digest").select("node", "n", "data"))
     return materialize(sets, "sets")
 
@@ -263,13 +263,13 @@ def remaining_tiles(members: DataFrame, nodes: DataFrame, comps: DataFrame, floo
         F.filter(to("rest_tiles", lambda j: cell(1, F.least(F.col("c"), j), F.greatest(F.col("c"), j))), lambda t: t["i"] != t["j"])))
     placed = dealt.select("key", "node", "comp", "lead", F.explode(tiles).alias("t")).select("key", "t.*", "node", "comp", "lead")
     rows = placed.join(nodes.select("node", "n_shingles", "sig"), "node").select(*[x.split()[0] for x in LIVE.split(", ")])
-    return rows.repartition(*TILE).sortWithinPartitions(*TILE).mapInPandas(_per_tile(_live_rows(floors, percent)), LIVE)
+    return rows.repartition(*TILE).sortWithinPartitions(*TILE).mapInPandas(lean(_per_tile(_live_rows(floors, percent))), LIVE)
 
 
 def remaining_links(tiles: DataFrame, nodes: DataFrame, texts: DataFrame, floors, percent: int) -> DataFrame:
     """Verified links between components inside the tiles; at most one row per row of a tile."""
     rows = tiles.join(node_sets(tiles.select("node").distinct(), nodes, texts).select("node", "data"), "node")
-    return rows.repartition(*TILE).sortWithinPartitions(*TILE).mapInPandas(_per_tile(_tile_links(floors, percent)), "a long, b long").distinct()
+    return rows.repartition(*TILE).sortWithinPartitions(*TILE).mapInPandas(lean(_per_tile(_tile_links(floors, percent))), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS,
@@ -282,7 +282,7 @@ def _verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
               miss: float = 1e-6, spread: int = 64, tile: int = 512) -> DataFrame:
     """One row per input row: doc_id, n_shingles, digest, component_id, kept."""
     texts = docs.select(col(id_col).cast("long").alias("doc_id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
-    signed = materialize(texts.mapInPandas(_sign(bands, rows), SIGNED).withColumn("row", F.monotonically_increasing_id()), "signed")
+    signed = materialize(texts.mapInPandas(lean(_sign(bands, rows)), SIGNED).withColumn("row", F.monotonically_increasing_id()), "signed")
     floors = least_matches(bands * rows, BATCH, percent, miss)
     # one class per set, numbered in the order of (smallest id, digest); ``row`` is the one that is kept of rows without an id
     classes = (signed.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"), F.min("row").alias("row"))

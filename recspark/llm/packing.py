@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recspark.functions.shipping import ship_by_value
-from recspark.llm.common import col, in_id_order, input_slices
+from recspark.llm.common import col, in_id_order, input_slices, lean
 from recspark.llm.pieces import text_batches, worker_encoder
 
 ship_by_value(__name__)
@@ -157,4 +157,4 @@ def pack_documents(docs: DataFrame, tokenizer: str, style: str = "kept", end_id:
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0  # one number
     slices = input_slices(size, slice_bytes)
     ordered = in_id_order(rows, slices)
-    return ordered.mapInPandas(_packer(tokenizer, style, end_id, window, run_tokens, sentence_cost, hard_cost, window_cost), PIECES)
+    return ordered.mapInPandas(lean(_packer(tokenizer, style, end_id, window, run_tokens, sentence_cost, hard_cost, window_cost)), PIECES)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recspark.functions.shipping import ship_by_value
-from recspark.llm.common import col, in_id_order, input_slices
+from recspark.llm.common import col, in_id_order, input_slices, lean
 from recspark.llm.idcoder import read_block, write_block
 from recspark.llm.pieces import text_batches, worker_encoder
 from recspark.session import scratch_path
@@ -84,7 +84,7 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, style: str, end
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0  # one number
     slices = input_slices(size, slice_bytes, most=MOST_SLICES)
     ordered = in_id_order(rows, slices)
-    (ordered.mapInPandas(_writer(tokenizer, style, end_id, block_ids), BLOCKS)
+    (ordered.mapInPandas(lean(_writer(tokenizer, style, end_id, block_ids)), BLOCKS)
      .write.option("compression", "none").parquet(path))
 
 
@@ -94,7 +94,7 @@ def read_token_file(spark: SparkSession, path: str) -> DataFrame:
     ahead = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)  # over the slices, at most MOST_SLICES rows
     base = (blocks.groupBy("slice").agg(F.sum("n_ids").alias("n"))
             .select("slice", F.coalesce(F.sum("n").over(ahead), F.lit(0)).cast("long").alias("base")))
-    docs = blocks.select("slice", "first", "data").mapInPandas(_read, DOCS)
+    docs = blocks.select("slice", "first", "data").mapInPandas(lean(_read), DOCS)
     return (docs.join(F.broadcast(base), "slice")
             .select("doc_id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids_crc32"))
 
