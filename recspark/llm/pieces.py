@@ -235,7 +235,7 @@ def worker_encoder(path: str, style: str) -> PieceEncoder:
     return known[path, style]
 
 
-def text_batches(texts: list[str], chars: int = 2_000_000):
+def text_batches(texts: list[str], chars: int = 1_000_000):
     """Slices of a batch with about ``chars`` characters each (a longer text is a slice of its own)."""
     lo = size = 0
     for k, t in enumerate(texts):
