@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from recspark.operators.indexing import factorize
 from recspark.session import materialize
 
 
@@ -59,7 +60,7 @@ def recommend(scores: DataFrame, items: DataFrame, requests: DataFrame, n: int =
 
     All of ``items`` are ranked: one without a row in ``scores`` has score 0.
     The score table stays sparse; :func:`_zero_candidates` adds, per request
-    that needs them, just enough of these items for an exact result.
+    that needs them, the first ``n`` of these items.
 
     Top-n per request is ``row_number() <= n``; Spark applies the limit on
     the map side (window group limit) before the shuffle.
@@ -70,7 +71,6 @@ def recommend(scores: DataFrame, items: DataFrame, requests: DataFrame, n: int =
     if mode == "filter_then_pick":
         cand = named.join(picked_names, ["request_id", "name"], "left_anti").where(F.col("is_open") == 1)
         fill = _zero_candidates(named, cand, names.where(F.col("is_open") == 1), n, picked_names)
-        fill = fill.join(picked_names, ["request_id", "name"], "left_anti")
         out = (cand.unionByName(fill).withColumn("rank", F.row_number().over(_rank_window()))
                .where(F.col("rank") <= n))
     elif mode == "pick_then_filter":
@@ -86,24 +86,29 @@ def recommend(scores: DataFrame, items: DataFrame, requests: DataFrame, n: int =
 def _zero_candidates(named: DataFrame, ranked: DataFrame, items: DataFrame, n: int, picked_names) -> DataFrame:
     """Score-0 rows (columns of ``named``) for the requests with fewer than ``n`` positive scores in ``ranked``.
 
-    Such items tie and are ordered by iid.  Of the first n + (scored items) + (items of picked names) items
-    in that order, at least n are neither scored nor excluded, so these positions are enough.  Only the
-    longest of these prefixes is ordered globally.
+    Such items tie and are ordered by iid, so a request gets the first ``n`` of ``items`` that it has neither scored nor
+    barred by name.  The items are numbered once.  Sorted by place, the k-th taken item of a request (from 0) has
+    place - k free items before it; the t-th free place is therefore t plus the number of taken items with at
+    most t free ones before them.  Only taken rows are sorted, and ``n`` places per request meet the items.
     """
     positive = F.sum(F.when(F.round("score", 9) > 0, 1).otherwise(0))
     have = ranked.groupBy("request_id").agg(positive.alias("good"))
-    need = (named.groupBy("request_id").agg(F.count(F.lit(1)).alias("scored")).join(have, "request_id", "left")
-            .where(F.coalesce("good", F.lit(0)) < n))
+    short = materialize(named.select("request_id").distinct().join(have, "request_id", "left")
+                        .where(F.coalesce("good", F.lit(0)) < n).select("request_id"), "short-requests")
+    numbered = materialize(items.join(factorize(items, "iid", order_by=("iid",), out="place"), "iid"), "numbered-items")
+    asked = named.join(short, "request_id", "left_semi")
+    taken = asked.select("request_id", "iid").join(numbered.select("iid", "place"), "iid").select("request_id", "place")
     if picked_names is not None:
-        same_name = items.groupBy("name").agg(F.count(F.lit(1)).alias("same"))
-        barred = picked_names.join(same_name, "name").groupBy("request_id").agg(F.sum("same").alias("barred"))
-        need = need.join(barred, "request_id", "left").withColumn("scored", F.col("scored") + F.coalesce("barred", F.lit(0)))
-    need = materialize(need.select("request_id", (F.col("scored") + n).alias("first")), "short-requests")
-    longest = need.agg(F.max("first")).first()[0] or 0  # one number
-    first = items.orderBy("iid").limit(longest)
-    place = first.withColumn("place", F.row_number().over(Window.orderBy("iid")).cast("long"))  # ``longest`` rows
-    asked = need.withColumn("place", F.explode(F.sequence(F.lit(1).cast("long"), F.col("first").cast("long"))))
-    rows = asked.join(place, "place").join(named.select("request_id", "iid"), ["request_id", "iid"], "left_anti")
+        barred = (picked_names.join(short, "request_id", "left_semi").join(numbered.select("name", "place"), "name")
+                  .select("request_id", "place"))
+        taken = taken.union(barred).distinct()
+    by_place = Window.partitionBy("request_id").orderBy("place")
+    ahead = taken.withColumn("free", F.col("place") - F.row_number().over(by_place) + 1).where(F.col("free") < n)
+    shifts = F.array(*[F.count_if(F.col("free") <= t) for t in range(n)])
+    free = (short.join(ahead, "request_id", "left").groupBy("request_id").agg(shifts.alias("shift"))
+            .select("request_id", F.posexplode("shift").alias("t", "taken"))
+            .select("request_id", (F.col("t") + F.col("taken")).cast("long").alias("place")))
+    rows = free.join(numbered, "place")
     return rows.select(*[F.lit(0.0).alias("score") if c == "score" else c for c in named.columns])
 
 
