@@ -115,11 +115,12 @@ def pack_run(doc_ids: list, lengths: np.ndarray, ids: np.ndarray, sentence: np.n
                          "sequence_id": first_sequence + seq, "offset": begins - opens[seq]}), len(cuts)
 
 
-def _packer(path: str, style: str, end_id: int, window: int, run_tokens: int, sentence_cost: int, hard_cost: int, window_cost: int):
+def _packer(path: str, style: str, end_id: int, window: int, run_tokens: int, sentence_cost: int, hard_cost: int, window_cost: int,
+            cached_pieces: int | None):
     def pack(batches):
         from pyspark import TaskContext
 
-        enc = worker_encoder(path, style)
+        enc = worker_encoder(path, style, cached_pieces)
         number = TaskContext.get().partitionId() << 32
         held, size = [], 0  # (doc ids, lengths, ids, sentence ends) of the run so far
 
@@ -151,10 +152,15 @@ def _packer(path: str, style: str, end_id: int, window: int, run_tokens: int, se
 
 def pack_documents(docs: DataFrame, tokenizer: str, style: str = "kept", end_id: int = 1, window: int = 2048,
                    run_tokens: int = 1 << 20, sentence_cost: int = 4, hard_cost: int = 64, window_cost: int = 1,
-                   slice_bytes: int = 16 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+                   slice_bytes: int = 16 << 20, cached_pieces: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+
+    ``slice_bytes`` of text go to a task and ``cached_pieces`` distinct pieces stay in a worker (None: the encoder's default): smaller ones
+    take less memory and more time.
+    """
     rows = docs.select(col(id_col).cast("long").alias("doc_id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0  # one number
     slices = input_slices(size, slice_bytes)
     ordered = in_id_order(rows, slices)
-    return ordered.mapInPandas(lean(_packer(tokenizer, style, end_id, window, run_tokens, sentence_cost, hard_cost, window_cost)), PIECES)
+    return ordered.mapInPandas(lean(_packer(tokenizer, style, end_id, window, run_tokens, sentence_cost, hard_cost, window_cost, cached_pieces)),
+                              PIECES)

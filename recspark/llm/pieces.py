@@ -30,7 +30,7 @@ ship_by_value(__name__)
 MARK = "\x01"
 PLAIN = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 CUTS = ((" ", MARK + " "), ("\n", "\n" + MARK), (".", MARK + "."), (",", MARK + ","))
-MAX_PIECES, MAX_IDS = 600_000, 4_000_000  # of a worker's cache; beyond either it keeps the last batch's
+MAX_PIECES, MAX_IDS = 600_000, 4_000_000  # of a worker's cache; beyond either it keeps the last batch's.  About 0.2 KB a piece
 #: what a piece's ends look like
 ENDS_WS, STARTS_WS, SPACE_WORD, ENDS_RUN, SENTENCE, STARTS_STOP, ENDS_WORD = 1, 2, 4, 8, 16, 32, 64
 
@@ -56,7 +56,7 @@ class _Codes(dict):
 
 
 class PieceEncoder:
-    def __init__(self, path: str, style: str):
+    def __init__(self, path: str, style: str, max_pieces: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
@@ -65,6 +65,7 @@ class PieceEncoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
         self.style = style
+        self.max_pieces = MAX_PIECES if max_pieces is None else max_pieces
         self.alphabet = byte_alphabet()
         self._reset()
 
@@ -171,7 +172,7 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]):
         """Flat uint32 ids, int64 number of ids per text, and per flat id whether a sentence ends with it."""
-        if len(self.codes) > MAX_PIECES or len(self.pool) > MAX_IDS:
+        if len(self.codes) > self.max_pieces or len(self.pool) > MAX_IDS:
             self._shrink()
         counts, code = self._split(texts)
         split = None
@@ -225,14 +226,16 @@ def _flags(p: str) -> int:
     return out | SENTENCE * (b == "\n" or p.rstrip()[-1:] in (".", "!", "?"))
 
 
-def worker_encoder(path: str, style: str) -> PieceEncoder:
-    """One encoder per Python worker: its cache of pieces serves all tasks that the worker runs."""
+def worker_encoder(path: str, style: str, max_pieces: int | None = None) -> PieceEncoder:
+    """One encoder per Python worker: its cache of pieces (``max_pieces``) serves all tasks that the worker runs."""
     here = sys.modules.setdefault("recspark_worker_state", types.ModuleType("recspark_worker_state"))
     known = here.__dict__.setdefault("encoders", {})
-    if (path, style) not in known:
-        known[path, style] = PieceEncoder(path, style)
+    key = (path, style, max_pieces)
+    if key not in known:
+        known.clear()  # one vocabulary at a time
+        known[key] = PieceEncoder(path, style, max_pieces)
     pa.default_memory_pool().release_unused()  # what the tasks before have left
-    return known[path, style]
+    return known[key]
 
 
 def text_batches(texts: list[str], chars: int = 1_000_000):
