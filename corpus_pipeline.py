@@ -21,6 +21,8 @@ from recspark.session import materialize
 
 ORACLE_SQL = None
 MOST_EPOCHS = 1.25
+#: packing runs beside a heap that the stages before have filled, so its workers hold less than the operator's defaults
+SLICE_BYTES, CACHED_PIECES = 8 << 20, 200_000
 
 
 def language_id(spark, docs, sf_dir):
@@ -40,7 +42,7 @@ def mixture(spark, docs, sf_dir):
 
 
 def windows(spark, docs, sf_dir):
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), slice_bytes=SLICE_BYTES, cached_pieces=CACHED_PIECES)
 
 
 STAGES = [("language_id", language_id), ("exact_dedup", exact_copies), ("near_dedup", near_copies), ("mixing", mixture), ("packing", windows)]
