@@ -7,6 +7,8 @@ so one request and a million requests run the same plan.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,13 +85,16 @@ def recommend(scores: DataFrame, items: DataFrame, requests: DataFrame, n: int =
     return out.select("request_id", F.col("rank").cast("long").alias("rank"), "iid", "name", "score")
 
 
+LOOKS = (4, 64)  # times n: first items that short requests are shown before their own taken items are sorted
+
+
 def _zero_candidates(named: DataFrame, ranked: DataFrame, items: DataFrame, n: int, picked_names) -> DataFrame:
     """Score-0 rows (columns of ``named``) for the requests with fewer than ``n`` positive scores in ``ranked``.
 
     Such items tie and are ordered by iid, so a request gets the first ``n`` of ``items`` that it has neither scored nor
-    barred by name.  The items are numbered once.  Sorted by place, the k-th taken item of a request (from 0) has
-    place - k free items before it; the t-th free place is therefore t plus the number of taken items with at
-    most t free ones before them.  Only taken rows are sorted, and ``n`` places per request meet the items.
+    barred by name.  The items are numbered once.  A picked name can bar a large share of all items, so its items are not
+    listed per request: all short requests look at the first ``4 n`` places, those for whom they are not enough at the first
+    ``64 n``, and only those who find most of these taken too have all their taken places sorted (:func:`_free_by_gaps`).
     """
     positive = F.sum(F.when(F.round("score", 9) > 0, 1).otherwise(0))
     have = ranked.groupBy("request_id").agg(positive.alias("good"))
@@ -97,19 +102,50 @@ def _zero_candidates(named: DataFrame, ranked: DataFrame, items: DataFrame, n: i
                         .where(F.coalesce("good", F.lit(0)) < n).select("request_id"), "short-requests")
     numbered = materialize(items.join(factorize(items, "iid", order_by=("iid",), out="place"), "iid"), "numbered-items")
     asked = named.join(short, "request_id", "left_semi")
-    taken = asked.select("request_id", "iid").join(numbered.select("iid", "place"), "iid").select("request_id", "place")
-    if picked_names is not None:
-        barred = (picked_names.join(short, "request_id", "left_semi").join(numbered.select("name", "place"), "name")
-                  .select("request_id", "place"))
-        taken = taken.union(barred).distinct()
+    scored = materialize(asked.select("request_id", "iid").join(numbered.select("iid", "place"), "iid").select("request_id", "place"), "scored-places")
+
+    def barred(requests: DataFrame, of: DataFrame) -> DataFrame:
+        return picked_names.join(requests, "request_id", "left_semi").join(of.select("name", "place"), "name").select("request_id", "place")
+
+    by_place = Window.partitionBy("request_id").orderBy("place")
+    count, found, rest = numbered.count(), [], short
+    for look in LOOKS:
+        head = F.broadcast(numbered.where(F.col("place") < look * n).select("name", "place"))  # the first look * n items
+        taken = scored.where(F.col("place") < look * n)
+        if picked_names is not None:
+            taken = taken.union(barred(rest, head))
+        free = rest.crossJoin(F.broadcast(head.select("place").distinct())).join(taken, ["request_id", "place"], "left_anti")
+        first = materialize(free.withColumn("t", F.row_number().over(by_place)).where(F.col("t") <= n).select("request_id", "place"), "free-places")
+        if count <= look * n:
+            found, rest = [*found, first], None
+            break
+        enough = first.groupBy("request_id").agg(F.count(F.lit(1)).alias("have")).where(F.col("have") >= n)
+        found.append(first.join(enough, "request_id", "left_semi"))
+        rest = materialize(rest.join(enough, "request_id", "left_anti"), "short-requests")
+        if rest.isEmpty():
+            rest = None
+            break
+    if rest is not None:
+        taken = scored.join(rest, "request_id", "left_semi")
+        if picked_names is not None:
+            taken = taken.union(barred(rest, numbered)).distinct()
+        found.append(_free_by_gaps(rest, taken, n))
+    rows = reduce(lambda a, b: a.union(b), found).join(numbered, "place")
+    return rows.select(*[F.lit(0.0).alias("score") if c == "score" else c for c in named.columns])
+
+
+def _free_by_gaps(short: DataFrame, taken: DataFrame, n: int) -> DataFrame:
+    """(request_id, place): the first ``n`` places that are not among a request's ``taken`` ones.
+
+    Sorted by place, the k-th taken item of a request (from 0) has place - k free items before it; the t-th free place is
+    therefore t plus the number of taken items with at most t free ones before them.  Only taken rows are sorted.
+    """
     by_place = Window.partitionBy("request_id").orderBy("place")
     ahead = taken.withColumn("free", F.col("place") - F.row_number().over(by_place) + 1).where(F.col("free") < n)
     shifts = F.array(*[F.count_if(F.col("free") <= t) for t in range(n)])
-    free = (short.join(ahead, "request_id", "left").groupBy("request_id").agg(shifts.alias("shift"))
+    return (short.join(ahead, "request_id", "left").groupBy("request_id").agg(shifts.alias("shift"))
             .select("request_id", F.posexplode("shift").alias("t", "taken"))
             .select("request_id", (F.col("t") + F.col("taken")).cast("long").alias("place")))
-    rows = free.join(numbered, "place")
-    return rows.select(*[F.lit(0.0).alias("score") if c == "score" else c for c in named.columns])
 
 
 def latest_names_requests(reviews: DataFrame, items: DataFrame, per_user: int = 4) -> DataFrame:
