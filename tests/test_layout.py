@@ -81,6 +81,25 @@ def test_no_epoch_exchanges_rating_rows(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_rounds_take_as_many_tasks_as_the_ratings_ask_for(spark):
+    """A round's tasks follow the ratings, not the session's partitions, and a lookup meets one row per key and part."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "97")
+    try:
+        rows = hot_rows(5)
+        sides = RatingSides(table(spark, rows).withColumn("r", F.col("stars").cast("double")), **BIG)
+        for side, key, at in ((sides.with_users, "uid", 0), (sides.with_items, "iid", 1)):
+            bias = sides.rows.select(key).distinct().withColumn("b", F.col(key) * 2.0)
+            df = side(bias)
+            assert df.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+            got = collections.Counter((r.review_id, r.uid, r.iid, r.stars, r.r, r.b) for r in df.collect())
+            assert got == collections.Counter((k, *x, float(x[2]), x[at] * 2.0) for k, x in enumerate(rows))
+            sizes = collections.Counter(x[at] for x in rows)
+            assert len(sizes) < sides.copies[key].count() <= sum(-(-n // BIG["heavy_rows"]) for n in sizes.values()) < len(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 # ---- candidate joins ----
 
 def test_blocked_join_equals_plain_join_and_splits_the_hot_key(spark):
