@@ -1,6 +1,7 @@
 """Estimators, models and bundles: ten predictors through one call, saved and loaded in another session."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -41,6 +42,21 @@ def test_ten_models_in_one_ranking(spark, planted, monkeypatch):
     assert all(ranking[x][1] < 0.7 * ranking["normal"][1] for x in ("knn_baseline", "knn_means", "slope_one", "coclustering", "svd"))
 
 
+def test_factor_fits_leave_no_shuffle_files_of_earlier_folds(spark, planted, monkeypatch):
+    """When a fold's fit begins, the shuffle files of the fits before are deleted."""
+    seen, fit = [], estimators.fit_nmf_als
+
+    def files():
+        time.sleep(2)  # they are deleted in the background
+        return spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().size()
+
+    monkeypatch.setattr(estimators, "fit_nmf_als", lambda *a, **k: seen.append(files()) or fit(*a, **k))
+    model = m.default_models()["nmf"]
+    model._set(rank=2)
+    assert m.cross_validate(planted, {"nmf": model}, 3).count() == planted.count()
+    assert len(seen) == 3 and max(seen) < seen[0] + 100, seen
+
+
 @pytest.mark.parametrize("name", sorted(m.default_models()))
 def test_a_saved_model_predicts_the_same_in_another_session(spark, planted, name):
     estimator = m.default_models(k=9, min_k=2, min_support=2, seed=1)[name]
