@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recspark.operators.similarity import SUM_COLS, cross_pair_sums, pair_sums_of_cells, rating_cells
+from recspark.operators.similarity import SUM_COLS, pair_sum_updates, pair_sums_of_cells, rating_cells
 from recspark.sources.commit_log import CommitLog, LogState
 from recspark.streaming.events import for_each_batch
 
@@ -96,7 +96,7 @@ def apply_batch(spark: SparkSession, batch: DataFrame, batch_id: int, state_dir:
     """Add the ratings of a batch to the state; nothing if the run's batch is in the log already."""
     root = state_dir.rstrip("/")
     log = CommitLog(spark, root)
-    cells = new = own = None
+    cells = new = None
     while True:
         state = log.state()
         if state.version < 0:
@@ -106,10 +106,8 @@ def apply_batch(spark: SparkSession, batch: DataFrame, batch_id: int, state_dir:
         if cells is None:  # the batch's own part does not depend on what others store
             cells = _write_cells(rating_cells(batch), root, state.settings["buckets"])
             new = stored_cells(spark, root, LogState(items={"new": cells}))
-            own = pair_sums_of_cells(new)
         old = stored_cells(spark, root, state, cells["buckets"])
-        delta = _added(own.unionByName(cross_pair_sums(new, old)))
-        if log.commit(state, run, batch_id, add=[cells, _write_deltas(delta, root)]):
+        if log.commit(state, run, batch_id, add=[cells, _write_deltas(pair_sum_updates(new, old), root)]):
             return
 
 
