@@ -3,6 +3,7 @@
 import collections
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -185,3 +186,21 @@ def test_others_beyond_the_head_of_the_list(spark):
     scored = spark.createDataFrame([(1, i) for i in range(100, 150)] + [(2, 0), (2, 1)], "uid long, iid long")
     got = sorted((r.uid, r.iid) for r in first_others(items, rated, scored, 3).collect())
     assert got == [(1, 150), (1, 151), (1, 152), (2, 2), (2, 3), (2, 4)]
+
+
+@pytest.mark.parametrize("fit", ["coclustering", "als", "gd"])
+def test_rounds_that_shuffle_leave_no_shuffle_files(spark, monkeypatch, fit):
+    """When a round begins, the shuffle files of the rounds before are deleted."""
+    seen, real = [], RatingSides.with_items
+
+    def files():
+        time.sleep(2)  # they are deleted in the background
+        return spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().size()
+
+    monkeypatch.setattr(RatingSides, "with_items", lambda self, *a: seen.append(files()) or real(self, *a))
+    rows = spark.createDataFrame([(u, (u * 7 + k) % 40, 1 + (u + k) % 5) for u in range(60) for k in range(8)], "uid long, iid long, stars int")
+    run = {"coclustering": lambda: fit_coclustering(rows, n_epochs=5, broadcast_bytes=0),
+           "als": lambda: bl.baseline_als(rows, n_epochs=5, broadcast_bytes=0),
+           "gd": lambda: bl.baseline_gd(rows, n_epochs=5, broadcast_bytes=0)}[fit]
+    run()
+    assert len(seen) >= 4 and seen[-1] <= seen[1] + 20, seen
