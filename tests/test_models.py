@@ -1,7 +1,9 @@
 """Estimators, models and bundles: ten predictors through one call, saved and loaded in another session."""
 
 import random
+import threading
 import time
+import types
 
 import pytest
 from pyspark.sql import functions as F
@@ -107,3 +109,33 @@ def test_bundles_appear_whole_or_not_at_all(spark):
     assert tables["one"].count() == 3 and tables["two"].schema == two.schema and tables["two"].count() == 0 and settings == {"k": [1, 2]}
     save_bundle(spark, path, {"three": spark.range(4)}, overwrite=True)
     assert list(load_bundle(spark, path)[0]) == ["three"]
+
+
+def test_fits_of_small_folds_run_beside_each_other(spark, monkeypatch):
+    rows = spark.createDataFrame([(f, u, u % 3) for f in range(2) for u in range(6)], "cv_fold int, uid long, iid long")
+    for at_once in (2, 1):
+        monkeypatch.setattr(estimators, "RATINGS_AT_ONCE", 6 * at_once)
+        meet, running, most = threading.Barrier(at_once), [], []
+
+        def fit(of):
+            running.append(1)
+            meet.wait(60)
+            most.append(len(running))
+            meet.wait(60)
+            running.pop()
+            factors = of(rows).groupBy(F.col("uid").alias("id")).agg(F.collect_list("iid").alias("features"))
+            return types.SimpleNamespace(userFactors=factors, itemFactors=factors)
+
+        found = estimators._per_fold(rows, ["cv_fold"], fit)
+        assert most == [at_once] * 2
+        for table in found.values():
+            assert sorted((r.cv_fold, r.id) for r in table.collect()) == [(f, u) for f in range(2) for u in range(6)]
+
+
+def test_targets_are_looked_up_once_for_all_models(spark, monkeypatch):
+    calls, real = [], estimators.known_targets
+    monkeypatch.setattr(estimators, "known_targets", lambda *a: calls.append(1) or real(*a))
+    rows = spark.createDataFrame([(n, n % 9, n * n % 7, 1 + n % 5) for n in range(120)], "review_id long, uid long, iid long, stars int")
+    models = {"basic": m.KNN(kind="basic"), "means": m.KNN(kind="means"), "slope": m.SlopeOne()}
+    found = m.cross_validate(rows, models, 3).groupBy("model").count().collect()
+    assert sorted((r["model"], r["count"]) for r in found) == [("basic", 120), ("means", 120), ("slope", 120)] and len(calls) == 1
