@@ -69,3 +69,11 @@ def test_blocks_keep_every_rating(monkeypatch, values):
     assert dict(zip(b.uids, b.n_u)) == pdf.groupby("uid").size().to_dict()
     assert dict(zip(b.iids, b.n_i)) == pdf.groupby("iid").size().to_dict()
     assert (b.values is None) == (values > 256)
+
+
+def test_no_task_fits_two_of_a_few_models(spark):
+    rows = spark.createDataFrame([(f, u, u % 3, 1.0) for f in range(5) for u in range(4)], "f int, uid long, iid long, r double")
+    tasks = rb.block_plan(rows, ["f"], "r")
+    dealt = rows.repartition(tasks, "f").select("f", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len(dealt) == len({r["task"] for r in dealt}) == 5 and tasks <= 40
+    assert rb.block_plan(rows, [], "r") == 1
